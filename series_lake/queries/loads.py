@@ -1 +1,136 @@
-"""Stub."""
+"""Sinks: publish, land, and load into the warehouse tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from series_lake.functions.documents import build_envelope
+from series_lake.operators.flatten import flatten_series, tagged_points
+from series_lake.operators.merge import merge_history
+from series_lake.queries.projections import new_table
+from series_lake.queries.registry import (
+    DAILY_SQL,
+    DAY_SQL,
+    FLAT_SQL,
+    MERGED_SQL,
+    SERIES_SQL,
+    WH_HIST_SELECT,
+    WH_INTRA_SELECT,
+    query,
+    series_sql,
+)
+from series_lake.queries.scans import leg_rows_sql
+from series_lake.schemas import FLAT_DATED, WH_HIST, WH_INTRA
+from series_lake.sinks import publish, warehouse
+from series_lake.sources.files import scan_raw
+from series_lake.sources.tables import (
+    daily_points,
+    documents,
+    existing_history,
+    incoming_history,
+    landed_documents,
+    series,
+)
+from series_lake.workspace import scratch
+
+_WEEK_START_MS = 1_706_054_400_000  # 2024-01-24 00:00:00 UTC
+
+
+@query("publish_intra_day", f"WITH {FLAT_SQL} SELECT * FROM flat")
+def publish_intra_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, root = new_table(spark, "intra_day")
+    publish.publish_intra_day(spark, existing_history(spark, sf_dir), name, root)
+    return publish.publish_intra_day(spark, flatten_series(landed_documents(spark, sf_dir)), name, root)
+
+
+@query("publish_historical", f"WITH {MERGED_SQL} SELECT *, {DAY_SQL} FROM merged")
+def publish_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "history")
+    publish.publish_history(spark, existing_history(spark, sf_dir), path)
+    return publish.publish_history(spark, incoming_history(spark, sf_dir), path)
+
+
+@query(
+    "land_raw",
+    f"""WITH {DAILY_SQL}, recent AS (SELECT DISTINCT coin_id AS r FROM daily WHERE "timestamp" >= {_WEEK_START_MS})
+{leg_rows_sql(f'("timestamp" >= {_WEEK_START_MS} OR NOT EXISTS (SELECT 1 FROM recent WHERE r = coin_id))')}""",
+)
+def land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, then the last week's again: those replace, the others stay."""
+    path = scratch(spark, "landing")
+    publish.land_bulk(spark, documents(spark, sf_dir, "variant"), path, "normal")
+    recent = daily_points(spark, sf_dir).where(F.col("timestamp") >= _WEEK_START_MS)
+    publish.land_bulk(spark, build_envelope(recent, "variant"), path, "normal")
+    return tagged_points(scan_raw(spark, f"{path}/prefix=historical_data"))
+
+
+@query(
+    "create_tables",
+    f"""WITH {SERIES_SQL}
+SELECT 'historical' AS table_name, id, current_price, last_updated FROM (SELECT {WH_HIST_SELECT} FROM series)
+UNION ALL
+SELECT 'intra_day', id, current_price, last_updated FROM (SELECT {WH_INTRA_SELECT} FROM series)""",
+)
+def create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = series(spark, sf_dir)
+    shown = []
+    for label, schema, mapping in (
+        ("historical", WH_HIST, warehouse.map_hist),
+        ("intra_day", WH_INTRA, warehouse.map_intra),
+    ):
+        name, location = new_table(spark, label)
+        warehouse.create_table(spark, name, schema, location)
+        mapping(flat).write.insertInto(name)
+        shown.append(spark.table(name).select(F.lit(label).alias("table_name"), "id", "current_price", "last_updated"))
+    return shown[0].unionByName(shown[1])
+
+
+@query("full_reload", f"WITH {MERGED_SQL} SELECT {WH_HIST_SELECT} FROM merged")
+def full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, root = new_table(spark, "reload")
+    existing = existing_history(spark, sf_dir)
+    warehouse.full_reload(spark, warehouse.map_hist(existing), name, root, WH_HIST)
+    merged = merge_history(incoming_history(spark, sf_dir), existing)
+    return warehouse.full_reload(spark, warehouse.map_hist(merged), name, root, WH_HIST)
+
+
+@query("copy_into_hist", f"WITH {SERIES_SQL} SELECT {WH_HIST_SELECT} FROM series")
+def copy_into_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.map_hist(series(spark, sf_dir))
+
+
+@query(
+    "copy_into_hist_full",
+    f"WITH {SERIES_SQL} SELECT {WH_HIST_SELECT.replace('CAST(NULL AS DOUBLE) AS total_volume', 'volume AS total_volume')} FROM series",
+)
+def copy_into_hist_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.map_hist(series(spark, sf_dir), full=True)
+
+
+@query("copy_into_intra", f"WITH {SERIES_SQL} SELECT {WH_INTRA_SELECT} FROM series")
+def copy_into_intra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.map_intra(series(spark, sf_dir))
+
+
+@query(
+    "incremental_load",
+    f"""WITH {series_sql("early", "value + 1", "ts < TIMESTAMP '2024-01-20 00:00:00'")},
+{series_sql("late", "value", "ts >= TIMESTAMP '2024-01-20 00:00:00'")}
+SELECT {WH_HIST_SELECT} FROM (SELECT * FROM early UNION ALL SELECT * FROM late)""",
+)
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load, publish new days, load those, and load again with nothing new."""
+    published, target, checkpoint = (scratch(spark, label) for label in ("published", "loaded", "progress"))
+
+    def load() -> DataFrame:
+        return warehouse.incremental_load(
+            spark, published, FLAT_DATED, warehouse.map_hist, target, WH_HIST, checkpoint
+        )
+
+    publish.publish_history(spark, existing_history(spark, sf_dir), published)
+    load()
+    new_days = incoming_history(spark, sf_dir).where(F.col("timestamp") >= 1_705_708_800_000)  # 2024-01-20
+    publish.publish_history(spark, new_days, published)
+    load()
+    return load()
