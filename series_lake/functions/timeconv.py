@@ -15,9 +15,19 @@ def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+def floor_div(number: Column, width: int) -> Column:
+    """Integer quotient rounded down, also below zero."""
+    return F.call_function("div", number - F.pmod(number, F.lit(width)), F.lit(width))
+
+
 def ntz_to_ms(ts: Column | str) -> Column:
-    """Zone-free timestamp to epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), ts)
+    """Zone-free timestamp to epoch milliseconds.
+
+    Put together from the fields of the clock: ``timestampdiff`` and ``unix_millis`` would
+    pass through an instant in the session zone, where hours skipped by a clock change move.
+    """
+    within_day = F.hour(ts).cast("long") * HOUR_MS + F.minute(ts) * 60_000
+    return day_start_ms(ts) + within_day + (F.extract(F.lit("SECOND"), ts) * 1000).cast("long")
 
 
 def ms_to_ntz(ms: Column | str) -> Column:
@@ -42,7 +52,7 @@ def utc_seconds_clock(ms: Column) -> Column:
 
 def clock_text(ms: Column) -> Column:
     """Epoch milliseconds to ``yyyy-MM-dd HH:mm:ss`` text on the UTC clock."""
-    return F.date_format(utc_seconds_clock(ms), "yyyy-MM-dd HH:mm:ss")
+    return utc_seconds_clock(ms).cast("string")
 
 
 def local_clock(ms: Column, zone: str = LOCAL_ZONE) -> Column:
@@ -56,7 +66,7 @@ def local_clock(ms: Column, zone: str = LOCAL_ZONE) -> Column:
 
 def utc_date(ms: Column) -> Column:
     """Epoch milliseconds to the UTC day, also for instants before 1970."""
-    return F.date_from_unix_date(F.floor(ms / F.lit(DAY_MS)).cast("int"))
+    return F.date_from_unix_date(floor_div(ms, DAY_MS).cast("int"))
 
 
 def day_start_ms(ts: Column | str) -> Column:

@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from series_lake.functions.text import INTRA_DAY, LOOKBACK_DAYS_HISTORICAL, LOOKBACK_DAYS_INTRA_DAY
-from series_lake.functions.timeconv import DAY_MS, utc_date
+from series_lake.functions.timeconv import DAY_MS, ms_to_ntz, utc_date
 
 
-def lookback(flat: DataFrame, as_of_ms: int, run_type: str | None) -> DataFrame:
+def lookback(frame: DataFrame, as_of_ms: int, run_type: str | None, time: str = "timestamp") -> DataFrame:
     """Points of the last day (intra-day runs) or the last 365 days (all other runs).
 
-    Compares the bare column with a constant, so the filter reaches the Parquet scan; where
-    the frame is partitioned by UTC day the partitions are pruned too.
+    ``time`` holds epoch milliseconds or zone-free timestamps. The bare column is compared
+    with a constant, so the filter reaches the Parquet scan; where the frame has the UTC
+    ``date`` of its points, that is compared too and prunes partitions.
     """
     days = LOOKBACK_DAYS_INTRA_DAY if run_type == INTRA_DAY else LOOKBACK_DAYS_HISTORICAL
-    start = as_of_ms - days * DAY_MS
-    kept = flat.where((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") <= F.lit(as_of_ms)))
-    if "date" in flat.columns:
-        kept = kept.where((F.col("date") >= utc_date(F.lit(start))) & (F.col("date") <= utc_date(F.lit(as_of_ms))))
-    return kept
+    start, end = F.lit(as_of_ms - days * DAY_MS), F.lit(as_of_ms)
+    if isinstance(frame.schema[time].dataType, T.TimestampNTZType):
+        kept = frame.where(F.col(time).between(ms_to_ntz(start), ms_to_ntz(end)))
+    else:
+        kept = frame.where(F.col(time).between(start, end))
+    return kept.where(F.col("date").between(utc_date(start), utc_date(end))) if "date" in frame.columns else kept
 
 
 def quoted_in(frame: DataFrame, column: str, currency: str) -> DataFrame:

@@ -16,22 +16,18 @@ Keys must be unique (merge first) where the earliest price matters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from series_lake.functions.timeconv import DAY_MS, HOUR_MS
+from series_lake.functions.timeconv import DAY_MS, HOUR_MS, floor_div
 
 FRAME_MS = DAY_MS
 ROLLING = ["high_24h", "low_24h", "price_change_24h", "price_change_percentage_24h"]
 
 
-def _block(ms: Column, width: int) -> Column:
-    return F.floor(ms / F.lit(width)).cast("long")
-
-
 def _block_table(flat: DataFrame, width: int) -> DataFrame:
     """One row per asset and block, combined before its exchange."""
-    return flat.groupBy("coin_id", _block(F.col("timestamp"), width).alias("block")).agg(
+    return flat.groupBy("coin_id", floor_div(F.col("timestamp"), width).alias("block")).agg(
         F.max("price").alias("b_high"),
         F.min("price").alias("b_low"),
         F.min(F.struct("timestamp", "price")).alias("b_first"),
@@ -60,7 +56,7 @@ def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     # position = the row's own time, or 24 hours after it for its echo
     placed = flat.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("echo"))
     position = F.col("timestamp") + F.when(F.col("echo"), F.lit(FRAME_MS)).otherwise(F.lit(0))
-    placed = placed.withColumn("pos", position).withColumn("block", _block(F.col("pos"), block_ms))
+    placed = placed.withColumn("pos", position).withColumn("block", floor_div(F.col("pos"), block_ms))
 
     group = Window.partitionBy("coin_id", "block")
     up_to = group.orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -100,7 +96,7 @@ def all_time(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
         Window.partitionBy("coin_id", "block").orderBy("timestamp").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     windowed = (
-        flat.withColumn("block", _block(F.col("timestamp"), block_ms))
+        flat.withColumn("block", floor_div(F.col("timestamp"), block_ms))
         .withColumn("o_high", F.max("price").over(up_to))
         .withColumn("o_low", F.min("price").over(up_to))
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from series_lake.workspace import scratch
+
 # Fixed value: rows per page of the market listing.
 PAGE_SIZE = 25
 
@@ -38,9 +40,14 @@ def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_c
     only balance the work, but both uses must see the same ones: they are fetched first,
     ``splits`` numbers whatever the size of the table. Equal values are counted before they
     meet, and the table of range totals has at most ``splits`` rows.
+
+    The counted values are read three times, so they are staged in the shared folder
+    instead of being derived three times.
     """
-    dtype = frame.schema[value].dataType
-    counted = frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    spark, dtype = frame.sparkSession, frame.schema[value].dataType
+    staged_at = scratch(spark, "ranked_values")
+    frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).write.parquet(staged_at)
+    counted = spark.read.schema(T.StructType([frame.schema[value], T.StructField("n", T.LongType())])).parquet(staged_at)
     steps = [i / splits for i in range(1, splits)]
     cuts, ranked_rows = counted.agg(F.percentile_approx(value, steps, 10 * splits), F.sum("n")).first()
     bounds = F.array(*[F.lit(c) for c in cuts or []]).cast(T.ArrayType(dtype))

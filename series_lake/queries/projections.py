@@ -13,7 +13,7 @@ from series_lake.operators.merge import union_by_name
 from series_lake.queries.registry import DAILY_SQL, LOCAL_SQL, SERIES_SQL, WH_HIST_SELECT, query
 from series_lake.schemas import KEY, LEG_ARRAYS, WH_HIST
 from series_lake.sinks.warehouse import full_reload, map_hist
-from series_lake.sources.tables import daily_documents, landed_documents, series, table
+from series_lake.sources.tables import daily_documents, flat_points, landed_documents, series, table
 from series_lake.workspace import scratch
 
 # The run's "now": a fixed parameter, so results repeat.
@@ -151,8 +151,8 @@ WHERE "timestamp" BETWEEN {AS_OF_MS} - 365 * CAST(86400000 AS BIGINT) AND {AS_OF
 )
 def lookback_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     def kept(run_type: str) -> DataFrame:
-        recent = lookback(series(spark, sf_dir), AS_OF_MS, run_type)
-        return recent.select(*KEY, "price", F.lit(run_type).alias("run_type"))
+        recent = lookback(table(spark, sf_dir, "events"), AS_OF_MS, run_type, "ts")
+        return flat_points(recent, F.col("value")).select(*KEY, "price", F.lit(run_type).alias("run_type"))
 
     return union_by_name(kept("intra_day"), kept("normal"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from series_lake.functions import timeconv as tc
@@ -93,22 +93,23 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one point of its user's flat series. ``(coin_id, timestamp)`` is unique."""
-    return _flat(table(spark, sf_dir, "events"), F.col("value"))
+    return flat_points(table(spark, sf_dir, "events"), F.col("value"))
 
 
 def existing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an earlier run published: older points, prices off by one."""
     before = table(spark, sf_dir, "events").where(F.col("ts") < F.expr(f"TIMESTAMP_NTZ'{EXISTING_BEFORE}'"))
-    return _flat(before, F.col("value") + 1)
+    return flat_points(before, F.col("value") + 1)
 
 
 def incoming_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the next run delivers: overlaps the existing history by five days."""
     after = table(spark, sf_dir, "events").where(F.col("ts") >= F.expr(f"TIMESTAMP_NTZ'{INCOMING_FROM}'"))
-    return _flat(after, F.col("value"))
+    return flat_points(after, F.col("value"))
 
 
-def _flat(events: DataFrame, price) -> DataFrame:
+def flat_points(events: DataFrame, price: Column) -> DataFrame:
+    """Events as flat rows, no aggregation."""
     points = events.select(
         *_asset_columns(),
         tc.ntz_to_ms("ts").alias("timestamp"),

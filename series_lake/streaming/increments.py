@@ -54,8 +54,9 @@ def stream_merge(flat: DataFrame, history: str, checkpoint: str) -> StreamingQue
 def stream_dedupe(flat: DataFrame, target: str, checkpoint: str, delay: str = OVERLAP) -> StreamingQuery:
     """Drops points that were delivered before, keeping keys only as long as runs overlap.
 
-    The first arrival wins, unlike the merge, where the newer run does. Points older than
-    the delay behind the newest one are late and dropped.
+    The first arrival wins, unlike the merge, where the newer run does. Points further behind
+    the newest one than ``delay`` are late and dropped, and so are points before 1970, where
+    the watermark starts. Where no point may be lost, use the merge.
     """
     timed = flat.withColumn("event_time", F.timestamp_millis("timestamp")).withWatermark("event_time", delay)
     return (
