@@ -10,8 +10,11 @@ frame is put together from three pieces:
   24 hours later ("echo" rows) and read by a running window in descending order.
 
 Every group is then one block of one asset plus its echo; rows travel twice whatever the
-block width, so narrower blocks only cost more rows in the small per-block table.
-Keys must be unique (merge first) where the earliest price matters.
+block width, so narrower blocks only cost more rows in the small per-block table. All
+frames over rows are running ones, which take linear time, whereas a sliding 24-hour frame
+looks at each row once for every row it covers.
+Rows without a price never decide a result. Keys must be unique (merge first) where the
+earliest price matters.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ def _block_table(flat: DataFrame, width: int) -> DataFrame:
     return flat.groupBy("coin_id", floor_div(F.col("timestamp"), width).alias("block")).agg(
         F.max("price").alias("b_high"),
         F.min("price").alias("b_low"),
-        F.min(F.struct("timestamp", "price")).alias("b_first"),
+        F.min_by("price", F.when(F.col("price").isNotNull(), F.col("timestamp"))).alias("b_first"),
     )
 
 
@@ -50,11 +53,16 @@ def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
         "block",
         F.max("b_high").over(between).alias("m_high"),
         F.min("b_low").over(between).alias("m_low"),
-        F.first("b_first").over(between).alias("m_first"),
+        F.first("b_first", ignorenulls=True).over(between).alias("m_first"),
     )
 
-    # position = the row's own time, or 24 hours after it for its echo
-    placed = flat.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("echo"))
+    # position = the row's own time, or 24 hours after it for its echo; an echo carries
+    # nothing but its price
+    needed = ("coin_id", "timestamp", "price")
+    echoed = flat.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("echo"))
+    placed = echoed.select(
+        *[F.col(c) if c in needed else F.when(~F.col("echo"), F.col(c)).alias(c) for c in flat.columns], "echo"
+    )
     position = F.col("timestamp") + F.when(F.col("echo"), F.lit(FRAME_MS)).otherwise(F.lit(0))
     placed = placed.withColumn("pos", position).withColumn("block", floor_div(F.col("pos"), block_ms))
 
@@ -63,19 +71,16 @@ def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     down_to = group.orderBy(F.col("pos").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     own_price = F.when(~F.col("echo"), F.col("price"))
     old_price = F.when(F.col("echo"), F.col("price"))
-    # structs mark presence, so that an earliest row without a price is still the earliest
-    own_point = F.when(~F.col("echo"), F.struct("timestamp", "price"))
-    old_point = F.when(F.col("echo"), F.struct("timestamp", "price"))
     windowed = (
         placed.withColumn("o_high", F.max(own_price).over(up_to))
         .withColumn("o_low", F.min(own_price).over(up_to))
-        .withColumn("o_first", F.first(own_point, ignorenulls=True).over(up_to))
+        .withColumn("o_first", F.first(own_price, ignorenulls=True).over(up_to))
         .withColumn("e_high", F.max(old_price).over(down_to))
         .withColumn("e_low", F.min(old_price).over(down_to))
-        .withColumn("e_first", F.last(old_point, ignorenulls=True).over(down_to))
+        .withColumn("e_first", F.last(old_price, ignorenulls=True).over(down_to))
         .where(~F.col("echo"))
     )
-    first = F.coalesce("e_first", "m_first", "o_first")["price"]
+    first = F.coalesce("e_first", "m_first", "o_first")
     joined = windowed.join(blocks, ["coin_id", "block"])
     return joined.select(
         *flat.columns,

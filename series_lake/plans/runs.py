@@ -13,7 +13,8 @@ from series_lake.operators.ranking import PAGE_SIZE, top_n
 from series_lake.schemas import DESCRIPTIVE, LEGS, WH_HIST, WH_INTRA
 from series_lake.sinks.publish import land_per_asset, publish_history, publish_intra_day
 from series_lake.sinks.warehouse import full_reload, map_hist, map_intra
-from series_lake.sources.files import scan_raw
+from series_lake.sources.files import scan_raw, typed_copy
+from series_lake.workspace import discard, scratch
 
 
 def prepare_raw(markets: DataFrame, points: DataFrame, path: str, run_type: str, as_of_ms: int, n: int = PAGE_SIZE) -> None:
@@ -36,8 +37,19 @@ def prepare_raw(markets: DataFrame, points: DataFrame, path: str, run_type: str,
 
 
 def run_intra_day(spark: SparkSession, raw: str, table: str, table_root: str, wh_table: str, wh_root: str, strategy: str = "join") -> DataFrame:
-    """Raw documents to the intra-day output and its warehouse table, both replaced."""
-    flat = publish_intra_day(spark, flatten_series(scan_raw(spark, raw), strategy=strategy), table, table_root)
+    """Raw documents to the intra-day output and its warehouse table, both replaced.
+
+    The join reads the documents once per leg, so they are parsed once into a columnar
+    copy. ``strategy="document"`` needs neither copy nor exchange; it is exact when the
+    documents come from the landing step, which keeps one per asset.
+    """
+    documents = scan_raw(spark, raw)
+    copy_at = scratch(spark, "typed")
+    if strategy == "join":
+        documents = typed_copy(spark, documents, copy_at)
+    flat = publish_intra_day(spark, flatten_series(documents, strategy=strategy), table, table_root)
+    if strategy == "join":
+        discard(spark, copy_at)
     return full_reload(spark, map_intra(flat), wh_table, wh_root, WH_INTRA)
 
 

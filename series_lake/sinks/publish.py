@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from series_lake.functions.text import target_prefix
 from series_lake.functions.timeconv import utc_date
 from series_lake.operators.merge import merge_history
-from series_lake.schemas import FLAT, FLAT_DATED, KEY, RAW
+from series_lake.schemas import FLAT, FLAT_DATED, KEY
 from series_lake.sources.files import PARQUET_FORMAT, scan_if_exists
-from series_lake.workspace import scratch
+from series_lake.workspace import discard, scratch
 
 
 def _write_by_date(dated: DataFrame, path: str) -> None:
@@ -52,6 +52,7 @@ def publish_history(spark: SparkSession, incoming: DataFrame, path: str) -> Data
     days = F.broadcast(staged.select("date").distinct())
     current = scan_if_exists(spark, path).join(days, "date", "left_semi").select(*FLAT_DATED.names)
     _write_by_date(merge_history(staged, current, ["date", *KEY]).select(*FLAT_DATED.names), path)
+    discard(spark, staged_at)
     return spark.read.schema(FLAT_DATED).parquet(path)
 
 
@@ -110,7 +111,7 @@ def land_bulk(spark: SparkSession, docs: DataFrame, path: str, run_type: str) ->
     staged_at = scratch(spark, "landing")
     docs.withColumn("prefix", prefix).write.parquet(staged_at)
     staged = spark.read.schema(landed).parquet(staged_at)
-    earlier = scan_if_exists_json(spark, path, landed).where(F.col("prefix") == prefix)
+    earlier = scan_if_exists(spark, path, landed, "json").where(F.col("prefix") == prefix)
     kept = earlier.join(staged.select("coin_id").distinct(), "coin_id", "left_anti")
     (
         staged.unionByName(kept)
@@ -119,15 +120,4 @@ def land_bulk(spark: SparkSession, docs: DataFrame, path: str, run_type: str) ->
         .partitionBy("prefix")
         .json(path)
     )
-
-
-def scan_if_exists_json(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """Landed documents, or an empty frame before the first landing."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    discard(spark, staged_at)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from series_lake.schemas import FLAT_DATED, MARKETS, RAW
+from series_lake.functions.choice import choice_double, element_type
+from series_lake.schemas import DESCRIPTIVE, FLAT_DATED, LEG_ARRAYS, MARKETS, RAW, RAW_TYPED
 
 CORRUPT = "_corrupt_record"
 # The named file format. Binary columns stay binary, which is what
@@ -24,6 +26,24 @@ def scan_raw_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def typed_copy(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
+    """A columnar copy of raw documents with numeric pairs.
+
+    Worth it where the documents are read more than once: JSON is parsed whole every time,
+    the copy is pruned to one array per read.
+    """
+    dtype = element_type(raw)
+
+    def pairs(array: str) -> Column:
+        return F.transform(
+            f"data.{array}", lambda pair: F.transform(pair, lambda value: choice_double(value, dtype))
+        ).alias(array)
+
+    data = F.when(F.col("data").isNotNull(), F.struct(*[pairs(a) for a in LEG_ARRAYS.values()])).alias("data")
+    raw.select("coin_id", *DESCRIPTIVE, data).write.options(**PARQUET_FORMAT).parquet(path)
+    return spark.read.schema(RAW_TYPED).parquet(path)
+
+
 def scan_corrupt_capture(spark: SparkSession, path: str, schema: T.StructType = RAW, fail_fast: bool = False) -> DataFrame:
     """Documents plus the text of those that could not be parsed; or abort on the first."""
     if fail_fast:
@@ -36,14 +56,14 @@ def scan_published(spark: SparkSession, path: str, schema: T.StructType = FLAT_D
     return spark.read.schema(schema).parquet(path)
 
 
-def scan_if_exists(spark: SparkSession, path: str, schema: T.StructType = FLAT_DATED) -> DataFrame:
-    """The published snapshot, or an empty frame when nothing was published yet.
+def scan_if_exists(spark: SparkSession, path: str, schema: T.StructType = FLAT_DATED, form: str = "parquet") -> DataFrame:
+    """The snapshot at a path, or an empty frame when nothing was written there yet.
 
     Only "path not found" counts as absent. Any other failure (no permission, service
     down) is raised: taking it for an empty history would overwrite the real one.
     """
     try:
-        return scan_published(spark, path, schema)
+        return spark.read.schema(schema).format(form).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -27,3 +27,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing else uses. It is not created."""
     return f"{shared_root(spark)}/series_lake/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged copy once everything derived from it is written."""
+    if not path.startswith(f"{shared_root(spark)}/series_lake/"):
+        raise ValueError(f"not a scratch path: {path}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,7 +9,7 @@ from series_lake.functions.documents import build_envelope
 from series_lake.operators.flatten import flatten_series, join_legs, leg_points, tagged_points
 from series_lake.operators.merge import merge_history
 from series_lake.schemas import FLAT, RAW, RAW_STRICT, RAW_TYPED
-from series_lake.sources.files import scan_raw
+from series_lake.sources.files import scan_raw, typed_copy
 
 T0 = 1711111111999
 
@@ -132,3 +132,18 @@ def test_envelope_is_inverse_of_explode(spark):
     ordered = build_envelope(points).where("coin_id = 'a'").first().data.prices
     assert [p[0] for p in ordered] == sorted(p[0] for p in ordered)
     assert isinstance(build_envelope(points, "variant").schema["data"].dataType["prices"].dataType.elementType.elementType, T.VariantType)
+
+
+def test_typed_copy_changes_nothing(spark, landed, tmp_path):
+    raw = scan_raw(
+        spark,
+        landed(
+            document("a", [[T0, 100], [T0 + 1, "n/a"], [T0 + 2], [None, 1]], [[T0, 1], [T0 + 1, 2.5], [T0 + 2, 3]], [[T0, 1], [T0 + 1, 1], [T0 + 2, 1]]),
+            '{"coin_id": "missing"}',
+            document("error", data={"status": {}}),
+        ),
+    )
+    copy = typed_copy(spark, raw, str(tmp_path / "copy"))
+    assert copy.count() == 3 and copy.where("data IS NULL").count() == 1
+    assert bag(flatten_series(copy)) == bag(flatten_series(raw))
+    assert bag(tagged_points(copy)) == bag(tagged_points(raw))

@@ -12,7 +12,7 @@ from series_lake.operators import metrics as m
 def plain(flat):
     frame = Window.partitionBy("coin_id").orderBy("timestamp").rangeBetween(-DAY_MS, 0)
     so_far = Window.partitionBy("coin_id").orderBy("timestamp").rangeBetween(Window.unboundedPreceding, 0)
-    first = F.first("price").over(frame)
+    first = F.first("price", ignorenulls=True).over(frame)
     return flat.select(
         "coin_id", "timestamp", "price",
         F.max("price").over(frame).alias("high_24h"),

@@ -13,6 +13,7 @@ from series_lake.schemas import FLAT, FLAT_DATED, RAW_STRICT, WH_HIST, WH_INTRA
 from series_lake.sinks import publish as p
 from series_lake.sinks import warehouse as w
 from series_lake.sources import files
+from series_lake.workspace import discard, shared_root
 
 
 def failing(frame):
@@ -131,3 +132,12 @@ def test_corrupt_documents(spark, landed):
 def test_catalog_scan(spark, landed):
     files.scan_raw(spark, landed(document("a"))).createOrReplaceTempView("raw_documents")
     assert files.scan_raw_table(spark, "raw_documents").first().coin_id == "a"
+
+
+def test_staged_copies_are_removed(spark, tmp_path):
+    staged = lambda: set(pathlib.Path(shared_root(spark), "series_lake").glob("staged-*/*.parquet"))
+    before = staged()
+    p.publish_history(spark, flat(spark, ("x", 1, 1)), str(tmp_path / "h"))
+    assert staged() == before
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path / "h"))
