@@ -28,7 +28,7 @@ def page(markets: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
 
 def with_position(markets: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
     """The ``n`` largest with their position from 1. The window sees those ``n`` rows only."""
-    return top_n(markets, n).withColumn("position", F.row_number().over(Window.orderBy(*_by_market_cap())))
+    return top_n(markets, n).withColumn("position", F.row_number().over(Window.orderBy(*_by_market_cap())).cast("long"))
 
 
 def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_cap_rank", splits: int = 256) -> DataFrame:

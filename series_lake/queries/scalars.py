@@ -147,11 +147,13 @@ def cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "round_precision",
     """SELECT l_orderkey, l_linenumber,
-  round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2) AS discount FROM lineitem""",
+  CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS discount
+FROM lineitem""",
 )
 def round_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", casts.at_precision(exact).alias("discount"))
+    rounded = casts.at_precision(exact).cast("decimal(18,2)")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", rounded.alias("discount"))
 
 
 @query(
