@@ -40,3 +40,9 @@ def insert_columns(frame: DataFrame, target: T.StructType) -> DataFrame:
     return frame.select(
         *[(F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields]
     )
+
+
+def peek(frame: DataFrame, *columns: str, n: int = 10, by: str | None = None) -> DataFrame:
+    """The first ``n`` rows in no order, or in the order of a key."""
+    shown = frame.select(*columns) if columns else frame
+    return (shown.orderBy(by) if by else shown).limit(n)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from series_lake.operators import ranking as r
+from series_lake.operators.filters import peek
 from series_lake.queries.registry import MARKETS_SQL, query
 from series_lake.sources.tables import markets, table
 
@@ -42,5 +42,4 @@ def market_cap_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("limit_peek", "SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 10")
 def limit_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    return events.orderBy(F.asc("event_id")).limit(10)
+    return peek(table(spark, sf_dir, "events"), "event_id", "user_id", "event_type", "value", by="event_id")

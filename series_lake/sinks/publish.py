@@ -10,6 +10,7 @@ Two ways to replace data, neither of which clears anything before its own write
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,22 +39,33 @@ def _write_by_date(dated: DataFrame, path: str) -> None:
     )
 
 
+def published_days(spark: SparkSession, path: str, days: list[datetime.date | None]) -> DataFrame:
+    """The published rows of some UTC days; the partitions of other days are not listed."""
+    known = [day for day in days if day is not None]
+    wanted = F.col("date").isin(known)
+    return scan_if_exists(spark, path).where(wanted | F.col("date").isNull() if None in days else wanted)
+
+
 def publish_history(spark: SparkSession, incoming: DataFrame, path: str) -> DataFrame:
     """Merge a run into the published history, rewriting only the days it touches.
 
     The run is staged first: it is read twice (its days, its rows) and must be the same
     both times, also when executors are lost in between. Equal keys have equal instants,
     hence the same day, so merging day by day is complete.
+
+    The days are fetched as plain values, one per calendar day of the run however many rows
+    it has. Only constants prune partitions for certain: a join with the distinct days has
+    no selective filter that would make the planner prune by it, and reads all history.
     """
     staged_at = scratch(spark, "staged")
     incoming.select(*FLAT.names).withColumn("date", utc_date(F.col("timestamp"))).write.options(**PARQUET_FORMAT).parquet(staged_at)
     staged = spark.read.schema(FLAT_DATED).parquet(staged_at)
-    # at most one row per calendar day, so it is small whatever the data
-    days = F.broadcast(staged.select("date").distinct())
-    current = scan_if_exists(spark, path).join(days, "date", "left_semi").select(*FLAT_DATED.names)
-    _write_by_date(merge_history(staged, current, ["date", *KEY]).select(*FLAT_DATED.names), path)
+    days = [row.date for row in staged.select("date").distinct().collect()]
+    if days:
+        current = published_days(spark, path, days).select(*FLAT_DATED.names)
+        _write_by_date(merge_history(staged, current, ["date", *KEY]).select(*FLAT_DATED.names), path)
     discard(spark, staged_at)
-    return spark.read.schema(FLAT_DATED).parquet(path)
+    return scan_if_exists(spark, path)
 
 
 def publish_version(spark: SparkSession, frame: DataFrame, table: str, root: str, schema: T.StructType) -> DataFrame:

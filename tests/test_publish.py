@@ -1,3 +1,4 @@
+import datetime
 import pathlib
 
 import pytest
@@ -141,3 +142,27 @@ def test_staged_copies_are_removed(spark, tmp_path):
     assert staged() == before
     with pytest.raises(ValueError):
         discard(spark, str(tmp_path / "h"))
+
+
+def test_merge_prunes_other_days(spark, tmp_path):
+    path = str(tmp_path / "h")
+    p.publish_history(spark, flat(spark, ("x", 1, 1), ("x", DAY_MS, 2), ("x", 9 * DAY_MS, 3)), path)
+    days = [datetime.date(1970, 1, 1), datetime.date(1970, 1, 10)]
+    current = p.published_days(spark, path, days)
+    assert "PartitionFilters: [date" in current._jdf.queryExecution().executedPlan().toString()
+    assert prices(current) == [("x", 1, 1.0), ("x", 9 * DAY_MS, 3.0)]
+    assert {f.split("date=")[1][:10] for f in current.inputFiles()} >= {"1970-01-01", "1970-01-10"}
+
+
+def test_empty_run_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "h")
+    assert p.publish_history(spark, flat(spark), path).count() == 0
+    p.publish_history(spark, flat(spark, ("x", 1, 1)), path)
+    assert prices(p.publish_history(spark, flat(spark), path)) == [("x", 1, 1.0)]
+
+
+def test_rows_without_a_time_are_kept(spark, tmp_path):
+    path = str(tmp_path / "h")
+    p.publish_history(spark, flat(spark, ("x", None, 1), ("x", 1, 1)), path)
+    out = p.publish_history(spark, flat(spark, ("y", None, 2), ("x", 2, 2)), path)
+    assert sorted((r.coin_id, r.price) for r in out.collect()) == [("x", 1.0), ("x", 1.0), ("x", 2.0), ("y", 2.0)]
