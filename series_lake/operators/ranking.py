@@ -31,6 +31,17 @@ def with_position(markets: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
     return top_n(markets, n).withColumn("position", F.row_number().over(Window.orderBy(*_by_market_cap())).cast("long"))
 
 
+def _range_of(value: Column, bounds: list, low: int, high: int) -> Column:
+    """Number of bounds below the value, as a balanced tree of comparisons: compiled, and
+    as many comparisons per row as the tree is deep."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(value <= F.lit(bounds[middle]), _range_of(value, bounds, low, middle)).otherwise(
+        _range_of(value, bounds, middle + 1, high)
+    )
+
+
 def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_cap_rank", splits: int = 256) -> DataFrame:
     """Adds the rank by ``value``, largest first, equal values sharing a rank.
 
@@ -44,14 +55,14 @@ def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_c
     The counted values are read three times, so they are staged in the shared folder
     instead of being derived three times.
     """
-    spark, dtype = frame.sparkSession, frame.schema[value].dataType
+    spark = frame.sparkSession
     staged_at = scratch(spark, "ranked_values")
     frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).write.parquet(staged_at)
     counted = spark.read.schema(T.StructType([frame.schema[value], T.StructField("n", T.LongType())])).parquet(staged_at)
     steps = [i / splits for i in range(1, splits)]
     cuts, ranked_rows = counted.agg(F.percentile_approx(value, steps, 10 * splits), F.sum("n")).first()
-    bounds = F.array(*[F.lit(c) for c in cuts or []]).cast(T.ArrayType(dtype))
-    ranged = counted.withColumn("range", F.size(F.filter(bounds, lambda b: b < F.col(value))))
+    bounds = sorted(set(cuts or []))
+    ranged = counted.withColumn("range", _range_of(F.col(value), bounds, 0, len(bounds)))
 
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("range").agg(F.sum("n").alias("rows"))
