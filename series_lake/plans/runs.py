@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from series_lake.functions.casts import at_precision
 from series_lake.functions.documents import build_envelope
 from series_lake.operators.filters import lookback
 from series_lake.operators.flatten import flatten_series
 from series_lake.operators.ranking import PAGE_SIZE, top_n
-from series_lake.schemas import DESCRIPTIVE, LEGS, WH_HIST, WH_INTRA
+from series_lake.schemas import DESCRIPTIVE, LEGS, RAW, WH_HIST, WH_INTRA
 from series_lake.sinks.publish import land_per_asset, publish_history, publish_intra_day
 from series_lake.sinks.warehouse import full_reload, map_hist, map_intra
 from series_lake.sources.files import scan_raw, typed_copy
@@ -21,19 +22,25 @@ def prepare_raw(markets: DataFrame, points: DataFrame, path: str, run_type: str,
     """Land one document for each of the ``n`` largest assets.
 
     ``points`` is the flat daily series of all assets. The top list has ``n`` rows by
-    construction and is broadcast, so the series is filtered where it is read.
+    construction. It is staged, then broadcast twice: as a semi join, which the planner
+    moves below an aggregate that makes the series, so that only the chosen assets are
+    aggregated, and to describe the result.
     """
-    chosen = top_n(markets, n).select(
+    spark = markets.sparkSession
+    top_at = scratch(spark, "top")
+    top_n(markets, n).select(
         F.col("id").alias("coin_id"),
         F.col("name").alias("coin_name"),
         F.col("symbol").alias("coin_symbol"),
         F.col("image").alias("coin_image"),
         "market_cap_rank",
-    )
-    recent = lookback(points, as_of_ms, run_type).select("coin_id", "timestamp", *LEGS)
-    rounded = recent.select("coin_id", "timestamp", *[at_precision(F.col(leg)).alias(leg) for leg in LEGS])
-    described = rounded.join(F.broadcast(chosen), "coin_id").select("coin_id", *DESCRIPTIVE, "timestamp", *LEGS)
+    ).write.parquet(top_at)
+    chosen = F.broadcast(spark.read.schema(T.StructType(RAW.fields[:-1])).parquet(top_at))
+    wanted = lookback(points, as_of_ms, run_type).join(chosen, "coin_id", "left_semi")
+    rounded = wanted.select("coin_id", "timestamp", *[at_precision(F.col(leg)).alias(leg) for leg in LEGS])
+    described = rounded.join(chosen, "coin_id").select("coin_id", *DESCRIPTIVE, "timestamp", *LEGS)
     land_per_asset(build_envelope(described, "variant"), path, run_type)
+    discard(spark, top_at)
 
 
 def run_intra_day(spark: SparkSession, raw: str, table: str, table_root: str, wh_table: str, wh_root: str, strategy: str = "join") -> DataFrame:

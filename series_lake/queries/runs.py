@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from series_lake.functions import timeconv as tc
 from series_lake.functions.documents import build_envelope
+from series_lake.operators.filters import lookback
 from series_lake.operators.flatten import tagged_points
 from series_lake.operators.ranking import with_rank
 from series_lake.plans import runs
@@ -82,8 +83,9 @@ def prepare_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 largest customers with a year of their daily orders, landed and read back."""
     path = scratch(spark, "landing")
     total = F.col("o_totalprice").cast("decimal(18,2)")
+    # the lookback on the orders themselves reaches the scan
     points = (
-        table(spark, sf_dir, "orders")
+        lookback(table(spark, sf_dir, "orders"), _ORDERS_AS_OF_MS, "normal", "o_orderdate")
         .groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("coin_id"), tc.day_start_ms("o_orderdate").alias("timestamp"))
         .agg(
             F.max(total).cast("double").alias("price"),
