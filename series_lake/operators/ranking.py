@@ -42,15 +42,16 @@ def _range_of(value: Column, bounds: list, low: int, high: int) -> Column:
     )
 
 
-def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_cap_rank", splits: int = 256) -> DataFrame:
+def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_cap_rank", splits: int = 256, range_values: int = 1_000_000) -> DataFrame:
     """Adds the rank by ``value``, largest first, equal values sharing a rank.
 
     A window over the whole table would be a single task. Instead the distinct values are
     cut at approximate quantiles; a rank is the number of rows in the ranges above plus
     the number of rows above within the range. The cut points need not be exact, they
     only balance the work, but both uses must see the same ones: they are fetched first,
-    ``splits`` numbers whatever the size of the table. Equal values are counted before they
-    meet, and the table of range totals has at most ``splits`` rows.
+    ``splits`` numbers whatever the size of the table. There are as many ranges as it takes
+    to hold ``range_values`` distinct values each, at most ``splits``. Equal values are counted
+    before they meet, and the table of range totals has at most ``splits`` rows.
 
     The counted values are read three times, so they are staged in the shared folder
     instead of being derived three times.
@@ -60,8 +61,11 @@ def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_c
     frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).write.parquet(staged_at)
     counted = spark.read.schema(T.StructType([frame.schema[value], T.StructField("n", T.LongType())])).parquet(staged_at)
     steps = [i / splits for i in range(1, splits)]
-    cuts, ranked_rows = counted.agg(F.percentile_approx(value, steps, 10 * splits), F.sum("n")).first()
-    bounds = sorted(set(cuts or []))
+    cuts, values, ranked_rows = counted.agg(
+        F.percentile_approx(value, steps, 10 * splits) if steps else F.lit(None), F.count("*"), F.sum("n")
+    ).first()
+    ranges = min(splits, -(-values // range_values))
+    bounds = sorted({cuts[i * splits // ranges - 1] for i in range(1, ranges)})
     ranged = counted.withColumn("range", _range_of(F.col(value), bounds, 0, len(bounds)))
 
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)

@@ -17,8 +17,8 @@ def test_rank_equals_window_rank(spark):
     for values in (hot, [], [None], [1.0], [5.0] * 10):
         frame = markets(spark, values)
         want = frame.withColumn("market_cap_rank", F.rank().over(Window.orderBy(F.desc_nulls_last("market_cap"))).cast("long"))
-        for splits in (1, 2, 16, 256):
-            assert bag(r.with_rank(frame, splits=splits)) == bag(want)
+        for splits, range_values in ((1, 1), (2, 1), (7, 100), (16, 1), (256, 1), (256, 1_000_000)):
+            assert bag(r.with_rank(frame, splits=splits, range_values=range_values)) == bag(want)
 
 
 def test_pages_and_positions(spark):
