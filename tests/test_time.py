@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from series_lake.functions import timeconv as tc
 
-CASES = [0, 999, -1500, -1, 1711111111999, 1730615400000, 1730619000000, -62135596800000, 1710054000000]
+CASES = [0, 999, -1500, -1, 1711111111999, 1730615400000, 1730619000000, -62000000000000, 1710054000000]
 EPOCH = dt.datetime(1970, 1, 1)
 
 
