@@ -43,14 +43,22 @@ def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     The frame includes the row itself and a row exactly 24 hours older. The change is
     against the earliest price in the frame; the percentage is NULL when that is zero.
     """
+    return price_metrics(flat, block_ms).select(*flat.columns, *ROLLING)
+
+
+def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
+    """The rolling and the all-time metrics together, over one exchange of the rows."""
     if FRAME_MS % block_ms:
         raise ValueError("a block must divide 24 hours")
     span = FRAME_MS // block_ms
 
-    between = Window.partitionBy("coin_id").orderBy("block").rangeBetween(-(span - 1), -1)
+    by_block = Window.partitionBy("coin_id").orderBy("block")
+    between, before = by_block.rangeBetween(-(span - 1), -1), by_block.rangeBetween(Window.unboundedPreceding, -1)
     blocks = _block_table(flat, block_ms).select(
         "coin_id",
         "block",
+        F.max("b_high").over(before).alias("p_high"),
+        F.min("b_low").over(before).alias("p_low"),
         F.max("b_high").over(between).alias("m_high"),
         F.min("b_low").over(between).alias("m_low"),
         F.first("b_first", ignorenulls=True).over(between).alias("m_first"),
@@ -88,11 +96,13 @@ def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
         F.least("o_low", "m_low", "e_low").alias("low_24h"),
         (F.col("price") - first).alias("price_change_24h"),
         F.try_divide((F.col("price") - first) * 100, first).alias("price_change_percentage_24h"),
+        F.greatest("o_high", "p_high").alias("ath"),
+        F.least("o_low", "p_low").alias("atl"),
     )
 
 
 def all_time(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
-    """Adds the running all-time high and low of each asset up to the row."""
+    """Adds the running all-time high and low of each asset up to the row; no echo rows."""
     before = Window.partitionBy("coin_id").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
     blocks = _block_table(flat, block_ms).select(
         "coin_id", "block", F.max("b_high").over(before).alias("m_high"), F.min("b_low").over(before).alias("m_low")

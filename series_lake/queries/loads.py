@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from series_lake.functions.documents import build_envelope
+from series_lake.operators import metrics
 from series_lake.operators.flatten import flatten_series, tagged_points
 from series_lake.operators.merge import merge_history
 from series_lake.queries.projections import new_table
@@ -113,6 +114,46 @@ def copy_into_intra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.map_intra(series(spark, sf_dir))
 
 
+def _metric_sql(select: str, metrics: dict[str, str]) -> str:
+    for name, expression in metrics.items():
+        select = select.replace(f"CAST(NULL AS DOUBLE) AS {name}", f"{expression} AS {name}")
+    return f"""WITH {SERIES_SQL} SELECT {select} FROM series
+WINDOW day AS (PARTITION BY coin_id ORDER BY "timestamp" RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW),
+  so_far AS (PARTITION BY coin_id ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@query(
+    "copy_into_hist_metrics",
+    _metric_sql(
+        WH_HIST_SELECT,
+        {
+            "high_24h": "max(price) OVER day",
+            "low_24h": "min(price) OVER day",
+            "price_change_24h": "price - first_value(price) OVER day",
+        },
+    ),
+)
+def copy_into_hist_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.map_hist(metrics.rolling_24h(series(spark, sf_dir)))
+
+
+@query(
+    "copy_into_intra_metrics",
+    _metric_sql(
+        WH_INTRA_SELECT,
+        {
+            "price_change_percentage_24h": """CASE WHEN first_value(price) OVER day <> 0
+    THEN (price - first_value(price) OVER day) * 100 / first_value(price) OVER day END""",
+            "circulating_supply": "CASE WHEN price <> 0 THEN market_cap / price END",
+            "ath": "max(price) OVER so_far",
+            "atl": "min(price) OVER so_far",
+        },
+    ),
+)
+def copy_into_intra_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.map_intra(metrics.circulating_supply(metrics.price_metrics(series(spark, sf_dir))))
+
+
 @query(
     "incremental_load",
     f"""WITH {series_sql("early", "value + 1", "ts < TIMESTAMP '2024-01-20 00:00:00'")},

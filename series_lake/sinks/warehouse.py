@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,15 @@ from series_lake.sinks.publish import publish_version, qualified
 from series_lake.sources.files import PARQUET_FORMAT
 
 
+# Columns that the tables declare and that a plain load leaves NULL.
+HIST_METRICS = ("high_24h", "low_24h", "price_change_24h")
+INTRA_METRICS = ("price_change_percentage_24h", "circulating_supply", "ath", "atl")
+
+
+def _carried(flat: DataFrame, metrics: tuple[str, ...]) -> list[Column]:
+    return [casts.as_float(F.col(name)).alias(name) for name in metrics if name in flat.columns]
+
+
 def create_table(spark: SparkSession, table: str, schema: T.StructType, location: str) -> DataFrame:
     """Create or replace an empty external table. Files of a replaced table stay on disk."""
     spark.sql(f"DROP TABLE IF EXISTS {qualified(table)}")
@@ -25,7 +34,7 @@ def map_hist(flat: DataFrame, full: bool = False) -> DataFrame:
     """Published rows as historical warehouse rows. ``last_updated`` is on the UTC clock.
 
     Market cap passes through an integer-scale number and is therefore whole. The volume
-    is left out unless ``full``.
+    is left out unless ``full``. Metrics that the rows carry are mapped, others are NULL.
     """
     mapped = flat.select(
         casts.as_string(F.col("coin_id")).alias("id"),
@@ -35,6 +44,7 @@ def map_hist(flat: DataFrame, full: bool = False) -> DataFrame:
         casts.as_number(F.col("market_cap")).alias("market_cap"),
         casts.as_number(F.col("market_cap_rank")).alias("market_cap_rank"),
         *([casts.as_float(F.col("volume")).alias("total_volume")] if full else []),
+        *_carried(flat, HIST_METRICS),
         ms_to_ntz("timestamp").alias("last_updated"),
     )
     return insert_columns(mapped, WH_HIST)
@@ -44,7 +54,7 @@ def map_intra(flat: DataFrame, utc: bool = False) -> DataFrame:
     """Published rows as intra-day warehouse rows.
 
     ``last_updated`` is on the local clock (``date_time``); ``utc`` puts it on the UTC
-    clock like the historical table.
+    clock like the historical table. Metrics that the rows carry are mapped, others are NULL.
     """
     mapped = flat.select(
         casts.as_string(F.col("coin_id")).alias("id"),
@@ -53,6 +63,7 @@ def map_intra(flat: DataFrame, utc: bool = False) -> DataFrame:
         casts.as_float(F.col("price")).alias("current_price"),
         casts.as_float(F.col("market_cap")).alias("market_cap"),
         casts.as_float(F.col("volume")).alias("total_volume"),
+        *_carried(flat, INTRA_METRICS),
         (ms_to_ntz("timestamp") if utc else casts.as_timestamp(F.col("date_time"))).alias("last_updated"),
     )
     return insert_columns(mapped, WH_INTRA)
