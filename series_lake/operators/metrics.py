@@ -77,17 +77,23 @@ def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     group = Window.partitionBy("coin_id", "block")
     up_to = group.orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     down_to = group.orderBy(F.col("pos").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    own_price = F.when(~F.col("echo"), F.col("price"))
-    old_price = F.when(F.col("echo"), F.col("price"))
-    windowed = (
-        placed.withColumn("o_high", F.max(own_price).over(up_to))
-        .withColumn("o_low", F.min(own_price).over(up_to))
-        .withColumn("o_first", F.first(own_price, ignorenulls=True).over(up_to))
-        .withColumn("e_high", F.max(old_price).over(down_to))
-        .withColumn("e_low", F.min(old_price).over(down_to))
-        .withColumn("e_first", F.last(old_price, ignorenulls=True).over(down_to))
-        .where(~F.col("echo"))
+    # one projection per window specification keeps its functions in one operator
+    priced = placed.select(
+        "*", F.when(~F.col("echo"), F.col("price")).alias("own"), F.when(F.col("echo"), F.col("price")).alias("old")
     )
+    upward = priced.select(
+        "*",
+        F.max("own").over(up_to).alias("o_high"),
+        F.min("own").over(up_to).alias("o_low"),
+        F.first("own", ignorenulls=True).over(up_to).alias("o_first"),
+    )
+    downward = upward.select(
+        "*",
+        F.max("old").over(down_to).alias("e_high"),
+        F.min("old").over(down_to).alias("e_low"),
+        F.last("old", ignorenulls=True).over(down_to).alias("e_first"),
+    )
+    windowed = downward.where(~F.col("echo"))
     first = F.coalesce("e_first", "m_first", "o_first")
     joined = windowed.join(blocks, ["coin_id", "block"])
     return joined.select(
@@ -110,10 +116,8 @@ def all_time(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     up_to = (
         Window.partitionBy("coin_id", "block").orderBy("timestamp").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    windowed = (
-        flat.withColumn("block", floor_div(F.col("timestamp"), block_ms))
-        .withColumn("o_high", F.max("price").over(up_to))
-        .withColumn("o_low", F.min("price").over(up_to))
+    windowed = flat.withColumn("block", floor_div(F.col("timestamp"), block_ms)).select(
+        "*", F.max("price").over(up_to).alias("o_high"), F.min("price").over(up_to).alias("o_low")
     )
     joined = windowed.join(blocks, ["coin_id", "block"])
     return joined.select(
