@@ -88,9 +88,10 @@ def keyed_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
 def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
     """Legs matched inside each document, without an exchange.
 
-    When the three arrays list the same distinct instants in the same order, as they do
-    when one request returned them, they are zipped in linear time. Any other document
-    is matched by instant, repeated instants multiplying as in a join.
+    Where each leg lists distinct instants, every leg is cut to the instants all of them
+    have, sorted and zipped; the arrays of one request differ in few instants, so this is
+    close to linear. A document with repeated instants is matched pair by pair, repeats
+    multiplying as in a join.
     """
     dtype = element_type(raw)
 
@@ -107,12 +108,23 @@ def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
     def row(t: Column, p: Column, c: Column, v: Column) -> Column:
         return F.struct(t.alias("timestamp"), p.alias("price"), c.alias("market_cap"), v.alias("volume"))
 
-    times = F.col("price.t")
-    aligned = (
-        (times == F.col("market_cap.t")) & (times == F.col("volume.t")) & (F.size(F.array_distinct(times)) == F.size(times))
-    )
+    def cut(leg: str) -> Column:
+        """The points at common instants: looked up in the shorter of the two lists."""
+        without_extra = F.filter(F.col(leg), lambda q: ~F.array_contains(f"{leg}_extra", q["t"]))
+        with_common = F.filter(F.col(leg), lambda q: F.array_contains("common", q["t"]))
+        fewer_extra = F.size(f"{leg}_extra") <= F.size("common")
+        return F.array_sort(F.when(fewer_extra, without_extra).otherwise(with_common)).alias(leg)
+
+    def distinct_times(leg: str) -> Column:
+        return F.size(F.array_distinct(f"{leg}.t")) == F.size(leg)
+
+    typed = raw.where(F.col("coin_id").isNotNull()).select("coin_id", *DESCRIPTIVE, *[points(leg) for leg in LEGS])
+    common = F.array_intersect(F.array_intersect("price.t", "market_cap.t"), "volume.t")
+    shared = typed.withColumn("common", common)
+    compared = shared.select("*", *[F.array_except(f"{leg}.t", "common").alias(f"{leg}_extra") for leg in LEGS])
+
     zipped = F.transform(
-        F.arrays_zip("price", "market_cap", "volume"),
+        F.arrays_zip(*[cut(leg) for leg in LEGS]),
         lambda z: row(z["price"]["t"], z["price"]["v"], z["market_cap"]["v"], z["volume"]["v"]),
     )
     same = lambda leg, t: F.filter(F.col(leg), lambda q: q["t"] == t)
@@ -127,8 +139,8 @@ def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
             ),
         )
     )
-    typed = raw.where(F.col("coin_id").isNotNull()).select("coin_id", *DESCRIPTIVE, *[points(leg) for leg in LEGS])
-    rows = typed.select("coin_id", *DESCRIPTIVE, F.inline(F.when(aligned, zipped).otherwise(matched)))
+    distinct = distinct_times("price") & distinct_times("market_cap") & distinct_times("volume")
+    rows = compared.select("coin_id", *DESCRIPTIVE, F.inline(F.when(distinct, zipped).otherwise(matched)))
     return rows.select(*KEY, *DESCRIPTIVE, *LEGS)
 
 
