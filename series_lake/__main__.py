@@ -64,5 +64,9 @@ def main(argv: list[str]) -> None:
     print(load_summary(keyed).toJSON().first())
 
 
-if __name__ == "__main__":
+def command() -> None:
     main(sys.argv[1:])
+
+
+if __name__ == "__main__":
+    command()
