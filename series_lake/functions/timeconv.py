@@ -60,8 +60,13 @@ def local_clock(ms: Column, zone: str = LOCAL_ZONE) -> Column:
 
     Display only: around a clock change two instants share one wall clock, so this
     value must never be a key, a join column or a sort column.
+
+    ``from_utc_timestamp`` shifts the instant by the zone's offset and resolves the zone once
+    per task. Read back as microseconds the shifted instant is the wall clock, whatever the
+    session zone. (``convert_timezone`` gives the same and looks both zones up for every row.)
     """
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_seconds_clock(ms))
+    shifted = F.from_utc_timestamp(F.timestamp_seconds(whole_seconds(ms)), zone)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(shifted), _epoch())
 
 
 def utc_date(ms: Column) -> Column:

@@ -47,3 +47,11 @@ def test_ntz_to_ms_in_every_session_zone(spark, zone):
 
 def test_seconds(spark):
     assert spark.range(1).select(tc.ms_to_seconds(F.lit(1500)).alias("s")).first().s == 1.5
+
+
+@pytest.mark.parametrize("target", ["America/Chicago", "UTC", "Asia/Kolkata", "Australia/Lord_Howe"])
+def test_local_clock_equals_zone_conversion(spark, zone, target):
+    # every 37 minutes and 1 ms over 1965 to 2035, clock changes included
+    ms = spark.range(0, 1_000_000).select((F.col("id") * 2_220_001 - 157_766_400_000).alias("ms"))
+    direct = F.convert_timezone(F.lit("UTC"), F.lit(target), tc.utc_seconds_clock(F.col("ms")))
+    assert ms.where(~direct.eqNullSafe(tc.local_clock(F.col("ms"), target))).count() == 0
