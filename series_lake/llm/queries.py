@@ -11,6 +11,7 @@ from series_lake.llm import pii_crf, secrets
 from series_lake.llm.html_templates import main_text
 from series_lake.llm.language import held_out, identify, learn
 from series_lake.llm.mixing import mix_counts
+from series_lake.llm.ngram_join import Join, near_duplicates
 from series_lake.llm.packing import pack
 from series_lake.llm.pii_crf import find_personal
 from series_lake.llm.quality import STOP_WORDS, quality_rules
@@ -35,6 +36,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Three words, 100 * common >= 90 * all. The recursion is the plain definition of a component.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) END AS shingles
+    FROM w
+), e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS i
+    FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common WHERE 100 * i >= 90 * (na + nb - i)
+    UNION ALL SELECT b, a FROM common WHERE 100 * i >= 90 * (na + nb - i)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM s UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, (SELECT min(other) FROM reach WHERE reach.doc_id = s.doc_id) AS component_id
+FROM s
+"""
+
+
+@query("op1_ngram_join", OP1_SQL)
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Join(width=3, num=90, den=100))
+
+
 @query("op2_html_templates")
 def op2_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", F.col("text").cast("string"), "n_chars")
