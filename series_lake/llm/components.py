@@ -41,12 +41,15 @@ def connected(area: Staging, edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def resolve(area: Staging, index: DataFrame, verify: Callable[[DataFrame], DataFrame], sizes: DataFrame | None = None, ratio: tuple[int, int] = (0, 1), hub_rounds: int = 3) -> DataFrame:
+def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], sizes: DataFrame | None = None, ratio: tuple[int, int] = (0, 1), hub_rounds: int = 1, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, label) of the graph whose links join nodes that share a signature and verify.
 
     ``index``: (sig, node, e), where e tokens of the node are known to be missing in every
-    partner that shares this signature and none before it. ``verify`` keeps the true links of
-    candidate pairs (a, b). ``sizes``: (node, n); ``ratio``: the least Jaccard similarity.
+    partner that shares this signature and none before it. ``verifier`` gets the nodes (node)
+    that share any signature and returns a function that keeps the true links of candidate pairs
+    (a, b). ``sizes``: (node, n); ``ratio``: the least Jaccard similarity. ``across`` may take the
+    place of the last comparison: it gets (sig, node, e, label) and returns links that join all
+    components which a true link joins.
 
     Pairs of one component need no check, so first every member of a signature is compared with
     one hub, the member with the smallest e, which merges groups of copies at linear cost. Only
@@ -56,14 +59,18 @@ def resolve(area: Staging, index: DataFrame, verify: Callable[[DataFrame], DataF
     without link are left out.
     """
     num, den = ratio
-    spans = index.groupBy("sig").agg(F.min(F.struct("e", "node"))["node"].alias("hub"), F.min("node").alias("low"), F.max("node").alias("top"))
-    shared = area.write(index.join(spans.where("low < top").select("sig", "hub"), "sig").distinct())
-    links = area.write(verify(_pairs(shared.where("node <> hub"), "hub", "node")))
+    index = area.write(index)
+    spans = index.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low < top").select("sig")
+    shared = area.write(index.join(spans, "sig").distinct())
+    area.drop(index)
+    verify = verifier(shared.select("node").distinct())
+    hubs = shared.groupBy("sig").agg(F.min(F.struct("e", "node"))["node"].alias("hub"))
+    links = area.write(verify(_pairs(shared.join(hubs, "sig").where("node <> hub"), "hub", "node")))
     labels = area.write(connected(area, links))
     step = 0
     while True:
         step += 1
-        named = shared.drop("hub").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
         rest = area.write(named.join(mixed, "sig", "left_semi"))
         if not rest.limit(1).count():
@@ -73,7 +80,9 @@ def resolve(area: Staging, index: DataFrame, verify: Callable[[DataFrame], DataF
             # Another hub each time: the smallest e among the components in a changing order.
             turn = F.struct("e", F.xxhash64(F.lit(step), "label"), "node", "label")
             hubs = rest.groupBy("sig").agg(F.min(turn).alias("hub")).select("sig", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
-            pairs = _pairs(rest.join(hubs, "sig").where("label <> hub_label"), "hub", "node")
+            more = verify(_pairs(rest.join(hubs, "sig").where("label <> hub_label"), "hub", "node"))
+        elif across is not None:
+            more = across(rest)
         else:
             members = rest if sizes is None else rest.join(sizes, "node")
             a, b = members.alias("a"), members.alias("b")
@@ -81,8 +90,7 @@ def resolve(area: Staging, index: DataFrame, verify: Callable[[DataFrame], DataF
             if sizes is not None:
                 near = F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num
                 condition = condition & near & ((F.col("a.e") + F.col("b.e")) * (den + num) <= (F.col("a.n") + F.col("b.n")) * (den - num))
-            pairs = _pairs(a.join(b, condition).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y")
-        more = verify(pairs)
+            more = verify(_pairs(a.join(b, condition).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y"))
         grown = area.write(links.unionByName(more))
         done = area.write(connected(area, grown))
         area.drop(links, labels, rest)

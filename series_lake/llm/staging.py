@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 from series_lake.workspace import discard, scratch
 
 
+#: Copies that lazy results of this process still read, in the order they were written.
+KEPT: list[str] = []
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Remove kept copies once the results that read them are written."""
+    for path in paths:
+        if path in KEPT:
+            KEPT.remove(path)
+            discard(spark, path)
+
+
 class Staging:
     """Copies written by one operator call. ``keep`` marks those its lazy result still reads."""
 
@@ -45,6 +57,8 @@ class Staging:
         for path in list(self._paths.values()):
             if failed or path not in self._kept:
                 discard(self.spark, path)
+            else:
+                KEPT.append(path)
         self._paths = {}
 
 
