@@ -135,11 +135,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model(languages, table)
 
 
-def _predicted(model: Model):
+def _predicted(model: Model, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores = [], []
-            for text, letter in zip(batch.column("__lang_text"), batch.column("__lang_letter").to_pylist(), strict=True):
+            for text, letter in zip(batch.column(text_col), batch.column("__lang_letter").to_pylist(), strict=True):
                 if not letter or not model.languages:
                     names.append(UNDETERMINED)
                     scores.append(0.0)
@@ -159,6 +159,7 @@ def _predicted(model: Model):
 def identify(docs: DataFrame, model: Model, carry: list[str], text_col: str = "text") -> DataFrame:
     """The ``carry`` columns with ``__lang_pred`` and ``__lang_score``, a row per row of ``docs``."""
     text = F.col(text_col).cast("string")
-    read = docs.select(*carry, text.alias("__lang_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__lang_letter"))
+    letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__lang_letter")
+    read = docs.select(*carry, letter) if text_col in carry else docs.select(*carry, text.alias("__lang_text"), letter)
     schema = read.select(*carry).schema.add("__lang_pred", "string").add("__lang_score", "double")
-    return read.mapInArrow(_predicted(model), schema)
+    return read.mapInArrow(_predicted(model, text_col if text_col in carry else "__lang_text"), schema)

@@ -306,7 +306,7 @@ def components(area: Staging, docs: DataFrame, join: Join, id_col: str, text_col
         area.drop(close, holders, sets)
         return links
 
-    labels = resolve(area, index, verify, nodes.select("node", "n"), (join.num, join.den))
+    labels = resolve(area, index, lambda _: verify, nodes.select("node", "n"), (join.num, join.den))
     return rows, labels
 
 
@@ -320,3 +320,17 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
         of_node = area.write(named.join(smallest, "label").select("node", "component_id"), keep=True)
         joined = rows.join(of_node, "node", "left")
         return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
+    """The rows of ``docs`` but for one of each component: the smallest id (null last), and of rows
+    with one id the smallest hash of the text. Rows without words have no component and stay;
+    rows that repeat id and text are one."""
+    text = F.col(text_col).cast("string")
+    parts = {"__ngram_a": F.col(id_col).isNull(), "__ngram_b": F.col(id_col), "__ngram_c": F.xxhash64(text), "__ngram_d": F.hash(text)}
+    keyed = docs.withColumns(parts)
+    found = near_duplicates(docs.select(F.struct(*[v.alias(k) for k, v in parts.items()]).alias("key"), text.alias("text")), join, "key", "text")
+    stays = found.where(F.col("component_id") == F.col("doc_id")).select(*[F.col(f"doc_id.{k}").alias(f"{k}s") for k in parts]).distinct()
+    same = [keyed[k].eqNullSafe(stays[f"{k}s"]) for k in parts]
+    kept = keyed.join(stays, same[0] & same[1] & same[2] & same[3], "left_semi")
+    return kept.dropDuplicates(list(parts)).select(*docs.columns)
