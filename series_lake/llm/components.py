@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,31 +43,91 @@ def connected(area: Staging, edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], sizes: DataFrame | None = None, ratio: tuple[int, int] = (0, 1), hub_rounds: int = 1, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+TILE = 1024
+TILE_KEY = ["sig", "low", "high"]
+
+
+def in_tiles(rest: DataFrame, more: DataFrame) -> DataFrame:
+    """The members of signatures dealt out for comparison with all others of their signature.
+
+    A signature's members are divided into tiles of about ``TILE`` rows, and a member goes to one
+    group (sig, low, high) for each tile of its signature, so groups are bounded however many
+    members a signature has. In a group of two tiles only members of different tiles (``own``)
+    need comparing. Rows of a group come together, in order, with the columns of ``more`` (node).
+    """
+    counts = rest.groupBy("sig").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("node"), F.col("tiles"))
+    placed = rest.join(counts, "sig").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other", "tiles")
+    return placed.join(more, "node").repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "node")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups out of rows ordered by TILE_KEY, with the first row of each group
+    and the number of rows at the end."""
+    open_: list[pa.RecordBatch] = []
+    for batch in _then_none(batches):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            open_.append(batch)
+        if not open_:
+            continue
+        table = pa.Table.from_batches(open_)
+        keys = [table.column(c).to_numpy() for c in TILE_KEY]
+        change = np.zeros(len(table), dtype=bool)
+        change[0] = True
+        for k in keys:
+            change[1:] |= k[1:] != k[:-1]
+        starts = np.flatnonzero(change)
+        last = len(table) if batch is None else int(starts[-1])
+        if last:
+            yield table.slice(0, last), np.append(starts[starts < last], last)
+        open_ = table.slice(last).combine_chunks().to_batches() if last < len(table) else []
+
+
+def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def pairs_within(starts: np.ndarray, chunk: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (i < j) of all pairs inside the groups that begin at ``starts``."""
+    sizes = np.diff(starts)
+    end = np.repeat(starts[1:], sizes)
+    later = end - 1 - np.arange(len(end))
+    upto = np.cumsum(later)
+    low = 0
+    while low < len(later):
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + chunk, side="right")))
+        n = later[low:high]
+        i = np.repeat(np.arange(low, high), n)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        low = high
+
+
+def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], across: Callable[[DataFrame], DataFrame], hub_rounds: int = 1) -> DataFrame:
     """(node, label) of the graph whose links join nodes that share a signature and verify.
 
     ``index``: (sig, node, e), where e tokens of the node are known to be missing in every
     partner that shares this signature and none before it. ``verifier`` gets the nodes (node)
     that share any signature and returns a function that keeps the true links of candidate pairs
-    (a, b). ``sizes``: (node, n); ``ratio``: the least Jaccard similarity. ``across`` may take the
-    place of the last comparison: it gets (sig, node, e, label) and returns links that join all
-    components which a true link joins.
+    (a, b). ``across`` gets (sig, node, e, label) of the signatures that several components share
+    and returns true links that join all components which a true link joins.
 
     Pairs of one component need no check, so first every member of a signature is compared with
     one hub, the member with the smallest e, which merges groups of copies at linear cost. Only
-    signatures that still hold several components are compared pair by pair, across components
-    and where sizes and missing tokens allow the similarity. Nothing is capped: in the end each
-    pair that shares a signature is in one component, ruled out by a bound, or checked. Nodes
-    without link are left out.
+    signatures that still hold several components are compared across these. Nothing is
+    capped: in the end each pair that shares a signature is in one component, ruled out by a
+    bound, or checked. Nodes without link are left out.
     """
-    num, den = ratio
     index = area.write(index)
     spans = index.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low < top").select("sig")
     shared = area.write(index.join(spans, "sig").distinct())
     area.drop(index)
     verify = verifier(shared.select("node").distinct())
     hubs = shared.groupBy("sig").agg(F.min(F.struct("e", "node"))["node"].alias("hub"))
-    links = area.write(verify(_pairs(shared.join(hubs, "sig").where("node <> hub"), "hub", "node")))
+    links = area.write(verify(_pairs(shared.join(hubs, "sig").where("node <> hub"))))
     labels = area.write(connected(area, links))
     step = 0
     while True:
@@ -74,23 +136,15 @@ def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Cal
         mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
         rest = area.write(named.join(mixed, "sig", "left_semi"))
         if not rest.limit(1).count():
-            area.drop(rest, shared)
+            area.drop(rest, shared, links)
             return labels
         if step <= hub_rounds:
             # Another hub each time: the smallest e among the components in a changing order.
             turn = F.struct("e", F.xxhash64(F.lit(step), "label"), "node", "label")
             hubs = rest.groupBy("sig").agg(F.min(turn).alias("hub")).select("sig", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
-            more = verify(_pairs(rest.join(hubs, "sig").where("label <> hub_label"), "hub", "node"))
-        elif across is not None:
-            more = across(rest)
+            more = verify(_pairs(rest.join(hubs, "sig").where("label <> hub_label")))
         else:
-            members = rest if sizes is None else rest.join(sizes, "node")
-            a, b = members.alias("a"), members.alias("b")
-            condition = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.label") < F.col("b.label"))
-            if sizes is not None:
-                near = F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num
-                condition = condition & near & ((F.col("a.e") + F.col("b.e")) * (den + num) <= (F.col("a.n") + F.col("b.n")) * (den - num))
-            more = verify(_pairs(a.join(b, condition).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y"))
+            more = across(rest)
         grown = area.write(links.unionByName(more))
         done = area.write(connected(area, grown))
         area.drop(links, labels, rest)
@@ -100,5 +154,5 @@ def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Cal
             return labels
 
 
-def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
-    return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()

@@ -21,18 +21,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from series_lake.llm.components import resolve
+from series_lake.llm.components import in_tiles, resolve, whole_groups
 from series_lake.llm.hashing import mixed
 from series_lake.llm.staging import Staging, semi_by_key, staging
 
 PART = 1 << 20
-TILE = 256
 TILE_COLUMNS = 4096
 NONE = np.uint64(2**64 - 1)
 
@@ -184,61 +182,56 @@ def _linked(lines: Lines):
     return run
 
 
-def _joining(lines: Lines):
-    """Links between the components of one tile (at most some hundreds of lines): one link for
-    each two components that a true link joins, directly or over others."""
-
-    def run(tile: pd.DataFrame) -> pd.DataFrame:
-        label, node = tile["label"].to_numpy(), tile["node"].to_numpy()
-        kinds, member = np.unique(label, return_inverse=True)
-        out: list[tuple[int, int]] = []
-        if len(kinds) > 1:
-            sets = [_shingles(t, lines.width) for t in tile["line"]]
-            sizes = np.array([len(x) for x in sets])
-            row = np.repeat(np.arange(len(sets)), sizes)
-            _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-            both = held[column] > 1  # shingles of one line alone are in no intersection
-            row, column = row[both], np.unique(column[both], return_inverse=True)[1]
-            # Lines of the largest component need no comparison among themselves.
-            few = np.flatnonzero(member != np.bincount(member).argmax())
-            common = np.zeros((len(few), len(sets)), dtype=np.float32)
-            for low in range(0, int(column.max()) + 1 if len(column) else 0, TILE_COLUMNS):
-                part = (column >= low) & (column < low + TILE_COLUMNS)
-                held_ = np.zeros((len(sets), TILE_COLUMNS), dtype=np.float32)
-                held_[row[part], column[part] - low] = 1
-                common += held_[few] @ held_.T
-            common = common.astype(np.int64)
-            near = lines.den * common >= lines.num * (sizes[few][:, None] + sizes[None, :] - common)
-            near &= member[few][:, None] != member[None, :]
-            parent = list(range(len(kinds)))
-
-            def root(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            for i, j in zip(*np.nonzero(near), strict=True):
-                x, y = root(member[few[i]]), root(member[j])
-                if x != y:
-                    parent[x] = y
-                    out.append((int(node[few[i]]), int(node[j])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return run
+def _joined(lines: Lines, node: np.ndarray, label: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
+    """Links between the components of a group of lines: for each two that a true link joins,
+    enough links that they are joined, directly or over others."""
+    kinds, member = np.unique(label, return_inverse=True)
+    out: list[tuple[int, int]] = []
+    if len(kinds) < 2:
+        return out
+    sets = [_shingles(t, lines.width) for t in texts]
+    sizes = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    both = held[column] > 1  # shingles of one line alone are in no intersection
+    row, column = row[both], np.unique(column[both], return_inverse=True)[1]
+    # Lines of the largest component need no comparison among themselves.
+    few = np.flatnonzero(member != np.bincount(member).argmax())
+    common = np.zeros((len(few), len(sets)), dtype=np.float32)
+    width = int(column.max()) + 1 if len(column) else 0
+    for low in range(0, width, TILE_COLUMNS):
+        part = (column >= low) & (column < low + TILE_COLUMNS)
+        holds = np.zeros((len(sets), min(TILE_COLUMNS, width - low)), dtype=np.float32)
+        holds[row[part], column[part] - low] = 1
+        common += holds[few] @ holds.T
+    counts = common.astype(np.int64)
+    near = lines.den * counts >= lines.num * (sizes[few][:, None] + sizes[None, :] - counts)
+    near &= member[few][:, None] != member[None, :]
+    parent = list(range(len(kinds)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, j in zip(*np.nonzero(near), strict=True):
+        x, y = root(member[few[i]]), root(member[j])
+        if x != y:
+            parent[x] = y
+            out.append((int(node[few[i]]), int(node[j])))
+    return out
 
 
-def _across(told: DataFrame, lines: Lines):
-    """Compares the lines of a signature across components, in tiles of bounded size: a line goes
-    to one tile for every other tile of its signature."""
-
-    def run(rest: DataFrame) -> DataFrame:
-        counts = rest.groupBy("sig").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-        own = F.pmod(F.xxhash64("node"), F.col("tiles"))
-        placed = rest.join(counts, "sig").select("sig", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        placed = placed.join(told, "node")
-        paired = placed.groupBy("sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-        return paired.applyInPandas(_joining(lines), "a long, b long").distinct()
+def _joining(lines: Lines):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+            texts, out = table.column("line"), []
+            for low, high in zip(starts[:-1], starts[1:], strict=True):
+                out += _joined(lines, node[low:high], label[low:high], texts.slice(low, high - low).to_pylist())
+            a, b = zip(*out, strict=True) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -279,7 +272,7 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
 
         return verify
 
-    labels = resolve(area, index, verifier, across=lambda rest: _across(staged["told"], lines)(rest))
+    labels = resolve(area, index, verifier, lambda rest: in_tiles(rest, staged["told"]).mapInArrow(_joining(lines), "a long, b long").distinct())
     long_ = placed.where("node is not null").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     repeated = long_.groupBy("label").agg(F.min(F.struct("doc", "at")).alias("first"), F.max(F.struct("doc", "at")).alias("last"))
     repeated = repeated.where("first <> last").select("label", "first")

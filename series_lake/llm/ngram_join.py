@@ -38,14 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from series_lake.llm.components import resolve
+from series_lake.llm.components import in_tiles, pairs_within, resolve, whole_groups
 from series_lake.llm.hashing import Words, mixed, shingle_sets
 from series_lake.llm.staging import Staging, semi_by_key, staging
 
 RARE, FREQUENT = 32, 1024
 HEAVY = 1 << 17
 BUCKETS = 128
-PER_CLASS = 3
 SMALL_BAND = 6  # sets below 2**6 tokens: all their tokens are counted
 
 
@@ -69,6 +68,14 @@ class Join:
         band = n.bit_length() - 1
         return [band, band + 1] if n * self.den // self.num >= 1 << (band + 1) else [band]
 
+    def parts(self, band: int) -> int:
+        """Classes into which the tokens of each frequency are divided; 0: all tokens are singles.
+
+        Losing 2 + 1 tokens per class must leave more than ``slack`` of the smallest set.
+        """
+        least = 1 << band
+        return min(max(1, self.slack(least)), (-(-least * self.num // self.den) - 1) // 3)
+
     @property
     def counted(self) -> np.uint64:
         return np.uint64(min(2**64 - 1, int(1.6 * (1 - self.num / self.den) * 2**64)))
@@ -173,13 +180,17 @@ def signatures(tokens: np.ndarray, join: Join, classes: Classes) -> tuple[np.nda
     """
     out, missing, slack = [], [], join.slack(len(tokens))
     for band in join.bands(len(tokens)):
-        own = np.sort(_in_band(tokens, band))
-        k_of = classes.of(own)
-        rare = own[k_of == 1][: slack + 1]  # sorted, so those of the counted part are first
+        own, parts = np.sort(_in_band(tokens, band)), join.parts(band)
+        few = 2 * slack + 8
+        if parts and (classes.of(own[:few]) == 1).sum() <= slack:
+            few, k_of = len(own), classes.of(own)
+            rare = own[k_of == 1][: slack + 1]  # sorted, so those of the counted part are first
+        else:
+            head = own[:few]
+            rare = (head[classes.of(head) == 1] if parts else head)[: slack + 1]
         out.append(rare)
         missing.append(np.arange(len(rare)))
         units = len(rare)
-        parts = max(1, join.slack(1 << band) // PER_CLASS)
         for k in (2, 3):
             if units > slack:
                 break
@@ -224,18 +235,46 @@ def _indexed(join: Join, classes: Classes):
     return run
 
 
+def _apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """L1 distances of histograms, which never exceed the numbers of tokens that differ."""
+    a, b = (np.frombuffer(b"".join(v), dtype=np.uint8).reshape(-1, BUCKETS).astype(np.int16) for v in (x, y))
+    return np.abs(a - b).sum(axis=1, dtype=np.int64)
+
+
 def _close(join: Join):
     """Pairs whose histograms do not rule the link out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            both = [np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS).astype(np.int16) for i in (4, 5)]
-            apart = np.abs(both[0] - both[1]).sum(axis=1, dtype=np.int64)
-            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            keep = apart * (join.den + join.num) <= total * (join.den - join.num)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            if batch.num_rows:
+                total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+                apart = _apart(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+                yield batch.select([0, 1]).filter(pa.array(apart * (join.den + join.num) <= total * (join.den - join.num)))
+
+    return run
+
+
+def _close_within(join: Join):
+    """Pairs of different components in groups of rows (see ``in_tiles``) that neither sizes nor
+    missing tokens nor histograms rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            node, label, own, low, high, e, n = (table.column(c).to_numpy().astype(np.int64) for c in ("node", "label", "own", "low", "high", "e", "n"))
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+            for i, j in pairs_within(starts):
+                total = n[i] + n[j]
+                near = (label[i] != label[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
+                near &= np.minimum(n[i], n[j]) * join.den >= np.maximum(n[i], n[j]) * join.num
+                near &= (e[i] + e[j]) * (join.den + join.num) <= total * (join.den - join.num)
+                i, j, total = i[near], j[near], total[near]
+                for at in range(0, len(i), 1 << 14):
+                    x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+                    apart = np.abs(sketches[x] - sketches[y]).sum(axis=1, dtype=np.int64)
+                    keep = apart * (join.den + join.num) <= total[at : at + (1 << 14)] * (join.den - join.num)
+                    if keep.any():
+                        ends = np.unique(np.sort(np.stack([node[x[keep]], node[y[keep]]], axis=1), axis=1), axis=0)
+                        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
     return run
 
@@ -291,11 +330,8 @@ def components(area: Staging, docs: DataFrame, join: Join, id_col: str, text_col
     index = texts.mapInArrow(_indexed(join, classes), "sig long, node long, e int")
     nodes = area.write(rows.where("sketch is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-        b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        sized = pairs.join(a, "a").join(b, "b").where(F.least("n_a", "n_b") * join.den >= F.greatest("n_a", "n_b") * join.num)
-        close = area.write(sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_close(join), "a long, b long"))
+    def exact(pairs: DataFrame) -> DataFrame:
+        close = area.write(pairs)
         wanted = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
         holders = area.write(wanted.join(nodes.select("node", "doc_id"), "node"))
         holding = semi_by_key(docs.select(F.col(id_col).cast(id_type).alias("doc_id"), text), holders.select("doc_id").distinct(), ["doc_id"])
@@ -306,7 +342,17 @@ def components(area: Staging, docs: DataFrame, join: Join, id_col: str, text_col
         area.drop(close, holders, sets)
         return links
 
-    labels = resolve(area, index, lambda _: verify, nodes.select("node", "n"), (join.num, join.den))
+    def verify(pairs: DataFrame) -> DataFrame:
+        a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+        b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+        sized = pairs.join(a, "a").join(b, "b").where(F.least("n_a", "n_b") * join.den >= F.greatest("n_a", "n_b") * join.num)
+        return exact(sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_close(join), "a long, b long"))
+
+    def across(rest: DataFrame) -> DataFrame:
+        dealt = in_tiles(rest, nodes.select("node", "n", "sketch"))
+        return exact(dealt.mapInArrow(_close_within(join), "a long, b long").distinct())
+
+    labels = resolve(area, index, lambda _: verify, across)
     return rows, labels
 
 
