@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from series_lake.workspace import scratch
-
 # Fixed value: rows per page of the market listing.
 PAGE_SIZE = 25
 
@@ -22,8 +22,26 @@ def top_n(markets: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
 
 
 def page(markets: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
-    """Page ``number`` (from 1) of the ranking."""
-    return markets.orderBy(*_by_market_cap()).offset((number - 1) * size).limit(size)
+    """Page ``number`` (from 1) of the ranking.
+
+    Ranks (see ``with_rank``) tell which rows can be on the page, so a deep page neither sorts nor
+    holds the rows before it. Of rows with equal value that reach over the edge of the page,
+    the ids are ranked the same way, so neither does a large tie.
+    """
+    low, high = (number - 1) * size, number * size
+    ranked = with_rank(markets, "market_cap", "_rank")
+    spans = ranked.groupBy("_rank").agg(F.count("*").alias("_ties"))
+    on_page = spans.where((F.col("_rank") <= high) & (F.col("_rank") + F.col("_ties") > low + 1)).select("_rank", "_ties")
+    near = ranked.join(on_page, "_rank")
+    inside = near.where((F.col("_rank") > low) & (F.col("_rank") + F.col("_ties") - 1 <= high))
+    parts = [inside.select(*markets.columns)]
+    # At most two ties reach over an edge: the one that the page begins in, the one it ends in.
+    begins = (F.col("_rank") <= low) & (F.col("_rank") + F.col("_ties") > low + 1)
+    ends = (F.col("_rank") > low) & (F.col("_rank") + F.col("_ties") - 1 > high)
+    for cut in (begins, ends):
+        place = F.col("_rank") + F.col("_nth") - 1
+        parts.append(with_rank(near.where(cut), "id", "_nth", ascending=True).where(place.between(low + 1, high)).select(*markets.columns))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).orderBy(*_by_market_cap()).limit(size)
 
 
 def with_position(markets: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
@@ -42,42 +60,66 @@ def _range_of(value: Column, bounds: list, low: int, high: int) -> Column:
     )
 
 
-def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_cap_rank", splits: int = 256, range_values: int = 1_000_000) -> DataFrame:
-    """Adds the rank by ``value``, largest first, equal values sharing a rank.
+def _cut_points(counted: DataFrame, value: str, ranges: int | None, range_values: int) -> list:
+    """Values that divide the distinct values into ranges of about ``range_values``.
+
+    At least as many ranges as a shuffle has partitions, and no upper limit: a range must fit a
+    task. Numbers are cut at approximate quantiles, other values at sampled ones; the cut points
+    only balance the work, any of them give exact ranks.
+    """
+    spark = counted.sparkSession
+    if ranges is None:
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counted.count() // range_values))
+    if ranges < 2:
+        return []
+    if isinstance(counted.schema[value].dataType, T.NumericType):
+        steps = [i / ranges for i in range(1, ranges)]
+        cuts = counted.agg(F.percentile_approx(value, steps, max(10_000, 10 * ranges))).first()[0] or []
+        return sorted(set(cuts))
+    # A uniform sample by hash: the smallest hashes, a bounded number of them.
+    sample = sorted(r[0] for r in counted.select(value).orderBy(F.xxhash64(value), value).limit(32 * ranges).collect())
+    return sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
+
+
+def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_cap_rank", ranges: int | None = None, range_values: int = 1_000_000, ascending: bool = False) -> DataFrame:
+    """Adds the rank by ``value``, largest first, equal values sharing a rank, NULL last.
 
     A window over the whole table would be a single task. Instead the distinct values are
-    cut at approximate quantiles; a rank is the number of rows in the ranges above plus
-    the number of rows above within the range. The cut points need not be exact, they
-    only balance the work, but both uses must see the same ones: they are fetched first,
-    ``splits`` numbers whatever the size of the table. There are as many ranges as it takes
-    to hold ``range_values`` distinct values each, at most ``splits``. Equal values are counted
-    before they meet, and the table of range totals has at most ``splits`` rows.
-
-    The counted values are read three times, so they are staged in the shared folder
-    instead of being derived three times.
+    cut into ranges; a rank is the number of rows in the ranges before plus the number of rows
+    before within the range. Only the cut points are fetched while the plan is made; ranks, rows
+    and the rank of NULL all come from one evaluation of it. Equal values are counted before
+    they meet, rows without a value never enter the join.
     """
-    spark = frame.sparkSession
-    staged_at = scratch(spark, "ranked_values")
-    frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).write.parquet(staged_at)
-    counted = spark.read.schema(T.StructType([frame.schema[value], T.StructField("n", T.LongType())])).parquet(staged_at)
-    steps = [i / splits for i in range(1, splits)]
-    cuts, values, ranked_rows = counted.agg(
-        F.percentile_approx(value, steps, 10 * splits) if steps else F.lit(None), F.count("*"), F.sum("n")
-    ).first()
-    ranges = min(splits, -(-values // range_values))
-    bounds = sorted({cuts[i * splits // ranges - 1] for i in range(1, ranges)})
-    ranged = counted.withColumn("range", _range_of(F.col(value), bounds, 0, len(bounds)))
-
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("range").agg(F.sum("n").alias("rows"))
-    offsets = totals.select("range", F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("above"))
-
-    within = Window.partitionBy("range").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    valued = frame.where(F.col(value).isNotNull())
+    counted = valued.groupBy(value).agg(F.count("*").alias("n"))
+    bounds = _cut_points(counted, value, ranges, range_values)
+    # Two levels of comparisons, so that neither expression grows with all the bounds.
+    width = max(1, math.isqrt(len(bounds)))
+    outer = bounds[width - 1 :: width]
+    inner = F.lit(0)
+    if len(bounds) > width:
+        groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+        field = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("within", T.ArrayType(frame.schema[value].dataType))])
+        table = frame.sparkSession.createDataFrame(list(enumerate([*groups, []][: len(outer) + 1])), field)
+        parted = counted.withColumn("part", _range_of(F.col(value), outer, 0, len(outer))).join(F.broadcast(table), "part")
+        inner = F.size(F.filter("within", lambda b: b < F.col(value)))
+    else:
+        parted = counted.withColumn("part", _range_of(F.col(value), bounds, 0, len(bounds)))
+    ranged = parted.withColumn("sub", inner)
+
+    order = F.asc if ascending else F.desc
+    earlier = Window.orderBy(order("part"), order("sub")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("part", "sub").agg(F.sum("n").alias("rows"))
+    offsets = totals.select("part", "sub", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("above"))
+
+    within = Window.partitionBy("part", "sub").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
         ranged.withColumn("higher", F.coalesce(F.sum("n").over(within), F.lit(0)))
-        .join(F.broadcast(offsets), "range")
-        .select(value, (F.col("above") + F.col("higher") + 1).alias(name))
+        .join(offsets, ["part", "sub"])
+        .select(F.col(value).alias("_value"), (F.col("above") + F.col("higher") + 1).alias(name))
     )
+    known = valued.join(ranks, valued[value] == F.col("_value")).select(*frame.columns, name)
     # rows without a value rank after all others, as NULLS LAST orders them
-    unranked = F.lit((ranked_rows or 0) + 1).cast("long")
-    return frame.join(ranks, value, "left").select(*frame.columns, F.coalesce(name, unranked).alias(name))
+    after_all = F.coalesce(totals.agg(F.sum("rows")).scalar(), F.lit(0)) + 1
+    unknown = frame.where(F.col(value).isNull()).select(*frame.columns, after_all.cast("long").alias(name))
+    return known.unionByName(unknown)

@@ -17,8 +17,8 @@ def test_rank_equals_window_rank(spark):
     for values in (hot, [], [None], [1.0], [5.0] * 10):
         frame = markets(spark, values)
         want = frame.withColumn("market_cap_rank", F.rank().over(Window.orderBy(F.desc_nulls_last("market_cap"))).cast("long"))
-        for splits, range_values in ((1, 1), (2, 1), (7, 100), (16, 1), (256, 1), (256, 1_000_000)):
-            assert bag(r.with_rank(frame, splits=splits, range_values=range_values)) == bag(want)
+        for ranges, range_values in ((1, 1), (2, 1), (7, 1), (300, 1), (None, 20), (None, 1_000_000)):
+            assert bag(r.with_rank(frame, ranges=ranges, range_values=range_values)) == bag(want)
 
 
 def test_pages_and_positions(spark):
@@ -29,6 +29,12 @@ def test_pages_and_positions(spark):
     assert [(x.id, x.position) for x in r.with_position(frame, 3).collect()] == list(zip(order, (1, 2, 3)))
 
 
-def test_top_list_never_sorts_the_whole_table(spark):
-    plan = r.page(markets(spark, [1.0, 2.0]), 2)._jdf.queryExecution().toString()
-    assert "TakeOrderedAndProject" in plan
+def test_deep_page_holds_only_its_rows(spark):
+    rng = random.Random(5)
+    values = [7.0] * 300 + [rng.uniform(0, 20) for _ in range(300)] + [None] * 60
+    frame = markets(spark, values)
+    order = [x.id for x in frame.orderBy(F.desc_nulls_last("market_cap"), "id").collect()]
+    for number in (1, 9, 20, 26, 27, 28):
+        got = r.page(frame, number)
+        assert [x.id for x in got.collect()] == order[(number - 1) * 25 : number * 25]
+        assert "offset=" not in got._jdf.queryExecution().toString()
