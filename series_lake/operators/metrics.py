@@ -13,7 +13,8 @@ Every group is then one block of one asset plus its echo; rows travel twice what
 block width, so narrower blocks only cost more rows in the small per-block table. All
 frames over rows are running ones, which take linear time, whereas a sliding 24-hour frame
 looks at each row once for every row it covers.
-Rows without a price never decide a result. Keys must be unique (merge first) where the
+Rows without a price never decide a result; rows without asset or time keep NULL metrics and
+are not sorted with others. Keys must be unique (merge first) where the
 earliest price matters.
 """
 
@@ -37,6 +38,17 @@ def _block_table(flat: DataFrame, width: int) -> DataFrame:
     )
 
 
+def _keyed(flat: DataFrame) -> DataFrame:
+    return flat.where(F.col("coin_id").isNotNull() & F.col("timestamp").isNotNull())
+
+
+def _with_unkeyed(measured: DataFrame, flat: DataFrame) -> DataFrame:
+    """The rows without asset or time come back with NULL metrics."""
+    unkeyed = flat.where(F.col("coin_id").isNull() | F.col("timestamp").isNull())
+    added = [F.lit(None).cast(measured.schema[c].dataType).alias(c) for c in measured.columns if c not in flat.columns]
+    return measured.unionByName(unkeyed.select("*", *added))
+
+
 def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     """Adds high, low, change and percentage change over the preceding 24 hours.
 
@@ -51,6 +63,7 @@ def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     if FRAME_MS % block_ms:
         raise ValueError("a block must divide 24 hours")
     span = FRAME_MS // block_ms
+    everything, flat = flat, _keyed(flat)
 
     by_block = Window.partitionBy("coin_id").orderBy("block")
     between, before = by_block.rangeBetween(-(span - 1), -1), by_block.rangeBetween(Window.unboundedPreceding, -1)
@@ -96,7 +109,7 @@ def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     windowed = downward.where(~F.col("echo"))
     first = F.coalesce("e_first", "m_first", "o_first")
     joined = windowed.join(blocks, ["coin_id", "block"])
-    return joined.select(
+    measured = joined.select(
         *flat.columns,
         F.greatest("o_high", "m_high", "e_high").alias("high_24h"),
         F.least("o_low", "m_low", "e_low").alias("low_24h"),
@@ -105,10 +118,12 @@ def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
         F.greatest("o_high", "p_high").alias("ath"),
         F.least("o_low", "p_low").alias("atl"),
     )
+    return _with_unkeyed(measured, everything)
 
 
 def all_time(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     """Adds the running all-time high and low of each asset up to the row; no echo rows."""
+    everything, flat = flat, _keyed(flat)
     before = Window.partitionBy("coin_id").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
     blocks = _block_table(flat, block_ms).select(
         "coin_id", "block", F.max("b_high").over(before).alias("m_high"), F.min("b_low").over(before).alias("m_low")
@@ -120,9 +135,10 @@ def all_time(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
         "*", F.max("price").over(up_to).alias("o_high"), F.min("price").over(up_to).alias("o_low")
     )
     joined = windowed.join(blocks, ["coin_id", "block"])
-    return joined.select(
+    measured = joined.select(
         *flat.columns, F.greatest("o_high", "m_high").alias("ath"), F.least("o_low", "m_low").alias("atl")
     )
+    return _with_unkeyed(measured, everything)
 
 
 def circulating_supply(flat: DataFrame) -> DataFrame:

@@ -63,3 +63,12 @@ def test_snapshot_extremes_supply(spark):
     assert sorted(map(tuple, m.series_extremes(flat).collect())) == [("a", 5.0, 1, 2.0, 3), ("b", 0.0, 1, 0.0, 1)]
     supply = {(r.coin_id, r.timestamp): r.circulating_supply for r in m.circulating_supply(flat).collect()}
     assert supply["b", 1] is None and supply["a", 1] == 2.0
+
+
+def test_rows_without_a_key_stay(spark):
+    rows = [("a", 1, 1.0), (None, 1, 2.0), ("a", None, 3.0), ("a", 2, 4.0)]
+    flat = spark.createDataFrame(rows, "coin_id string, timestamp long, price double")
+    for measured in (m.rolling_24h(flat), m.all_time(flat), m.price_metrics(flat)):
+        assert measured.count() == len(rows)
+        added = [c for c in measured.columns if c not in flat.columns]
+        assert all(r[c] is None for r in measured.where("coin_id IS NULL OR timestamp IS NULL").collect() for c in added)
