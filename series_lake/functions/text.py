@@ -47,7 +47,7 @@ def title_text(name: Column) -> Column:
 
 def uri_bucket(uri: Column) -> Column:
     """Authority part of a URI; empty when there is none."""
-    return F.regexp_extract(uri, r"^[^:/?#]+://([^/?#]*)", 1)
+    return F.regexp_extract(uri, r"^(?:[^:/?#]+:)?//([^/?#]*)", 1)
 
 
 def uri_key(uri: Column) -> Column:

@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 LOCAL_ZONE = "America/Chicago"
 DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
+# The valid times: 0001-01-02 to 9999-12-30 UTC, so that every zone's clock stays in years 1 to 9999.
+MIN_MS = -62_135_510_400_000
+MAX_MS = 253_402_214_399_999
+
+
+def valid_ms(ms: Column) -> Column:
+    """Epoch milliseconds in the valid range, NULL outside: one absurd time costs one value."""
+    return F.when(ms.between(MIN_MS, MAX_MS), ms)
 
 
 def _epoch() -> Column:
@@ -31,8 +39,8 @@ def ntz_to_ms(ts: Column | str) -> Column:
 
 
 def ms_to_ntz(ms: Column | str) -> Column:
-    """Epoch milliseconds to the UTC wall clock."""
-    return F.timestamp_add("MILLISECOND", F.col(ms) if isinstance(ms, str) else ms, _epoch())
+    """Epoch milliseconds to the UTC wall clock; NULL outside the valid range."""
+    return F.timestamp_add("MILLISECOND", valid_ms(F.col(ms) if isinstance(ms, str) else ms), _epoch())
 
 
 def ms_to_seconds(ms: Column) -> Column:
@@ -47,7 +55,7 @@ def whole_seconds(ms: Column) -> Column:
 
 def utc_seconds_clock(ms: Column) -> Column:
     """Epoch milliseconds to the UTC wall clock without its sub-second part."""
-    return F.timestamp_add("SECOND", whole_seconds(ms), _epoch())
+    return F.timestamp_add("SECOND", whole_seconds(valid_ms(ms)), _epoch())
 
 
 def clock_text(ms: Column) -> Column:
@@ -65,13 +73,13 @@ def local_clock(ms: Column, zone: str = LOCAL_ZONE) -> Column:
     per task. Read back as microseconds the shifted instant is the wall clock, whatever the
     session zone. (``convert_timezone`` gives the same and looks both zones up for every row.)
     """
-    shifted = F.from_utc_timestamp(F.timestamp_seconds(whole_seconds(ms)), zone)
+    shifted = F.from_utc_timestamp(F.timestamp_seconds(whole_seconds(valid_ms(ms))), zone)
     return F.timestamp_add("MICROSECOND", F.unix_micros(shifted), _epoch())
 
 
 def utc_date(ms: Column) -> Column:
-    """Epoch milliseconds to the UTC day, also for instants before 1970."""
-    return F.date_from_unix_date(floor_div(ms, DAY_MS).cast("int"))
+    """Epoch milliseconds to the UTC day, also before 1970; NULL outside the valid range."""
+    return F.date_from_unix_date(floor_div(valid_ms(ms), DAY_MS).cast("int"))
 
 
 def day_start_ms(ts: Column | str) -> Column:

@@ -9,22 +9,30 @@ Three strategies, by what may be assumed and what they cost:
 ``keyed``     One row per key: exactly what de-duplicating the ``join`` result under the
               merge's winner rule leaves. One scan and one exchange, and the three legs of
               a document are combined before the exchange, so repeated keys cost nothing.
-``document``  Legs are matched inside each document. One scan, no exchange. Equals ``join``
-              when no asset occurs in two documents, which the landing step guarantees.
+``document``  Legs are matched inside each document, without an exchange of points; documents
+              that repeat an instant go through the join. Equals ``join`` when no asset occurs
+              in two documents, which the landing step guarantees and this strategy checks:
+              an asset in two documents is an error, not a silent loss.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from series_lake.functions.choice import choice_double, choice_long, element, element_type
-from series_lake.functions.timeconv import local_clock
+from series_lake.functions.timeconv import local_clock, valid_ms
 from series_lake.schemas import DESCRIPTIVE, FLAT_COLUMNS, KEY, LEG_ARRAYS, LEGS
 
 STRATEGIES = ("join", "keyed", "document")
 
 
+def point_time(pair: Column, dtype: T.DataType, mode: str) -> Column:
+    """The time of a pair; NULL where it cannot be read or lies outside the valid range."""
+    return valid_ms(choice_long(element(pair, 0), dtype, mode))
+
+
 def leg_points(raw: DataFrame, leg: str, mode: str = "coalesced") -> DataFrame:
     """One row per pair of a leg. Documents without that array give no rows.
 
@@ -36,7 +44,7 @@ def leg_points(raw: DataFrame, leg: str, mode: str = "coalesced") -> DataFrame:
     return pairs.select(
         "coin_id",
         *carried,
-        choice_long(element(F.col("pair"), 0), dtype, mode).alias("timestamp"),
+        point_time(F.col("pair"), dtype, mode).alias("timestamp"),
         choice_double(element(F.col("pair"), 1), dtype, mode).alias(leg),
     )
 
@@ -61,7 +69,7 @@ def tagged_points(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
         "coin_id",
         *DESCRIPTIVE,
         "leg",
-        choice_long(element(F.col("pair"), 0), dtype, mode).alias("timestamp"),
+        point_time(F.col("pair"), dtype, mode).alias("timestamp"),
         choice_double(element(F.col("pair"), 1), dtype, mode).alias("value"),
     )
 
@@ -85,63 +93,60 @@ def keyed_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
     )
 
 
-def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
-    """Legs matched inside each document, without an exchange.
+def _points(leg: str, dtype: T.DataType, mode: str) -> Column:
+    """The readable points of a leg as array<struct<t, v>>."""
+    typed = F.transform(
+        F.col(f"data.{LEG_ARRAYS[leg]}"),
+        lambda pair: F.struct(point_time(pair, dtype, mode).alias("t"), choice_double(element(pair, 1), dtype, mode).alias("v")),
+    )
+    return F.filter(typed, lambda p: p["t"].isNotNull())
 
-    Where each leg lists distinct instants, every leg is cut to the instants all of them
-    have, sorted and zipped; the arrays of one request differ in few instants, so this is
-    close to linear. A document with repeated instants is matched pair by pair, repeats
-    multiplying as in a join.
-    """
-    dtype = element_type(raw)
 
-    def points(leg: str) -> Column:
-        typed = F.transform(
-            F.col(f"data.{LEG_ARRAYS[leg]}"),
-            lambda pair: F.struct(
-                choice_long(element(pair, 0), dtype, mode).alias("t"),
-                choice_double(element(pair, 1), dtype, mode).alias("v"),
-            ),
-        )
-        return F.filter(typed, lambda p: p["t"].isNotNull()).alias(leg)
+def repeats_an_instant(raw: DataFrame, mode: str = "coalesced") -> Column:
+    """Whether any leg of a document lists an instant twice."""
+    dtype = element_type(raw)
+    repeated = F.lit(False)
+    for leg in LEGS:
+        points = _points(leg, dtype, mode)
+        repeated = repeated | F.coalesce(F.size(F.array_distinct(F.transform(points, lambda p: p["t"]))) < F.size(points), F.lit(False))
+    return repeated
 
-    def row(t: Column, p: Column, c: Column, v: Column) -> Column:
-        return F.struct(t.alias("timestamp"), p.alias("price"), c.alias("market_cap"), v.alias("volume"))
 
-    def cut(leg: str) -> Column:
-        """The points at common instants: looked up in the shorter of the two lists."""
-        without_extra = F.filter(F.col(leg), lambda q: ~F.array_contains(f"{leg}_extra", q["t"]))
-        with_common = F.filter(F.col(leg), lambda q: F.array_contains("common", q["t"]))
-        fewer_extra = F.size(f"{leg}_extra") <= F.size("common")
-        return F.array_sort(F.when(fewer_extra, without_extra).otherwise(with_common)).alias(leg)
+def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
+    """Legs matched inside each document.
 
-    def distinct_times(leg: str) -> Column:
-        return F.size(F.array_distinct(f"{leg}.t")) == F.size(leg)
+    Every leg is cut to the instants that all legs have, sorted and zipped, which takes n log n
+    steps however much the legs differ. Documents with repeated instants are joined instead,
+    where repeats multiply. An asset in two documents raises an error.
+    """
+    dtype = element_type(raw)
+    most = raw.where(F.col("coin_id").isNotNull()).groupBy("coin_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"))
+    checked = F.when(F.coalesce(most.scalar(), F.lit(0)) > 1, F.raise_error(F.lit("an asset occurs in several documents: use strategy join or keyed")).cast("boolean")).otherwise(F.lit(True))
 
-    typed = raw.where(F.col("coin_id").isNotNull()).select("coin_id", *DESCRIPTIVE, *[points(leg) for leg in LEGS])
+    def cut(leg: str) -> Column:
+        """The points at common instants: a mark per common instant sorts right before its point."""
+        marks = F.transform("common", lambda t: F.struct(t.alias("t"), F.lit(0).alias("point"), F.lit(None).cast("double").alias("v")))
+        points = F.transform(F.col(leg), lambda p: F.struct(p["t"].alias("t"), F.lit(1).alias("point"), p["v"].alias("v")))
+        return F.array_sort(F.concat(marks, points)).alias(f"{leg}_marked")
+
+    def kept(leg: str) -> Column:
+        marked = F.col(f"{leg}_marked")
+        after_mark = lambda p, i: (p["point"] == 1) & (i > 0) & (F.get(marked, F.greatest(i - 1, F.lit(0)))["t"] == p["t"])
+        return F.filter(marked, after_mark).alias(leg)
+
+    repeats = repeats_an_instant(raw, mode)
+    single = raw.where(F.col("coin_id").isNotNull() & ~repeats & checked)
+    typed = single.select("coin_id", *DESCRIPTIVE, *[_points(leg, dtype, mode).alias(leg) for leg in LEGS])
     common = F.array_intersect(F.array_intersect("price.t", "market_cap.t"), "volume.t")
-    shared = typed.withColumn("common", common)
-    compared = shared.select("*", *[F.array_except(f"{leg}.t", "common").alias(f"{leg}_extra") for leg in LEGS])
-
+    marked = typed.withColumn("common", common).select("coin_id", *DESCRIPTIVE, *[cut(leg) for leg in LEGS])
+    aligned = marked.select("coin_id", *DESCRIPTIVE, *[kept(leg) for leg in LEGS])
     zipped = F.transform(
-        F.arrays_zip(*[cut(leg) for leg in LEGS]),
-        lambda z: row(z["price"]["t"], z["price"]["v"], z["market_cap"]["v"], z["volume"]["v"]),
-    )
-    same = lambda leg, t: F.filter(F.col(leg), lambda q: q["t"] == t)
-    matched = F.flatten(
-        F.transform(
-            F.col("price"),
-            lambda p: F.flatten(
-                F.transform(
-                    same("market_cap", p["t"]),
-                    lambda c: F.transform(same("volume", p["t"]), lambda v: row(p["t"], p["v"], c["v"], v["v"])),
-                )
-            ),
-        )
+        F.arrays_zip(*LEGS),
+        lambda z: F.struct(z["price"]["t"].alias("timestamp"), *[z[leg]["v"].alias(leg) for leg in LEGS]),
     )
-    distinct = distinct_times("price") & distinct_times("market_cap") & distinct_times("volume")
-    rows = compared.select("coin_id", *DESCRIPTIVE, F.inline(F.when(distinct, zipped).otherwise(matched)))
-    return rows.select(*KEY, *DESCRIPTIVE, *LEGS)
+    rows = aligned.select("coin_id", *DESCRIPTIVE, F.inline(zipped)).select(*KEY, *DESCRIPTIVE, *LEGS)
+    joined = join_legs(raw.where(repeats & checked), mode=mode)
+    return rows.unionByName(joined.select(*KEY, *DESCRIPTIVE, *LEGS))
 
 
 def flatten_series(raw: DataFrame, mode: str = "coalesced", strategy: str = "join") -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from series_lake.functions.timeconv import ms_to_ntz
+from series_lake.functions.timeconv import ms_to_ntz, valid_ms
+from series_lake.functions.choice import choice_double, choice_long, element, element_type
 from series_lake.operators.flatten import tagged_points
 from series_lake.schemas import KEY, LEG_ARRAYS, LEGS
 
@@ -21,6 +22,24 @@ def reject_documents(raw: DataFrame) -> DataFrame:
     return raw.withColumn("reason", reason).where(F.col("reason") != "")
 
 
+def reject_points(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
+    """Pairs that give no point or a point without value: asset, leg, the literals, the reason.
+
+    Reasons: ``no time`` (absent or not a number), ``time out of range`` (see timeconv), ``no value``.
+    """
+    dtype = element_type(raw)
+    arrays = F.array(*[F.struct(F.lit(leg).alias("leg"), F.col(f"data.{name}").alias("pairs")) for leg, name in LEG_ARRAYS.items()])
+    pairs = raw.select("coin_id", F.inline(arrays)).select("coin_id", "leg", F.explode("pairs").alias("pair"))
+    time = choice_long(element(F.col("pair"), 0), dtype, mode)
+    reason = (
+        F.when(time.isNull(), "no time")
+        .when(valid_ms(time).isNull(), "time out of range")
+        .when(choice_double(element(F.col("pair"), 1), dtype, mode).isNull(), "no value")
+    )
+    literals = [element(F.col("pair"), i).cast("string").alias(name) for i, name in enumerate(("time", "value"))]
+    return pairs.select("coin_id", "leg", *literals, reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def null_value_audit(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
     """Per asset and leg: pairs, and how many lack their time or their value after reading."""
     return (

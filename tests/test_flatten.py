@@ -8,6 +8,7 @@ import pytest
 from series_lake.functions.documents import build_envelope
 from series_lake.operators.flatten import flatten_series, join_legs, leg_points, tagged_points
 from series_lake.operators.merge import merge_history
+from series_lake.operators.quality import reject_points
 from series_lake.schemas import FLAT, RAW, RAW_STRICT, RAW_TYPED
 from series_lake.sources.files import scan_raw, typed_copy
 
@@ -147,3 +148,21 @@ def test_typed_copy_changes_nothing(spark, landed, tmp_path):
     assert copy.count() == 3 and copy.where("data IS NULL").count() == 1
     assert bag(flatten_series(copy)) == bag(flatten_series(raw))
     assert bag(tagged_points(copy)) == bag(tagged_points(raw))
+
+
+def test_one_repeat_in_a_long_document(spark):
+    n = 100_000
+    leg = [[float(i), float(i)] for i in range(n)]
+    repeated = [*leg, [5.0, 6.0]]
+    raw = lambda prices: spark.createDataFrame([("a", "n", "s", "i", 1, (prices, leg[10:], leg[: n - 10]))], RAW_TYPED)
+    assert flatten_series(raw(leg), strategy="document").count() == n - 20
+    assert flatten_series(raw(repeated), strategy="document").count() == n - 20
+
+
+def test_absurd_times_cost_one_point_each(spark, landed):
+    good = [[T0, 1.0], [T0 + 1, 1.0]]
+    folder = landed(document("a", [*good, [10**18, 1.0], [T0 * 1000, 1.0]], good, good))
+    for strategy in ("join", "keyed", "document"):
+        assert len(values(spark, folder, strategy=strategy)) == 2
+    rejected = reject_points(scan_raw(spark, folder)).collect()
+    assert sorted((r.leg, r.time, r.reason) for r in rejected) == sorted(("price", str(t), "time out of range") for t in (10**18, T0 * 1000))
