@@ -30,10 +30,12 @@ def arguments() -> argparse.ArgumentParser:
     prepare.add_argument("--landing", required=True)
     prepare.add_argument("--run-type", default="normal")
     prepare.add_argument("--as-of-ms", type=int, required=True)
-    prepare.add_argument("--top", type=int, default=runs.PAGE_SIZE)
+    prepare.add_argument("--top", type=int, default=runs.PAGE_SIZE, help="assets per page")
+    prepare.add_argument("--page", type=int, default=1)
+    prepare.add_argument("--currency", help="keep points quoted in this currency only")
 
     intra = commands.add_parser("run-intra-day", help="replace the intra-day output and its warehouse table")
-    intra.add_argument("--raw", required=True)
+    intra.add_argument("--raw", required=True, help="path or catalog table")
     intra.add_argument("--table", required=True)
     intra.add_argument("--table-root", required=True)
     intra.add_argument("--strategy", default="join")
@@ -44,6 +46,9 @@ def arguments() -> argparse.ArgumentParser:
     historical.add_argument("--full", action="store_true", help="load the volume as well")
 
     for command in (intra, historical):
+        command.add_argument("--rejects", help="folder for what cannot be read, with the reason")
+        command.add_argument("--fail-fast", action="store_true", help="stop at the first unreadable document")
+        command.add_argument("--metrics", action="store_true", help="fill the declared metric columns")
         command.add_argument("--wh-table", required=True)
         command.add_argument("--wh-root", required=True)
     return parser
@@ -54,12 +59,13 @@ def main(argv: list[str]) -> None:
     spark = SparkSession.builder.appName(f"series-lake {args.command}").getOrCreate()
     if args.command == "prepare-raw":
         points = scan_published(spark, args.points)
-        runs.prepare_raw(markets_snapshot(spark, args.markets), points, args.landing, args.run_type, args.as_of_ms, args.top)
+        runs.prepare_raw(markets_snapshot(spark, args.markets), points, args.landing, args.run_type, args.as_of_ms, args.top, args.page, args.currency)
         return
+    options = {"rejects": args.rejects, "fail_fast": args.fail_fast, "metrics": args.metrics}
     if args.command == "run-intra-day":
-        loaded = runs.run_intra_day(spark, args.raw, args.table, args.table_root, args.wh_table, args.wh_root, args.strategy)
+        loaded = runs.run_intra_day(spark, args.raw, args.table, args.table_root, args.wh_table, args.wh_root, args.strategy, **options)
     else:
-        loaded = runs.run_historical(spark, args.raw, args.history, args.wh_table, args.wh_root, args.full)
+        loaded = runs.run_historical(spark, args.raw, args.history, args.wh_table, args.wh_root, args.full, **options)
     keyed = loaded.select(F.col("id").alias("coin_id"), ntz_to_ms("last_updated").alias("timestamp"))
     print(load_summary(keyed).toJSON().first())
 

@@ -17,8 +17,9 @@ PARQUET_FORMAT = {"compression": "snappy"}
 
 
 def scan_raw(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """One document per JSON line or file."""
-    return spark.read.schema(schema).json(path)
+    """One document per JSON line (see ``scan_corrupt_capture`` for unreadable lines). Folders of
+    the landing layout are not columns of the documents."""
+    return spark.read.schema(schema).json(path).select(*schema.names)
 
 
 def scan_raw_table(spark: SparkSession, name: str) -> DataFrame:
@@ -49,7 +50,8 @@ def scan_corrupt_capture(spark: SparkSession, path: str, schema: T.StructType =
     if fail_fast:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     captured = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(captured).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).json(path)
+    reader = spark.read.schema(captured).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return reader.json(path).select(*captured.names)
 
 
 def scan_published(spark: SparkSession, path: str, schema: T.StructType = FLAT_DATED) -> DataFrame:

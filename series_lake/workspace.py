@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,9 +31,24 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/series_lake/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a staged copy once everything derived from it is written."""
     if not path.startswith(f"{shared_root(spark)}/series_lake/"):
         raise ValueError(f"not a scratch path: {path}")
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, path)
+
+
+@contextmanager
+def staged(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch path that is removed when the block ends, also by an error."""
+    path = scratch(spark, label)
+    try:
+        yield path
+    finally:
+        discard(spark, path)

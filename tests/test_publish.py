@@ -90,6 +90,11 @@ def test_create_or_replace_table(spark, tmp_path):
         w.create_table(spark, name, schema, str(tmp_path / folder))
         assert spark.table(name).schema.names == schema.names
         assert spark.table(name).count() == 0
+    w.create_table(spark, name, WH_INTRA, str(tmp_path / "b"))  # the same place again
+    (tmp_path / "file").write_text("no folder")
+    with pytest.raises(Exception):
+        w.create_table(spark, name, WH_HIST, str(tmp_path / "file"))
+    assert spark.table(name).schema.names == WH_INTRA.names and spark.table(name).count() == 0
 
 
 def test_mappings(spark):
@@ -135,10 +140,16 @@ def test_catalog_scan(spark, landed):
     assert files.scan_raw_table(spark, "raw_documents").first().coin_id == "a"
 
 
-def test_staged_copies_are_removed(spark, tmp_path):
-    staged = lambda: set(pathlib.Path(shared_root(spark), "series_lake").glob("staged-*/*.parquet"))
+def test_staged_copies_are_removed(spark, landed, tmp_path):
+    staged = lambda: {f for f in pathlib.Path(shared_root(spark), "series_lake").glob("*") if f.name.startswith(("staged-", "landing-"))}
     before = staged()
     p.publish_history(spark, flat(spark, ("x", 1, 1)), str(tmp_path / "h"))
+    with pytest.raises(Exception, match="broken"):
+        p.publish_history(spark, failing(flat(spark, ("x", 1, 2))), str(tmp_path / "h"))
+    docs = files.scan_raw(spark, landed(document("a", [[1, 1.5]])), RAW_STRICT)
+    p.land_bulk(spark, docs, str(tmp_path / "zone"), "normal")
+    with pytest.raises(Exception, match="broken"):
+        p.land_bulk(spark, docs.withColumn("coin_name", F.raise_error(F.lit("broken"))), str(tmp_path / "zone"), "normal")
     assert staged() == before
     with pytest.raises(ValueError):
         discard(spark, str(tmp_path / "h"))
@@ -166,3 +177,35 @@ def test_rows_without_a_time_are_kept(spark, tmp_path):
     p.publish_history(spark, flat(spark, ("x", None, 1), ("x", 1, 1)), path)
     out = p.publish_history(spark, flat(spark, ("y", None, 2), ("x", 2, 2)), path)
     assert sorted((r.coin_id, r.price) for r in out.collect()) == [("x", 1.0), ("x", 1.0), ("x", 2.0), ("y", 2.0)]
+
+
+def test_absurd_times_go_their_own_way(spark, tmp_path):
+    path = str(tmp_path / "h")
+    out = p.publish_history(spark, flat(spark, ("x", 10**18, 1), ("x", 1711111111999000, 2), ("x", 1, 3)), path)
+    assert sorted((r.timestamp, r.date is None) for r in out.collect()) == [(1, False), (1711111111999000, True), (10**18, True)]
+    assert w.map_hist(out).where("last_updated IS NULL").count() == 2
+    many = spark.range(50).selectExpr("date_from_unix_date(cast(id as int)) AS date")
+    with pytest.raises(ValueError, match="more than 10 days"):
+        p.touched_days(many, 10)
+
+
+def test_landing_touches_only_the_folders_of_its_assets(spark, landed, tmp_path):
+    path = tmp_path / "zone"
+    docs = files.scan_raw(spark, landed(*[document(f"a{i}", [[1, 1.5]]) for i in range(40)], '{"coin_name": "none"}'), RAW_STRICT)
+    p.land_bulk(spark, docs, str(path), "normal")
+    before = {f: f.stat().st_mtime_ns for f in path.rglob("*.json")}
+    for _ in range(2):
+        one = files.scan_raw(spark, landed(document("a7", [[2, 2.5]]), '{"coin_name": "none"}', name="one"), RAW_STRICT)
+        p.land_bulk(spark, one.limit(2), str(path), "normal")
+    after = {f: f.stat().st_mtime_ns for f in path.rglob("*.json")}
+    assert len({f.parent for f in before if f not in after}) <= 2
+    again = files.scan_raw(spark, f"{path}/prefix=historical_data")
+    assert again.where("coin_id IS NULL").count() == 1 and again.where("coin_id IS NOT NULL").count() == 40
+
+
+def test_versions_kept(spark):
+    name, root = new_table(spark, "versions")
+    for price in (1, 2, 3, 4):
+        p.publish_version(spark, flat(spark, ("x", 1, price)), name, root, FLAT, keep=2)
+    assert len(list(pathlib.Path(root).glob("v=*"))) == 2
+    assert prices(spark.table(name)) == [("x", 1, 4.0)]

@@ -1,4 +1,5 @@
 import json
+import pathlib
 
 import pytest
 from conftest import document
@@ -6,6 +7,7 @@ from conftest import document
 from series_lake.__main__ import main
 from series_lake.functions.timeconv import DAY_MS
 from series_lake.operators.flatten import tagged_points
+from series_lake.plans import runs
 from series_lake.queries.projections import new_table
 from series_lake.schemas import FLAT_DATED, MARKETS
 from series_lake.sources.files import scan_raw
@@ -52,3 +54,45 @@ def test_prepare_raw(spark, tmp_path):
     }
     assert landed.where("leg = 'price' AND round(value, 2) != value").count() == 0
     assert {(r.coin_id, r.coin_name, r.market_cap_rank) for r in landed.select("coin_id", "coin_name", "market_cap_rank").distinct().collect()} == {("c0", "C0", 1), ("c1", "C1", 2)}
+
+
+def test_silent_asset_gets_an_empty_document(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    listing = spark.createDataFrame([("a", "A", "a", "i", 1, 9.0), ("b", "B", "b", "i", 2, 8.0)], MARKETS)
+    points = lambda *rows: spark.createDataFrame([(c, t, 1.0, 1.0, 1.0, q) for c, t, q in rows], "coin_id string, timestamp long, price double, market_cap double, volume double, quote_currency string")
+    prepare = lambda at, *rows: runs.prepare_raw(listing, points(*rows), landing, "intra_day", at, currency="usd")
+    prepare(T0, ("a", T0, "usd"), ("b", T0, "usd"), ("a", T0 - 1, "eur"))
+    prepare(T0 + 8 * DAY_MS, ("a", T0 + 8 * DAY_MS, "usd"), ("b", T0, "usd"))
+    docs = scan_raw(spark, f"{landing}/prefix=intra_day_data")
+    assert {(r.coin_id, len(r.data.prices)) for r in docs.collect()} == {("a", 1), ("b", 0)}
+    with pytest.raises(ValueError, match="coarser"):
+        runs.prepare_raw(listing, points(("a", T0, "usd"), ("a", T0 - 1, "usd")), landing, "normal", T0, most_points=1)
+
+
+def test_rejects_and_fail_fast(spark, landed, tmp_path):
+    wh, wh_root = new_table(spark, "rejects")
+    good = [[T0, 1.0]]
+    raw = landed(document("a", [*good, [10**18, 2.0]], good, good), '{"coin_id": "b", "da', document("c", good))
+    args = (spark, raw, str(tmp_path / "h"), wh, wh_root)
+    assert runs.run_historical(*args, rejects=str(tmp_path / "rejects")).count() == 1
+    found = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert sorted((r.kind, r.coin_id or "", r.reason) for r in found) == [
+        ("document", "", "unreadable"), ("document", "c", "market_caps,total_volumes"), ("point", "a", "time out of range"),
+    ]
+    with pytest.raises(Exception):
+        runs.run_historical(*args, fail_fast=True)
+
+
+def test_untouched_days_keep_their_files(spark, landed, tmp_path):
+    wh, wh_root = new_table(spark, "days")
+    day = lambda n, price: [T0 + n * DAY_MS, price]
+    for metrics in (False, True):
+        for i, points in enumerate(([day(0, 1.0), day(1, 1.0), day(9, 1.0)], [day(1, 2.0)])):
+            before = {f: f.stat().st_mtime_ns for f in pathlib.Path(wh_root).rglob("*.parquet")}
+            raw = landed(document("a", points, points, points), name=f"raw{metrics}{i}")
+            loaded = runs.run_historical(spark, raw, str(tmp_path / "h"), wh, wh_root, metrics=metrics)
+        after = {f: f.stat().st_mtime_ns for f in pathlib.Path(wh_root).rglob("*.parquet")}
+        kept = {f.parent.name for f in before if after.get(f) == before[f]}
+        assert kept >= {"load_day=2024-03-22", "load_day=2024-03-31"}
+        assert sorted(r.current_price for r in loaded.collect()) == [1.0, 1.0, 2.0]
+    assert sorted(r.high_24h for r in loaded.where("high_24h IS NOT NULL").collect())[-1] == 2.0
