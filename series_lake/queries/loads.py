@@ -19,7 +19,6 @@ from series_lake.queries.registry import (
     WH_HIST_SELECT,
     WH_INTRA_SELECT,
     query,
-    series_sql,
 )
 from series_lake.queries.scans import leg_rows_sql
 from series_lake.schemas import FLAT_DATED, WH_HIST, WH_INTRA
@@ -156,12 +155,10 @@ def copy_into_intra_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "incremental_load",
-    f"""WITH {series_sql("early", "value + 1", "ts < TIMESTAMP '2024-01-20 00:00:00'")},
-{series_sql("late", "value", "ts >= TIMESTAMP '2024-01-20 00:00:00'")}
-SELECT {WH_HIST_SELECT} FROM (SELECT * FROM early UNION ALL SELECT * FROM late)""",
+    f"WITH {MERGED_SQL} SELECT {WH_HIST_SELECT} FROM merged",
 )
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load, publish new days, load those, and load again with nothing new."""
+    """Load, publish a run that overlaps by five days, load what changed, and load nothing new."""
     published, target, checkpoint = (scratch(spark, label) for label in ("published", "loaded", "progress"))
 
     def load() -> DataFrame:
@@ -171,7 +168,6 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     publish.publish_history(spark, existing_history(spark, sf_dir), published)
     load()
-    new_days = incoming_history(spark, sf_dir).where(F.col("timestamp") >= 1_705_708_800_000)  # 2024-01-20
-    publish.publish_history(spark, new_days, published)
+    publish.publish_history(spark, incoming_history(spark, sf_dir), published)
     load()
     return load()

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from series_lake.operators import merge
-from series_lake.queries.registry import HISTORY_SQL, MERGED_SQL, query
+from series_lake.queries.registry import HISTORY_SQL, MERGED_SQL, query, series_sql
 from series_lake.schemas import KEY
-from series_lake.sources.tables import existing_history, incoming_history
+from series_lake.sources.tables import existing_history, flat_points, incoming_history, table
 
 
 @query("union_by_name", f"WITH {HISTORY_SQL} SELECT * FROM incoming UNION ALL SELECT * FROM existing")
@@ -30,8 +31,10 @@ def merge_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_history(incoming_history(spark, sf_dir), existing_history(spark, sf_dir))
 
 
-@query("merge_first_run", f"WITH {HISTORY_SQL} SELECT * FROM incoming")
+@query("merge_first_run", f"""WITH {series_sql("revised", "value + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END")} SELECT * FROM revised""")
 def merge_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = incoming_history(spark, sf_dir)
-    # the run delivered twice: a first run is de-duplicated as well
-    return merge.merge_history(merge.union_by_name(incoming, incoming))
+    """A first run that holds every point twice, every second one with a lower and a higher price:
+    the higher wins."""
+    events = table(spark, sf_dir, "events")
+    revised = flat_points(events, F.col("value") + F.when(F.col("event_id") % 2 == 0, 1).otherwise(0))
+    return merge.merge_history(merge.union_by_name(revised, flat_points(events, F.col("value"))))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from series_lake.functions.timeconv import MAX_MS
 from series_lake.operators import quality as q
 from series_lake.operators.merge import union_by_name
 from series_lake.queries.registry import DAILY_SQL, HISTORY_SQL, MERGED_SQL, query
 from series_lake.operators.merge import merge_history
-from series_lake.sources.tables import daily_documents, existing_history, incoming_history, landed_documents
+from series_lake.sources.tables import daily_documents, existing_history, incoming_history, landed_documents, odd_documents
 
 
 @query(
@@ -25,21 +26,32 @@ def reject_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.reject_documents(daily_documents(spark, sf_dir)).select("coin_id", "timestamp", "reason")
 
 
-_LEG_ROWS = """legs AS (
-  SELECT coin_id, 'price' AS leg, price AS value FROM daily WHERE price IS NOT NULL
-  UNION ALL SELECT coin_id, 'market_cap', market_cap FROM daily WHERE market_cap IS NOT NULL
-  UNION ALL SELECT coin_id, 'volume', volume FROM daily WHERE volume IS NOT NULL)"""
+_ODD_ROWS = """odd AS (
+  SELECT coin_id, 'price' AS leg, "timestamp" AS time, price AS value FROM daily
+  UNION ALL SELECT coin_id, 'market_cap', CASE WHEN market_cap IS NOT NULL THEN "timestamp" END, coalesce(market_cap, 1) FROM daily
+  UNION ALL SELECT coin_id, 'volume', CASE WHEN volume IS NULL THEN "timestamp" * 1000 ELSE "timestamp" END, coalesce(volume, 1) FROM daily)"""
 
 
 @query(
     "null_value_audit",
-    f"""WITH {DAILY_SQL}, {_LEG_ROWS}
-SELECT coin_id, leg, count(*) AS points, CAST(0 AS BIGINT) AS null_times,
+    f"""WITH {DAILY_SQL}, {_ODD_ROWS}
+SELECT coin_id, leg, count(*) AS points, count(*) FILTER (time IS NULL OR time > {MAX_MS}) AS null_times,
        count(*) FILTER (value IS NULL) AS null_values
-FROM legs GROUP BY coin_id, leg""",
+FROM odd GROUP BY coin_id, leg""",
 )
 def null_value_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.null_value_audit(landed_documents(spark, sf_dir))
+    return q.null_value_audit(odd_documents(spark, sf_dir))
+
+
+@query(
+    "reject_points",
+    f"""WITH {DAILY_SQL}, {_ODD_ROWS}
+SELECT coin_id, leg, CAST(time AS VARCHAR) AS time,
+       CASE WHEN time IS NULL THEN 'no time' WHEN time > {MAX_MS} THEN 'time out of range' ELSE 'no value' END AS reason
+FROM odd WHERE time IS NULL OR time > {MAX_MS} OR value IS NULL""",
+)
+def reject_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.reject_points(odd_documents(spark, sf_dir)).select("coin_id", "leg", "time", "reason")
 
 
 @query(

@@ -15,10 +15,10 @@ from series_lake.queries.registry import DAILY_SQL, DAY_SQL, MARKETS_SQL, query,
 from series_lake.schemas import FLAT_DATED, MARKETS
 from series_lake.sinks.publish import land_bulk, publish_history
 from series_lake.sources import files
-from series_lake.sources.tables import daily_points, documents, existing_history, markets, table
+from series_lake.sources.tables import daily_points, documents, markets, series, table
 from series_lake.workspace import scratch
 
-_EXISTING = series_sql("existing", "value + 1", "ts < TIMESTAMP '2024-01-20 00:00:00'")
+_PUBLISHED = series_sql("published")
 
 
 def leg_rows_sql(where: str = "TRUE") -> str:
@@ -49,25 +49,25 @@ def intra_day_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_envelope(lookback(daily_points(spark, sf_dir), AS_OF_MS, "intra_day"), "variant")
 
 
-@query("scan_published", f"WITH {_EXISTING} SELECT *, {DAY_SQL} FROM existing")
+@query("scan_published", f"WITH {_PUBLISHED} SELECT *, {DAY_SQL} FROM published")
 def scan_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "published")
-    publish_history(spark, existing_history(spark, sf_dir), path)
+    publish_history(spark, series(spark, sf_dir), path)
     return files.scan_published(spark, path)
 
 
-@query("scan_if_exists", f"WITH {_EXISTING} SELECT *, {DAY_SQL} FROM existing")
+@query("scan_if_exists", f"WITH {_PUBLISHED} SELECT *, {DAY_SQL} FROM published")
 def scan_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "published")
     absent = files.scan_if_exists(spark, path)
-    publish_history(spark, existing_history(spark, sf_dir), path)
+    publish_history(spark, series(spark, sf_dir), path)
     return absent.unionByName(files.scan_if_exists(spark, path)).select(*FLAT_DATED.names)
 
 
-@query("scan_stage", f'WITH {_EXISTING} SELECT coin_id, "timestamp", price, {DAY_SQL} FROM existing')
+@query("scan_stage", f'WITH {_PUBLISHED} SELECT coin_id, "timestamp", price, {DAY_SQL} FROM published')
 def scan_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "stage")
-    publish_history(spark, existing_history(spark, sf_dir), path)
+    publish_history(spark, series(spark, sf_dir), path)
     return files.scan_stage(spark, path).select("coin_id", "timestamp", "price", "date")
 
 

@@ -17,10 +17,13 @@ from series_lake.workspace import scratch
 def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, target, checkpoint = (scratch(spark, label) for label in ("raw", "flat", "progress"))
     land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
-    for _ in range(2):  # the second call finds nothing new
+    for _ in range(2):  # the second landing delivers every document again, in new files
         docs = increments.stream_raw(spark, f"{raw}/prefix=historical_data")
         increments.stream_flatten(docs, target, checkpoint).awaitTermination()
-    return spark.read.schema(FLAT).parquet(target)
+        land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
+    docs = increments.stream_raw(spark, f"{raw}/prefix=historical_data")
+    increments.stream_flatten(docs, target, checkpoint).awaitTermination()
+    return increments.read_flat(spark, target)
 
 
 @query("stream_merge", f"WITH {MERGED_SQL} SELECT *, {DAY_SQL} FROM merged")
@@ -44,6 +47,6 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving, target, checkpoint = (scratch(spark, label) for label in ("arriving", "once", "progress"))
     for run in (existing_history(spark, sf_dir), incoming_history(spark, sf_dir)):
         run.write.mode("append").parquet(arriving)
-        flat = spark.readStream.schema(FLAT).parquet(arriving)
+        flat = spark.readStream.schema(FLAT).option("maxFilesPerTrigger", 4).parquet(arriving)
         increments.stream_dedupe(flat, target, checkpoint).awaitTermination()
-    return spark.read.schema(FLAT).parquet(target)
+    return increments.read_flat(spark, target)

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from series_lake.functions import timeconv as tc
 from series_lake.functions.documents import build_envelope
-from series_lake.schemas import FLAT_COLUMNS, RAW_TYPED
+from series_lake.schemas import DESCRIPTIVE, FLAT_COLUMNS, LEG_ARRAYS, RAW_TYPED
 from series_lake.workspace import scratch
 
 # Which event type plays which leg.
 LEG_EVENTS = {"price": "view", "market_cap": "click", "volume": "purchase"}
 
+_DESCRIBED = ["coin_id", *DESCRIPTIVE]
+
 EXISTING_BEFORE = "2024-01-20 00:00:00"
 INCOMING_FROM = "2024-01-15 00:00:00"
 
@@ -74,6 +76,38 @@ def daily_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per user whose pairs are faulty where the day lacks a value.
+
+    A day without price has a price pair without value, a day without market cap a pair without
+    time, a day without volume a pair whose time is in microseconds and so out of range.
+    """
+    day, missing = F.col("timestamp").cast("string"), F.lit(None).cast("string")
+    text = lambda leg: F.col(leg).cast("string")
+    pairs = daily_points(spark, sf_dir).select(
+        *_DESCRIBED,
+        F.array(day, text("price")).alias("prices"),
+        F.array(F.when(F.col("market_cap").isNull(), missing).otherwise(day), F.coalesce(text("market_cap"), F.lit("1"))).alias("market_caps"),
+        F.array(F.when(F.col("volume").isNull(), (F.col("timestamp") * 1000).cast("string")).otherwise(day), F.coalesce(text("volume"), F.lit("1"))).alias("total_volumes"),
+    )
+    grouped = pairs.groupBy(*_DESCRIBED).agg(*[F.collect_list(a).alias(a) for a in LEG_ARRAYS.values()])
+    return grouped.select(*_DESCRIBED, F.struct(*LEG_ARRAYS.values()).alias("data"))
+
+
+def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per user with two pairs per leg and day, the smallest and the largest value, so
+    that every instant is repeated and the join of the legs multiplies."""
+    value, kind = F.col("value"), F.col("event_type")
+    own = {leg: F.when(kind == event, value) for leg, event in LEG_EVENTS.items()}
+    ends = [f(own[leg]).alias(f"{leg}_{f.__name__}") for leg in LEG_ARRAYS for f in (F.min, F.max)]
+    daily = table(spark, sf_dir, "events").groupBy("user_id", tc.day_start_ms("ts").alias("timestamp")).agg(*ends)
+    pair = lambda end: F.array(F.col("timestamp").cast("double"), F.col(end))
+    both = [F.when(F.col(f"{leg}_min").isNotNull(), F.array(pair(f"{leg}_min"), pair(f"{leg}_max"))).alias(leg) for leg in LEG_ARRAYS]
+    described = daily.select(*_asset_columns(), *both)
+    grouped = described.groupBy(*_DESCRIBED).agg(*[F.flatten(F.collect_list(leg)).alias(name) for leg, name in LEG_ARRAYS.items()])
+    return grouped.select(*_DESCRIBED, F.struct(*LEG_ARRAYS.values()).alias("data"))
+
+
 _landed: dict[tuple[str, str], str] = {}
 
 
