@@ -90,6 +90,7 @@ def with_rank(frame: DataFrame, value: str = "market_cap", name: str = "market_c
     and the rank of NULL all come from one evaluation of it. Equal values are counted before
     they meet, rows without a value never enter the join.
     """
+    frame = frame.drop(name)  # a rank that the rows carry is replaced
     valued = frame.where(F.col(value).isNotNull())
     counted = valued.groupBy(value).agg(F.count("*").alias("n"))
     bounds = _cut_points(counted, value, ranges, range_values)
