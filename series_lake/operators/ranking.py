@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 # Fixed value: rows per page of the market listing.
 PAGE_SIZE = 25
+#: Most rows of a ranking that one task may hold.
+HELD = 10_000
 
 
 def _by_market_cap() -> list[Column]:
@@ -21,14 +23,17 @@ def top_n(markets: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
     return markets.orderBy(*_by_market_cap()).limit(n)
 
 
-def page(markets: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
+def page(markets: DataFrame, number: int, size: int = PAGE_SIZE, held: int = HELD) -> DataFrame:
     """Page ``number`` (from 1) of the ranking.
 
-    Ranks (see ``with_rank``) tell which rows can be on the page, so a deep page neither sorts nor
+    Up to ``held`` rows, the page and those before it are the tops of the tasks. Further down
+    ranks (see ``with_rank``) tell which rows can be on the page, so a deep page neither sorts nor
     holds the rows before it. Of rows with equal value that reach over the edge of the page,
     the ids are ranked the same way, so neither does a large tie.
     """
     low, high = (number - 1) * size, number * size
+    if high <= held:
+        return top_n(markets, high).orderBy(*_by_market_cap()).offset(low)
     ranked = with_rank(markets, "market_cap", "_rank")
     spans = ranked.groupBy("_rank").agg(F.count("*").alias("_ties"))
     on_page = spans.where((F.col("_rank") <= high) & (F.col("_rank") + F.col("_ties") > low + 1)).select("_rank", "_ties")

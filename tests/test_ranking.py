@@ -34,7 +34,8 @@ def test_deep_page_holds_only_its_rows(spark):
     values = [7.0] * 300 + [rng.uniform(0, 20) for _ in range(300)] + [None] * 60
     frame = markets(spark, values)
     order = [x.id for x in frame.orderBy(F.desc_nulls_last("market_cap"), "id").collect()]
-    for number in (1, 9, 20, 26, 27, 28):
-        got = r.page(frame, number)
+    for number in (9, 26, 28):
+        assert [x.id for x in r.page(frame, number).collect()] == order[(number - 1) * 25 : number * 25]
+        got = r.page(frame, number, held=0)
         assert [x.id for x in got.collect()] == order[(number - 1) * 25 : number * 25]
         assert "offset=" not in got._jdf.queryExecution().toString()
