@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from series_lake.llm.staging import staging
+from series_lake.llm.staging import BROADCAST_KEYS, staging
 
 MIN_PAGES = 10
 CONTAINER_SHARE = 0.5
@@ -73,7 +73,7 @@ class _Node:
 def _is_marked(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in DROPPED or (tag == "header" and not in_article):
         return True
-    if tag in ("html", "body", "article", "main") or "=" not in attributes:
+    if tag in ("html", "body") or (tag in ("article", "main") and not in_article) or "=" not in attributes:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
@@ -86,6 +86,7 @@ def _is_marked(tag: str, attributes: str, in_article: bool) -> bool:
 def parse(page: str) -> _Node:
     """The element tree; misnested and unclosed tags are tolerated."""
     root = _Node("", None)
+    outermost: list[_Node] = []
     at, position, end = root, 0, len(page)
     while position < end:
         m = TOKEN.match(page, position)
@@ -113,11 +114,8 @@ def parse(page: str) -> _Node:
         node = _Node(tag, at)
         node.marked = _is_marked(tag, attributes, at.article)
         at.children.append(node)
-        if tag in ("article", "main") and not node.marked:
-            above = node
-            while above is not None and not above.holds_article:
-                above.holds_article = True
-                above = above.parent
+        if tag in ("article", "main") and not at.article:
+            outermost.append(node)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS:
             continue
         if tag in RAW:
@@ -125,9 +123,25 @@ def parse(page: str) -> _Node:
             position = end if stop is None else page.find(">", stop.start()) + 1 or end
             continue
         at = node
+    _mark_holders(outermost)
     return root
 
 
+def _above(node: _Node) -> Iterator[_Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _mark_holders(articles: list[_Node]) -> None:
+    """Marks the elements around the page's articles. Articles inside a marked element (a list of
+    teasers, say) only count if there is no other, and then only if no element name marks it."""
+    clear = [a for a in articles if not any(n.marked for n in _above(a))]
+    for article in clear or [a for a in articles if not any(n.tag in DROPPED for n in _above(a))]:
+        for node in _above(article):
+            node.holds_article = True
+
+
 def _ended(at: _Node, tags: set[str], barriers: set[str]) -> _Node:
     node = at
     while node.parent is not None and node.tag not in barriers:
@@ -222,9 +236,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         counted = subtrees.groupBy("host", "hash", "guarded").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
         least = F.when(F.col("guarded"), F.lit(article_share)).otherwise(F.lit(share)) * F.col("pages")
         template = area.write(counted.join(sizes, "host").where(F.col("n") >= least).select("host", "hash", "guarded"), keep=True)
-        hits = subtrees.join(template, ["host", "hash", "guarded"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("hits"))
+        hits = area.write(subtrees.join(template, ["host", "hash", "guarded"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("hits")), keep=True)
+        # The texts stay where they are as long as the hits are few enough to be sent to them.
+        few = (hits.agg(F.sum(F.size("hits"))).first()[0] or 0) <= BROADCAST_KEYS
         none = F.array().cast("array<bigint>")
-        joined = parsed.join(hits, "row", "left").withColumn("hits", F.coalesce("hits", none))
+        joined = parsed.join(F.broadcast(hits) if few else hits, "row", "left").withColumn("hits", F.coalesce("hits", none))
         kept = F.filter("blocks", lambda b: ~F.arrays_overlap(F.concat(b["free"], b["guarded"]), F.col("hits")))
         joined = joined.withColumn("left", F.when(F.size("hits") == 0, F.col("blocks")).otherwise(kept))
         joined = joined.withColumn("left", F.when(F.size("left") == 0, F.col("blocks")).otherwise(F.col("left")))

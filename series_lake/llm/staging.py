@@ -11,6 +11,23 @@ from pyspark.sql import functions as F
 from series_lake.workspace import discard, scratch
 
 
+#: Rows that go to a Python worker at once. Whole texts and sets of shingles are large rows.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While jobs run in this block, batches between Spark and Python are small, and so is the memory
+    that both sides hold them in."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 #: Copies that lazy results of this process still read, in the order they were written.
 KEPT: list[str] = []
 
@@ -34,7 +51,8 @@ class Staging:
     def write(self, frame: DataFrame, keep: bool = False) -> DataFrame:
         path = scratch(self.spark, self.label)
         try:
-            frame.write.parquet(path)
+            with small_batches(self.spark):
+                frame.write.option("compression", "zstd").parquet(path)
         except BaseException:
             discard(self.spark, path)
             raise
