@@ -75,6 +75,8 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
+        if not languages:
+            return
         smooth = counts + 0.5
         likelihood = smooth / smooth.sum(axis=0, keepdims=True)
         # Scaled per bucket, which changes all sets of languages alike.
