@@ -80,16 +80,21 @@ class _Scorer:
                 yield ids, scores, self.ids[:, None] != ids[None, :]
 
 
+def _ordinal(scores: np.ndarray) -> np.ndarray:
+    """64-bit numbers in the same order, from 0 on, so that differences do not overflow."""
+    return scores.view(np.uint64) ^ np.uint64(1 << 63)
+
+
 def _histogram(scorer: _Scorer, low: np.ndarray, step: np.ndarray, k: int):
-    """Counts of the scores >= low per bin of ``step``; scores beyond the last bin count there."""
+    """Counts of the ordinals >= low per bin of ``step``; those beyond the last bin count there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(low)
         counts = np.zeros((n, BINS), dtype=np.int64)
         for _, scores, counted in scorer.chunks(batches):
-            counted &= scores >= low[:, None]
-            query, column = np.nonzero(counted)
-            bins = np.minimum((scores[query, column] - low[query]) // step[query], BINS - 1)
+            ordinals = _ordinal(scores)
+            query, column = np.nonzero(counted & (ordinals >= low[:, None]))
+            bins = np.minimum((ordinals[query, column] - low[query]) // step[query], BINS - 1).astype(np.int64)
             counts += np.bincount(query * BINS + bins, minlength=n * BINS).reshape(n, BINS)
         # From the best bin down to the one that completes this task's k best.
         above = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1] - counts
@@ -119,23 +124,24 @@ def _best(scorer: _Scorer, kth: np.ndarray, k: int):
     return run
 
 
-def _kth_scores(vectors: DataFrame, scorer: _Scorer, bound: np.ndarray, k: int) -> np.ndarray:
+def _kth_scores(vectors: DataFrame, scorer: _Scorer, bound: list[int], k: int) -> np.ndarray:
     """The k-th best score of every query, or a score below all where there are fewer."""
     n = len(bound)
-    low, width = -bound, np.minimum(2 * bound.astype(np.float64) + 1, float(LONGEST)).astype(np.int64)
+    low = np.array([2**63 - b for b in bound], dtype=np.uint64)
+    width = np.array([2 * b + 1 for b in bound], dtype=np.uint64)
     need = np.full(n, k, dtype=np.int64)  # how many of the scores from ``low`` on are still to be found
     while (width > 1).any():
-        step = -(-width // BINS)
+        step = width // np.uint64(BINS) + (width % np.uint64(BINS) > 0)
         counted = vectors.mapInArrow(_histogram(scorer, low, step, k), "q int, bin int, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("bin")))
         limits = vectors.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(need)], "q int, need long")
         found = counted.withColumn("upto", upto).join(F.broadcast(limits), "q").where("upto >= need").groupBy("q").agg(F.max("bin").alias("bin"))
         at = {r["q"]: r["bin"] for r in found.collect()}  # one row per query of the block
-        bins = np.array([at.get(i, 0) for i in range(n)], dtype=np.int64)
+        bins = np.array([at.get(i, 0) for i in range(n)], dtype=np.uint64)
         enough = np.array([i in at for i in range(n)])
-        low = low + np.where(enough, bins * step, 0)
-        width = np.where(enough, step, 1)
-    return low
+        low = low + bins * step
+        width = np.where(enough, step, np.uint64(1))
+    return _ordinal(low.view(np.int64)).view(np.int64)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
@@ -159,7 +165,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             lists = pa.array([r["vector"] for r in rows], pa.list_(pa.float64()))
             matrix = _matrix(lists, max(limits[0], max(len(r["vector"]) for r in rows)))
             scorer = _Scorer(np.array([r["id"] for r in rows], dtype=np.int64), matrix)
-            bound = np.minimum(np.abs(matrix).sum(axis=1) * (limits[1] or 0.0), float(2**62)).astype(np.int64) + 1
+            bound = [min(LONGEST, int(b) + 1) for b in np.abs(matrix).sum(axis=1) * (limits[1] or 0.0)]
             kth = _kth_scores(candidates, scorer, bound, k)
             parts.append(area.write(candidates.mapInArrow(_best(scorer, kth, k), "query_id long, score long, vec_id long"), keep=True))
         if not parts:
