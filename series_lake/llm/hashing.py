@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PART = 1 << 20
+#: Bytes that are hashed at once: their arrays should stay in a core's cache.
+PART = 1 << 17
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -59,7 +60,8 @@ class Words:
         offset = np.arange(len(data)) - np.repeat(rel, lengths)
         value = self.table[data] * self.powers[offset & 0xFFFF]
         if lengths.max() > 0xFFFF:
-            value *= self.powers[(offset >> 16) & 0xFFFF]
+            far = np.flatnonzero(offset > 0xFFFF)
+            value[far] *= self.powers[(offset[far] >> 16) & 0xFFFF]
         value[gap] = 0
         return mixed(np.add.reduceat(value, rel)), starts
 
