@@ -106,7 +106,7 @@ def pairs_within(starts: np.ndarray, chunk: int = 1 << 19) -> Iterator[tuple[np.
         low = high
 
 
-def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], across: Callable[[DataFrame], DataFrame], hub_rounds: int = 1) -> DataFrame:
+def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], across: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, label) of the graph whose links join nodes that share a signature and verify.
 
     ``index``: (sig, node, e), where e tokens of the node are known to be missing in every
@@ -127,31 +127,25 @@ def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Cal
     area.drop(index)
     verify = verifier(shared.select("node").distinct())
     hubs = shared.groupBy("sig").agg(F.min(F.struct("e", "node"))["node"].alias("hub"))
-    links = area.write(verify(_pairs(shared.join(hubs, "sig").where("node <> hub"))))
+    members = area.write(shared.join(hubs, "sig").where("node <> hub"))
+    links = area.write(verify(_pairs(members)))
     labels = area.write(connected(area, links))
-    step = 0
-    while True:
-        step += 1
-        named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
-        rest = area.write(named.join(mixed, "sig", "left_semi"))
-        if not rest.limit(1).count():
-            area.drop(rest, shared, links)
-            return labels
-        if step <= hub_rounds:
-            # Another hub each time: the smallest e among the components in a changing order.
-            turn = F.struct("e", F.xxhash64(F.lit(step), "label"), "node", "label")
-            hubs = rest.groupBy("sig").agg(F.min(turn).alias("hub")).select("sig", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
-            more = verify(_pairs(rest.join(hubs, "sig").where("label <> hub_label")))
-        else:
-            more = across(rest)
-        grown = area.write(links.unionByName(more))
-        done = area.write(connected(area, grown))
-        area.drop(links, labels, rest)
-        links, labels = grown, done
-        if step > hub_rounds:
-            area.drop(shared, links)
-            return labels
+    # Hubs are compared with all the others, so only these remain, where there are several.
+    named = members.drop("hub").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
+    rest = area.write(named.join(mixed, "sig", "left_semi"))
+    more = area.write(across(rest))
+    area.drop(rest, shared, members)
+    # The new links join components, so the labels are the nodes of a much smaller graph.
+    own = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"of_{end}"))
+    joined = more.join(own("a"), "a", "left").join(own("b"), "b", "left")
+    merged = connected(area, joined.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    merged = area.write(merged.select(F.col("node").alias("label"), F.col("label").alias("final")))
+    known = labels.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label"))
+    new = merged.join(labels, merged["label"] == labels["node"], "left_anti").select(F.col("label").alias("node"), F.col("final").alias("label"))
+    result = area.write(known.unionByName(new))
+    area.drop(links, labels, more, merged)
+    return result
 
 
 def _pairs(rows: DataFrame) -> DataFrame:

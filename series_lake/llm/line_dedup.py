@@ -30,8 +30,9 @@ from series_lake.llm.components import in_tiles, resolve, whole_groups
 from series_lake.llm.hashing import mixed
 from series_lake.llm.staging import Staging, semi_by_key, staging
 
-PART = 1 << 20
+PART = 1 << 17
 TILE_COLUMNS = 4096
+SMALL_GROUP = 12
 NONE = np.uint64(2**64 - 1)
 
 
@@ -64,10 +65,26 @@ def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
         power, size = power * power, size * 2
 
 
-def _shingles(line: str, width: int) -> np.ndarray:
-    """The set of a line's shingles, as sorted hashes."""
-    with np.errstate(over="ignore"):
-        return np.unique(_rolled(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), width))
+def _sets(lines_: list[str], width: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of many lines, hashed together."""
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(lines_):
+        end, size = at, 0
+        while end < len(lines_) and (end == at or size + len(lines_[end]) < PART):
+            size += len(lines_[end]) + 1
+            end += 1
+        sizes = np.array([len(t) for t in lines_[at:end]])
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        with np.errstate(over="ignore"):
+            one = _rolled(_codes("\n".join(lines_[at:end])), width)
+        out += [np.unique(one[s : s + n - width + 1]) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        at = end
+    return out
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
 def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
@@ -77,12 +94,12 @@ def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: L
         one = _rolled(codes, lines.width)
         sizes = ends - starts
         n = sizes - lines.width + 1
-        line = np.repeat(np.arange(len(starts)), n)
-        at = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n)
-        h = one[at]
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first, n)
+        h = one[place + np.repeat(starts, n)]
         bin_ = ((h >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
         least = np.full(len(starts) * bins, NONE, dtype=np.uint64)
-        np.minimum.at(least, line * bins + bin_.astype(np.int64), mixed(h))
+        np.minimum.at(least, np.repeat(np.arange(len(starts)) * bins, n) + bin_.astype(np.int64), h * np.uint64(0xBF58476D1CE4E5B9))
         least = least.reshape(len(starts), bins)
         # Empty bins borrow from the next one that is not, marked by the distance.
         empty = least == NONE
@@ -97,9 +114,8 @@ def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: L
         for r in range(lines.rows):
             keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, r :: lines.rows])
         # Order-dependent sum of all shingles: names equal lines alike, others apart.
-        place = mixed(np.arange(1, (sizes.max() if len(sizes) else 0) + 1, dtype=np.uint64))
-        inside = at - np.repeat(starts, n)
-        total = np.add.reduceat(mixed(h) * (place[inside] | np.uint64(1)), np.cumsum(n) - n) if len(n) else np.zeros(0, np.uint64)
+        odd = place.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+        total = np.add.reduceat(h * odd, first) if len(n) else np.zeros(0, np.uint64)
         names = mixed(total + sizes.astype(np.uint64))
     return names, keys
 
@@ -169,27 +185,40 @@ def _told(lines: Lines):
     return run
 
 
+def _near(a: np.ndarray, b: np.ndarray, lines: Lines) -> bool:
+    if min(len(a), len(b)) * lines.den < lines.num * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return lines.den * common >= lines.num * (len(a) + len(b) - common)
+
+
 def _linked(lines: Lines):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = _shingles(x, lines.width), _shingles(y, lines.width)
-                common = len(a) + len(b) - len(np.union1d(a, b))
-                keep.append(lines.den * common >= lines.num * (len(a) + len(b) - common))
+            ends = [c for k in (0, 1) for c in batch.column(k).to_pylist()]
+            held = dict(zip(ends, [t for k in (2, 3) for t in batch.column(k).to_pylist()], strict=True))
+            sets = dict(zip(held, _sets(list(held.values()), lines.width), strict=True))
+            half = len(ends) // 2
+            keep = [_near(sets[a], sets[b], lines) for a, b in zip(ends[:half], ends[half:], strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _joined(lines: Lines, node: np.ndarray, label: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
+def _joined(lines: Lines, node: np.ndarray, label: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links between the components of a group of lines: for each two that a true link joins,
     enough links that they are joined, directly or over others."""
     kinds, member = np.unique(label, return_inverse=True)
     out: list[tuple[int, int]] = []
     if len(kinds) < 2:
         return out
-    sets = [_shingles(t, lines.width) for t in texts]
+    if len(sets) <= SMALL_GROUP:
+        for i in range(len(sets)):
+            for j in range(i):
+                if member[i] != member[j] and _near(sets[i], sets[j], lines):
+                    out.append((int(node[i]), int(node[j])))
+                    member[member == member[i]] = member[j]
+        return out
     sizes = np.array([len(x) for x in sets])
     row = np.repeat(np.arange(len(sets)), sizes)
     _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -227,9 +256,11 @@ def _joining(lines: Lines):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches):
             node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
-            texts, out = table.column("line"), []
-            for low, high in zip(starts[:-1], starts[1:], strict=True):
-                out += _joined(lines, node[low:high], label[low:high], texts.slice(low, high - low).to_pylist())
+            # A line is in several groups; its set is made once.
+            distinct, at, back = np.unique(node, return_index=True, return_inverse=True)
+            sets, out = _sets(table.column("line").take(pa.array(at)).to_pylist(), lines.width), []
+            for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                out += _joined(lines, node[low:high], label[low:high], [sets[k] for k in back[low:high]])
             a, b = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
