@@ -19,7 +19,8 @@ the other tokens are counted as well. Of the tokens that more than RARE sets hol
 give exact results; they decide only the cost.
 
 Candidates are compared by a bound from small histograms (the L1 distance of two histograms
-never exceeds the number of tokens that differ) and then exactly, set against set. Tokens are
+never exceeds the number of tokens that differ), finer ones for large sets, and then exactly, set
+against set. Tokens are
 64-bit hashes. Equal sets are one node, so copies are never expanded into pairs.
 
 Null text and texts without words have an empty set and are linked with nothing; their
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from series_lake.llm.components import in_tiles, pairs_within, resolve, whole_groups
 from series_lake.llm.hashing import Words, mixed, shingle_sets
-from series_lake.llm.staging import Staging, semi_by_key, staging
+from series_lake.llm.staging import Staging, semi_by_key, small_batches, staging
 
 RARE, FREQUENT = 32, 1024
 HEAVY = 1 << 17
@@ -101,17 +102,28 @@ def _fresh(batches: Iterator[pa.RecordBatch], join: Join) -> Iterator[tuple[int,
                 yield node, tokens
 
 
+def _fine(tokens: np.ndarray) -> bytes | None:
+    """Histogram of a large set with about eight tokens per bin; its halves add up to a coarser one."""
+    if len(tokens) <= 8 * BUCKETS:
+        return None
+    bins = 1 << (len(tokens) // 8).bit_length()
+    counts = np.bincount((tokens & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def _described(join: Join):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(join.lower)
         for batch in batches:
-            n, nodes, sketches = [], [], []
+            n, nodes, sketches, fine = [], [], [], []
             for _, tokens in shingle_sets(batch.column(1), words, join.width):
                 n.append(len(tokens))
                 nodes.append(_node(tokens) if len(tokens) else None)
                 counts = np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
                 sketches.append(None if join.alone(len(tokens)) else np.minimum(counts, 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "n", "node", "sketch"])
+                fine.append(_fine(tokens))
+            columns = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(fine, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "node", "sketch", "fine"])
 
     return run
 
@@ -254,6 +266,24 @@ def _close(join: Join):
     return run
 
 
+def _close_finely(join: Join):
+    """Pairs of large sets whose finer histograms do not rule the link out; other pairs pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n_a, n_b, x, y in zip(*[batch.column(i).to_pylist() for i in (2, 3)], batch.column(4), batch.column(5), strict=True):
+                apart = 0
+                if x.is_valid and y.is_valid:
+                    a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint8).astype(np.int32) for v in (x, y))
+                    bins = min(len(a), len(b))
+                    apart = int(np.abs(a.reshape(-1, bins).sum(axis=0) - b.reshape(-1, bins).sum(axis=0)).sum())
+                keep.append(apart * (join.den + join.num) <= (n_a + n_b) * (join.den - join.num))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _close_within(join: Join):
     """Pairs of different components in groups of rows (see ``in_tiles``) that neither sizes nor
     missing tokens nor histograms rule out."""
@@ -305,7 +335,8 @@ def _linked(join: Join):
 def _frequent(texts: DataFrame, join: Join, rare: int, frequent: int, heavy: int) -> Classes:
     def top(known: Classes | None) -> tuple[np.ndarray, np.ndarray]:
         counts = texts.mapInArrow(_tallied(join, known), "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > rare)
-        rows = counts.orderBy(F.desc("n"), "slot").limit(heavy).toArrow()  # at most ``heavy`` rows
+        with small_batches(texts.sparkSession):
+            rows = counts.orderBy(F.desc("n"), "slot").limit(heavy).toArrow()  # at most ``heavy`` rows
         return rows.column("slot").to_numpy(), np.where(rows.column("n").to_numpy() > frequent, 3, 2)
 
     def merged(slots: np.ndarray, sizes: np.ndarray) -> Classes:
@@ -324,14 +355,16 @@ def components(area: Staging, docs: DataFrame, join: Join, id_col: str, text_col
     texts = docs.where(F.col(text_col).isNotNull()).select(text)
     id_type = docs.select(F.col(id_col).alias("doc_id")).schema[0].dataType
     read = docs.select(F.col(id_col).alias("doc_id"), text)
-    schema = read.select("doc_id").schema.add("n", "long").add("node", "long").add("sketch", "binary")
+    schema = read.select("doc_id").schema.add("n", "long").add("node", "long").add("sketch", "binary").add("fine", "binary")
     rows = area.write(read.mapInArrow(_described(join), schema), keep=True)
     classes = _frequent(texts, join, rare, frequent, heavy)
     index = texts.mapInArrow(_indexed(join, classes), "sig long, node long, e int")
-    nodes = area.write(rows.where("sketch is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")))
+    nodes = area.write(rows.where("sketch is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine"), F.min("doc_id").alias("doc_id")))
 
     def exact(pairs: DataFrame) -> DataFrame:
-        close = area.write(pairs)
+        a, b = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}")) for x in "ab")
+        finer = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+        close = area.write(finer.mapInArrow(_close_finely(join), "a long, b long"))
         wanted = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
         holders = area.write(wanted.join(nodes.select("node", "doc_id"), "node"))
         holding = semi_by_key(docs.select(F.col(id_col).cast(id_type).alias("doc_id"), text), holders.select("doc_id").distinct(), ["doc_id"])
