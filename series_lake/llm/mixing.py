@@ -172,55 +172,66 @@ def _copies(numbered: DataFrame, plan: list[dict]) -> DataFrame:
     return joined.withColumn("__mix_copies", F.col("__mix_passes") + inside.cast("int"))
 
 
-def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 11, max_sources: int = 100_000) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, copies, taken."""
-    with staging(docs.sparkSession, "mix") as area:
-        rows = _prepare(area, docs, [], id_col, text_col, source_col, seed) if id_col is None else _prepare(area, docs.withColumn("__mix_id", F.col(id_col)), ["__mix_id"], id_col, text_col, source_col, seed)
-        taken = _copies(*_plan(rows, weights, most, max_sources))
-        return taken.select(
-            F.col("__mix_id").alias("doc_id"), F.col("__mix_size").alias("size"), F.col("__mix_total").alias("source_size"), F.col("__mix_target").alias("target"),
-            F.col("__mix_copies").alias("copies"), (F.col("__mix_copies") * F.col("__mix_size")).alias("taken"),
-        )
+def _dealt(numbered: DataFrame, plan: list[dict], seed: int, shard_words: int, blocks_per_shard: int) -> DataFrame:
+    """A row per copy, with its ``mix_shard``: the draws dealt by the tree, each shard shuffled."""
+    spark = numbered.sparkSession
+    total = sum(p["target"] for p in plan)
+    shards = max(1, math.ceil(total / shard_words))
+    block_words = max(1.0, total / (shards * blocks_per_shard))
+    draws = []
+    for p in plan:
+        p["blocks"] = max(1, math.ceil(p["size"] / block_words))
+        # Blocks of the last pass: up to and with the one that holds the cut.
+        p["part"] = min(p["blocks"], int(p["cut_key"] / 2**63 * p["blocks"]) + 1) if p["cut_key"] >= 0 else 0
+        draws.append(p["passes"] * p["blocks"] + p["part"])
+    dealt = split_tree(draws, shards, np.random.default_rng(seed))
+    runs, rng = [], np.random.default_rng(seed + 1)
+    for p in plan:
+        steps = []
+        for _ in range(p["passes"]):
+            a = int(rng.integers(1, p["blocks"] + 1))
+            while math.gcd(a, p["blocks"]) != 1:
+                a = a % p["blocks"] + 1
+            steps.append((a, int(rng.integers(0, p["blocks"]))))
+        steps.append((1, 0))  # the last pass is cut along the order itself
+        starts = np.concatenate([[0], np.cumsum(dealt[:, p["i"]])])
+        runs += [(p["i"], j, int(starts[j]), int(starts[j + 1])) for j in range(shards) if starts[j + 1] > starts[j]]
+        p["steps"] = steps
+    deal = spark.createDataFrame(runs, "__mix_at int, mix_shard int, low long, high long")
+    deal = deal.select("__mix_at", "mix_shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("__mix_draw"))
+    how = spark.createDataFrame([(p["i"], p["blocks"], [s[0] for s in p["steps"]], [s[1] for s in p["steps"]]) for p in plan], "__mix_p int, __mix_blocks long, __mix_a array<long>, __mix_c array<long>")
+    rows = _copies(numbered, plan).where("__mix_copies > 0")
+    rows = rows.join(F.broadcast(how), F.col("__mix_source") == F.col("__mix_p")).withColumn("__mix_pass", F.explode(F.sequence(F.lit(0), F.col("__mix_copies") - 1)))
+    block = F.floor(F.col("__mix_key").cast("double") / F.lit(2.0**63) * F.col("__mix_blocks"))
+    block = F.least(block, F.col("__mix_blocks") - 1)
+    placed = F.pmod(F.get("__mix_a", F.col("__mix_pass")) * block + F.get("__mix_c", F.col("__mix_pass")), F.col("__mix_blocks"))
+    rows = rows.withColumn("__mix_draw", F.col("__mix_pass") * F.col("__mix_blocks") + placed)
+    rows = rows.join(deal, (rows["__mix_source"] == deal["__mix_at"]) & (rows["__mix_draw"] == deal["__mix_draw"]), "left")
+    return rows.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed + 2), "__mix_pass", "__mix_key", "__mix_row"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 11, shard_words: int = 4_000_000, blocks_per_shard: int = 64, max_sources: int = 100_000) -> DataFrame:
     """The mixed corpus: the columns of ``docs``, a row per copy, plus ``mix_shard``; one
     partition per shard, in shuffled order inside it."""
+    with staging(docs.sparkSession, "mix") as area:
+        rows = _prepare(area, docs, docs.columns, id_col, text_col, source_col, seed)
+        return _dealt(*_plan(rows, weights, most, max_sources), seed, shard_words, blocks_per_shard).select(*docs.columns, "mix_shard")
+
+
+def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 11, shard_words: int = 4_000_000, blocks_per_shard: int = 64, max_sources: int = 100_000) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source_size, target, copies, taken. The copies
+    are counted in the mixed corpus, whose shards are written with all columns of ``docs``."""
     spark = docs.sparkSession
     with staging(spark, "mix") as area:
         rows = _prepare(area, docs, docs.columns, id_col, text_col, source_col, seed)
         numbered, plan = _plan(rows, weights, most, max_sources)
-        total = sum(p["target"] for p in plan)
-        shards = max(1, math.ceil(total / shard_words))
-        block_words = max(1.0, total / (shards * blocks_per_shard))
-        draws = []
-        for p in plan:
-            p["blocks"] = max(1, math.ceil(p["size"] / block_words))
-            # Blocks of the last pass: up to and with the one that holds the cut.
-            p["part"] = min(p["blocks"], int(p["cut_key"] / 2**63 * p["blocks"]) + 1) if p["cut_key"] >= 0 else 0
-            draws.append(p["passes"] * p["blocks"] + p["part"])
-        dealt = split_tree(draws, shards, np.random.default_rng(seed))
-        runs, rng = [], np.random.default_rng(seed + 1)
-        for p in plan:
-            steps = []
-            for _ in range(p["passes"]):
-                a = int(rng.integers(1, p["blocks"] + 1))
-                while math.gcd(a, p["blocks"]) != 1:
-                    a = a % p["blocks"] + 1
-                steps.append((a, int(rng.integers(0, p["blocks"]))))
-            steps.append((1, 0))  # the last pass is cut along the order itself
-            starts = np.concatenate([[0], np.cumsum(dealt[:, p["i"]])])
-            runs += [(p["i"], j, int(starts[j]), int(starts[j + 1])) for j in range(shards) if starts[j + 1] > starts[j]]
-            p["steps"] = steps
-        deal = spark.createDataFrame(runs, "__mix_at int, mix_shard int, low long, high long")
-        deal = deal.select("__mix_at", "mix_shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("__mix_draw"))
-        how = spark.createDataFrame([(p["i"], p["blocks"], [s[0] for s in p["steps"]], [s[1] for s in p["steps"]]) for p in plan], "__mix_p int, __mix_blocks long, __mix_a array<long>, __mix_c array<long>")
-        rows = _copies(numbered, plan).where("__mix_copies > 0")
-        rows = rows.join(F.broadcast(how), F.col("__mix_source") == F.col("__mix_p")).withColumn("__mix_pass", F.explode(F.sequence(F.lit(0), F.col("__mix_copies") - 1)))
-        block = F.floor(F.col("__mix_key").cast("double") / F.lit(2.0**63) * F.col("__mix_blocks"))
-        block = F.least(block, F.col("__mix_blocks") - 1)
-        placed = F.pmod(F.get("__mix_a", F.col("__mix_pass")) * block + F.get("__mix_c", F.col("__mix_pass")), F.col("__mix_blocks"))
-        rows = rows.withColumn("__mix_draw", F.col("__mix_pass") * F.col("__mix_blocks") + placed)
-        rows = rows.join(deal, (rows["__mix_source"] == deal["__mix_at"]) & (rows["__mix_draw"] == deal["__mix_draw"]), "left")
-        shuffled = rows.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed + 2), "__mix_pass", "__mix_key", "__mix_row"))
-        return shuffled.select(*docs.columns, "mix_shard")
+        shards = area.write(_dealt(numbered, plan, seed, shard_words, blocks_per_shard).select(*docs.columns, "mix_shard", "__mix_row"))
+        came = area.write(shards.groupBy(F.col("__mix_row").alias("__mix_at")).agg(F.count("*").alias("__mix_came")), keep=True)
+        area.drop(shards)
+        table = spark.createDataFrame([(p["i"], p["size"], p["target"]) for p in plan], "__mix_p int, __mix_total long, __mix_target double")
+        told = numbered.join(F.broadcast(table), F.col("__mix_source") == F.col("__mix_p")).join(came, F.col("__mix_row") == F.col("__mix_at"), "left")
+        copies = F.coalesce("__mix_came", F.lit(0)).cast("int")
+        return told.select(
+            F.col(id_col).alias("doc_id"), F.col("__mix_size").alias("size"), F.col("__mix_total").alias("source_size"), F.col("__mix_target").alias("target"),
+            copies.alias("copies"), (copies * F.col("__mix_size")).alias("taken"),
+        )

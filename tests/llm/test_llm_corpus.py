@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from test_llm_join import roots, shingles, similar
 
 import corpus_pipeline
+from series_lake.llm import mixing
 from series_lake.llm.mixing import mix, mix_counts, split_tree, targets
 from series_lake.llm.packing import encoder, fullest, pack, pieces_of, plan_bins
 from series_lake.llm.topk import search
@@ -79,6 +80,25 @@ def test_mixed_rows_agree_with_the_counts(spark):
         mix_counts(table, max_sources=2)
 
 
+def test_counts_come_from_written_shards(spark, monkeypatch):
+    dealt, written = [], []
+    write = mixing.Staging.write
+
+    def spied(area, out, keep=False):
+        back = write(area, out, keep)
+        if "mix_shard" in out.columns:
+            written.append((back.columns, Counter(r.doc_id for r in back.collect()), back.select("mix_shard").distinct().count()))
+        return back
+
+    monkeypatch.setattr(mixing, "split_tree", lambda draws, shards, rng: dealt.append(shards) or split_tree(draws, shards, rng))
+    monkeypatch.setattr(mixing.Staging, "write", spied)
+    table = frame(spark, [(i, *r[1:]) for i, r in enumerate(documents())])
+    got = {r.doc_id: r.copies for r in mix_counts(table, shard_words=2000, blocks_per_shard=4).collect()}
+    (columns, copies, shards), = written
+    assert dealt[0] >= shards > 5 and set(table.columns) < set(columns)
+    assert got == {i: copies[i] for i in range(len(documents()))}
+
+
 def test_identical_rows_are_split_where_the_target_is(spark):
     rows = [(1, "same words here", None, "a")] * 500 + [(2 + i, "x y z", None, "b") for i in range(500)]
     got = mix_counts(frame(spark, rows)).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
