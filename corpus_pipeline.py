@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from series_lake.llm.language import UNDETERMINED, identify, learn
-from series_lake.llm.line_dedup import dedup_lines
+from series_lake.llm.line_dedup import EVERY_LINE, dedup_lines
 from series_lake.llm.mixing import mix
 from series_lake.llm.ngram_join import Join, one_of_each
 from series_lake.llm.packing import pack
@@ -29,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the lines that stay; those that lost all their lines go."""
-    left = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    left = dedup_lines(docs, EVERY_LINE).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 

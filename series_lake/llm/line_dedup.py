@@ -9,8 +9,9 @@ with the smallest document id, then the first in the document.
 With ``bands`` bands of ``rows`` values, lines of similarity s meet with probability
 1 - (1 - s^rows)^bands: 0.997 at 0.8, 0.9995 at 0.85 and above 0.99999 at 0.9.
 
-Lines end at line feeds. Lines shorter than ``least`` characters (headings, list marks) are no
-evidence of copying and always stay. Null text stays null and has no lines. Rows that repeat
+Lines end at line feeds. Lines of white space, and lines shorter than ``least`` characters, are
+not compared and always stay; with ``EVERY_LINE`` only the former. A line shorter than a shingle
+is one whole shingle: only its equals are like it. Null text stays null and has no lines. Rows that repeat
 id and text count as one document; rows with the same id and other texts as several. A row
 without id comes last. An empty table gives an empty result.
 """
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,10 @@ class Lines:
     least: int = 40
 
 
+#: Every line with a character that is not white space takes part.
+EVERY_LINE = Lines(least=1)
+
+
 def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all runs of ``width`` characters, by doubling."""
     base = np.uint64(0x9E3779B97F4A7C15)
@@ -87,6 +93,29 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+@cache
+def _orders(bins: int) -> np.ndarray:
+    """[bin, step]: the other bins in the order in which an empty one looks for a value."""
+    rng = np.random.default_rng(bins)
+    return np.array([rng.permutation([b for b in range(bins) if b != own]) for own in range(bins)])
+
+
+def _weights(sizes: np.ndarray) -> np.ndarray:
+    """An odd number for each place in a line, without a pattern that other orders could repeat."""
+    return mixed(np.arange(1, int(sizes.max(initial=0)) + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def short_names(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit names of lines shorter than a shingle: each is one whole shingle."""
+    n = ends - starts
+    first = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    with np.errstate(over="ignore"):
+        h = mixed(codes[place + np.repeat(starts, n)].astype(np.uint64) + np.uint64(1))
+        total = np.add.reduceat(h * _weights(n)[place], first) if len(n) else np.zeros(0, np.uint64)
+        return mixed(mixed(total) ^ n.astype(np.uint64))
+
+
 def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     """Of lines [start, end) in a run of characters: a 64-bit name each, and [line, band] keys."""
     bins = lines.bands * lines.rows
@@ -101,21 +130,26 @@ def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: L
         least = np.full(len(starts) * bins, NONE, dtype=np.uint64)
         np.minimum.at(least, np.repeat(np.arange(len(starts)) * bins, n) + bin_.astype(np.int64), h * np.uint64(0xBF58476D1CE4E5B9))
         least = least.reshape(len(starts), bins)
-        # Empty bins borrow from the next one that is not, marked by the distance.
-        empty = least == NONE
-        if empty.any():
-            full, far = least.copy(), np.zeros_like(least)
-            for step in range(2 * bins - 1, -1, -1):
-                b, after = step % bins, (step + 1) % bins
-                full[:, b] = np.where(empty[:, b], full[:, after], least[:, b])
-                far[:, b] = np.where(empty[:, b], far[:, after] + np.uint64(1), np.uint64(0))
-            least = mixed(full + far * np.uint64(0xD6E8FEB86659FD93))
+        # Empty bins borrow from the first that is not, each in an order of its own: the bins of
+        # one band of a short line then hold several of its shingles.
+        some = np.flatnonzero((least == NONE).any(axis=1))
+        if len(some):
+            own = least[some]
+            full = own.copy()
+            at, b = np.nonzero(own == NONE)
+            for step in _orders(bins).T:
+                value = own[at, step[b]]
+                found = value != NONE
+                full[at[found], b[found]] = mixed(value[found] + np.uint64(1))
+                at, b = at[~found], b[~found]
+                if not len(at):
+                    break
+            least[some] = full
         keys = np.zeros((len(starts), lines.bands), dtype=np.uint64) + np.arange(1, lines.bands + 1, dtype=np.uint64)
         for r in range(lines.rows):
             keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, r :: lines.rows])
         # Order-dependent sum of all shingles: names equal lines alike, others apart.
-        odd = place.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
-        total = np.add.reduceat(h * odd, first) if len(n) else np.zeros(0, np.uint64)
+        total = np.add.reduceat(h * _weights(n)[place], first) if len(n) else np.zeros(0, np.uint64)
         names = mixed(total + sizes.astype(np.uint64))
     return names, keys
 
@@ -125,27 +159,33 @@ def _named(lines: Lines):
         seen: set[int] = set()
 
         def described(texts: list[str]) -> Iterator[tuple[list[int | None], list[int], list[int]]]:
-            """Per text: its lines' names (null: short), the numbers of those new to the task and
+            """Per text: its lines' names (null: not compared), the numbers of those new to the task and
             their band keys."""
             codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
             breaks = np.flatnonzero(codes == 0x0A)
             starts, ends = np.append(0, breaks + 1), np.append(breaks, len(codes))
-            long_ = np.flatnonzero(ends - starts >= max(lines.least, lines.width))
-            if len(long_):
-                names, keys = signatures(codes, starts[long_], ends[long_], lines)
-                names, keys = names.view(np.int64).tolist(), keys.view(np.int64)
+            filled = np.append(0, np.cumsum(~((codes == 0x20) | ((codes >= 0x09) & (codes <= 0x0D)))))
+            told = np.flatnonzero((ends - starts >= lines.least) & (filled[ends] > filled[starts]))
+            long_ = ends[told] - starts[told] >= lines.width
+            names = np.zeros(len(told), dtype=np.uint64)
+            if long_.any():
+                names[long_], keys = signatures(codes, starts[told[long_]], ends[told[long_]], lines)
+                keys = keys.view(np.int64)
+            names[~long_] = short_names(codes, starts[told[~long_]], ends[told[~long_]])
+            names, row, long_ = names.view(np.int64).tolist(), (np.cumsum(long_) - 1).tolist(), long_.tolist()
             number, first = 0, 0
             for text in texts:
                 n = text.count("\n") + 1
                 own: list[int | None] = [None] * n
                 fresh, sigs = [], []
-                while number < len(long_) and long_[number] < first + n:
-                    at = int(long_[number] - first)
+                while number < len(told) and told[number] < first + n:
+                    at = int(told[number] - first)
                     own[at] = names[number]
-                    if names[number] not in seen:
+                    # What is shorter than a shingle is like equal lines only: these have its name.
+                    if long_[number] and names[number] not in seen:
                         seen.add(names[number])
                         fresh.append(at)
-                        sigs += keys[number].tolist()
+                        sigs += keys[row[number]].tolist()
                     number += 1
                 first += n
                 yield own, fresh, sigs

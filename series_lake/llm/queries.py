@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from series_lake.llm import pii_crf, secrets
 from series_lake.llm.html_templates import main_text
 from series_lake.llm.language import held_out, identify, learn
-from series_lake.llm.line_dedup import dedup_lines
+from series_lake.llm.line_dedup import EVERY_LINE, dedup_lines
 from series_lake.llm.mixing import mix_counts
 from series_lake.llm.ngram_join import Join, near_duplicates
 from series_lake.llm.packing import pack
@@ -157,7 +157,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_line_minhash")
 def op7_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), EVERY_LINE)
 
 
 @query("op8_language_mixture")

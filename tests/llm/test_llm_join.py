@@ -1,6 +1,8 @@
+import random
 import re
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from llm_cases import documents, frame
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 
 from series_lake.llm.components import connected, pairs_within
 from series_lake.llm.hashing import Words
-from series_lake.llm.line_dedup import Lines, dedup_lines
+from series_lake.llm.line_dedup import EVERY_LINE, Lines, dedup_lines
 from series_lake.llm.ngram_join import Join, near_duplicates, one_of_each
+from series_lake.llm.queries import QUERIES
 from series_lake.llm.staging import KEPT, release, staging
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -176,3 +179,35 @@ def test_lines_near_copies_and_short_lines(spark):
     assert got[1] == rows[0][1] and got[2] == "short line\nshort line" and got[3] == rows[2][1]
     assert all(got[10 + i] == "" for i in range(40))
     assert dedup_lines(frame(spark, [])).count() == 0
+
+
+def lines_query(spark, folder, rows):
+    frame(spark, rows, clashes=False).write.parquet(str(folder / "documents.parquet"))
+    return {r.doc_id: r.text for r in QUERIES["op7_line_minhash"](spark, str(folder)).collect()}
+
+
+def test_short_lines_are_compared_and_blank_ones_are_not(spark, tmp_path):
+    rows = [(1, "Les.\n\n \t\nShare this article\nx\n日", None, None), (2, "Les.\n\n \t\nLes\nShare this article\n日\nb\nab\nba", None, None)]
+    rows += [(10 + i, f"All rights reserved.\n{i}\n\nx", None, None) for i in range(50)]
+    want = {1: rows[0][1], 2: "\n \t\nLes\nb\nab\nba", 10: "All rights reserved.\n0\n"} | {10 + i: f"{i}\n" for i in range(1, 50)}
+    assert lines_query(spark, tmp_path, rows) == want
+    staged = corpus_pipeline.line_dedup(spark, frame(spark, rows, clashes=False).withColumn("n_chars", F.lit(0).cast("long")), "")
+    assert {r.doc_id: r.text for r in staged.collect()} == want
+
+
+def test_whole_lines_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, "\n".join("".join(rng.choice("ab c") for _ in range(rng.randrange(0, 14))) for _ in range(8)), None, None) for i in range(60)]
+    rows += [(60 + i, "\n".join(x if rng.random() < 0.5 else x[:-1] for x in rows[i][1].split("\n")), None, None) for i in range(30)]
+    places, sets = [], []
+    for i, text, _, _ in rows:
+        for k, line in enumerate(text.split("\n")):
+            if line.strip():
+                places.append((i, k))
+                sets.append({line[q : q + EVERY_LINE.width] for q in range(max(1, len(line) - EVERY_LINE.width + 1))})
+    first, gone = {}, set()
+    for place, at in zip(places, roots(len(sets), similar(sets, EVERY_LINE.num, EVERY_LINE.den)), strict=True):
+        if first.setdefault(at, place) != place:
+            gone.add(place)
+    want = {i: "\n".join(x for k, x in enumerate(text.split("\n")) if (i, k) not in gone) for i, text, _, _ in rows}
+    assert {r.doc_id: r.text for r in dedup_lines(frame(spark, rows), EVERY_LINE).collect()} == want
