@@ -7,7 +7,8 @@ into components. Of each component, equal lines included, only the first line st
 with the smallest document id, then the first in the document.
 
 With ``bands`` bands of ``rows`` values, lines of similarity s meet with probability
-1 - (1 - s^rows)^bands: 0.997 at 0.8, 0.9995 at 0.85 and above 0.99999 at 0.9.
+1 - (1 - s^rows)^bands: 0.997 at 0.8, 0.9995 at 0.85 and above 0.99999 at 0.9, for ``Lines()`` and
+``EVERY_LINE`` alike.
 
 Lines end at line feeds. Lines of white space, and lines shorter than ``least`` characters, are
 not compared and always stay; with ``EVERY_LINE`` only the former. A line shorter than a shingle
@@ -50,8 +51,9 @@ class Lines:
     least: int = 40
 
 
-#: Every line with a character that is not white space takes part.
-EVERY_LINE = Lines(least=1)
+#: Every line with a character that is not white space takes part, and one changed character in a
+#: line of 50 or more leaves it similar. Short shingles are less rare, so bands hold more values.
+EVERY_LINE = Lines(width=5, bands=11, rows=4, least=1)
 
 
 def _rolled(codes: np.ndarray, width: int) -> np.ndarray:

@@ -211,3 +211,21 @@ def test_whole_lines_equal_brute_force(spark):
             gone.add(place)
     want = {i: "\n".join(x for k, x in enumerate(text.split("\n")) if (i, k) not in gone) for i, text, _, _ in rows}
     assert {r.doc_id: r.text for r in dedup_lines(frame(spark, rows), EVERY_LINE).collect()} == want
+
+
+def test_edits_in_ordinary_lines_are_found(spark, tmp_path):
+    rng = random.Random(3)
+    rows = []
+    for i, size in enumerate(range(50, 121)):
+        line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size - 1)) + "."
+        at = rng.randrange(6, size - 6)
+        rows += [(2 * i, line, None, None), (2 * i + 1, f"{line[:at]}#{line[at + 1 :]}", None, None)]
+    for i, size in enumerate(range(90, 121)):  # one word of five letters for another
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(size // 6 + 1)]
+        other = [*words]
+        other[len(words) // 2] = "?????"
+        rows += [(1000 + 2 * i, " ".join(words), None, None), (1001 + 2 * i, " ".join(other), None, None)]
+    got = lines_query(spark, tmp_path, rows)
+    assert all(got[i] == text for i, text, _, _ in rows if i % 2 == 0)
+    lost = [i for i, *_ in rows if i % 2 and got[i]]
+    assert len(lost) <= 2  # of 102, by the recall of the bands
