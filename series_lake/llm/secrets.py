@@ -9,7 +9,12 @@ correlation of neighbouring symbols. Their p-values are combined by the Cauchy r
 Noise has uniform p-values and prose has tiny ones, so per encoding and length class the
 share of prose among the tokens above a cut is estimated from all tokens of the corpus (the
 mass above what the uniform part explains). The smallest cut whose estimated share of false
-discoveries is at most ``alpha`` is used; a class where none suffices reports nothing.
+discoveries is at most ``alpha`` is used; a class where none suffices gives no cut.
+
+A clear token needs no others: its own local false-discovery rate is computed from how much better
+uniform noise of its encoding explains its characters (case folded) than the character pairs of the
+corpus's words do, and from the share of such tokens. One that the tests do not
+reject is reported when that rate is at most ``alpha``, however few there are.
 
 Null text counts as empty; repeated rows repeat their result; an empty table gives an empty
 result. Columns beside id and text are not read. Spans are in code points, end exclusive.
@@ -39,6 +44,12 @@ ENCODINGS = {
     "base64": (r"^[A-Za-z0-9+/_-]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/", False),
 }
 BINS = 64
+# Folded symbols of a token; the last place of a pair table is the start of a word.
+FOLDED = "abcdefghijklmnopqrstuvwxyz0123456789+/_-"
+#: Counts that a pair's chance borrows from the symbol's, and the symbol's from an even one.
+BORROWED = 100.0
+#: Evidence from which a token counts as noise in the estimate of their share.
+CLEAR_BITS = 20.0
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
@@ -120,6 +131,42 @@ def _p_value(tokens: DataFrame) -> DataFrame:
     return frame.withColumn("p", 0.5 - F.atan(cauchy) / math.pi)
 
 
+def _prose(docs: DataFrame, text: Column) -> Column:
+    """log2 of the chance of each symbol after each in the words of the corpus, as an array.
+
+    A word long enough for a token counts once however often it occurs: a key teaches little.
+    """
+    size = len(FOLDED)
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9+/_-]+"), F.lit(0))).alias("word"))
+    counted = words.groupBy("word").agg(F.count("*").alias("n")).withColumn("n", F.when(F.length("word") < 20, F.col("n")).otherwise(1))
+    pairs = counted.select("n", F.expr(f"transform(filter(split(word, ''), c -> c <> ''), c -> instr('{FOLDED}', c) - 1)").alias("f"))
+    pairs = pairs.select("n", F.expr(f"explode(transform(f, (c, i) -> IF(i > 0, f[i - 1], {size}) * {size} + c))").alias("pair"))
+    table = [[0.0] * size for _ in range(size + 1)]
+    for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most symbols x symbols
+        table[r["pair"] // size][r["pair"] % size] = float(r["n"])
+    total = sum(map(sum, table))
+    single = [(sum(row[c] for row in table) + BORROWED / size) / (total + BORROWED) for c in range(size)]
+    return F.lit([math.log2((row[c] + BORROWED * single[c]) / (sum(row) + BORROWED)) for row in table for c in range(size)])
+
+
+def _noise_bits(prose: Column) -> Column:
+    """log2 of how many times likelier the token is as uniform noise than as prose."""
+    size = len(FOLDED)
+    codes = F.expr(f"transform(filter(split(lower(token), ''), c -> c <> ''), c -> instr('{FOLDED}', c) - 1)")
+    before = F.concat(F.array(F.lit(size)), codes)
+    as_prose = F.aggregate(F.zip_with(codes, F.slice(before, 1, F.size(codes)), lambda c, b: F.get(prose, b * size + c)), F.lit(0.0), lambda a, x: a + x)
+    # Folding joins two symbols of the encodings with both cases.
+    folded = F.when(F.col("enc").isin("alnum", "base64"), F.size(F.filter(codes, lambda c: c < 26))).otherwise(0)
+    return folded - F.col("n") * F.log2("k") - as_prose
+
+
+def clear_bits(tokens: int, clear: int, alpha: float) -> float:
+    """Least evidence at which a token's local false-discovery rate is at most ``alpha``, where
+    ``clear`` of all tokens are noise."""
+    share = (clear + 0.5) / (tokens + 1)
+    return math.log2((1 - alpha) / alpha * max(1.0, (1 - share) / share))
+
+
 def _length_class() -> Column:
     return F.expr("CASE WHEN n < 32 THEN 0 WHEN n < 48 THEN 1 WHEN n < 64 THEN 2 ELSE 3 END")
 
@@ -161,7 +208,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "row", "span", F.col("span.match").alias("token"),
             F.expr("exists(base, b -> b.start < span.end AND span.start < b.end)").alias("known"),
         )
-        tested = area.write(_p_value(tokens).select("row", "span", "known", "enc", _length_class().alias("class"), "p"), keep=True)
+        prose = _prose(read, text)
+        tested = area.write(_p_value(tokens).select("row", "span", "known", "enc", _length_class().alias("class"), "p", _noise_bits(prose).alias("bits")), keep=True)
         counts = tested.groupBy("enc", "class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).count()
         histogram: dict[tuple[str, int], list[int]] = {}
         for r in counts.collect():  # at most encodings x length classes x bins
@@ -170,6 +218,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         accepted = F.lit(False)
         for (enc, cls), cut in noise_cuts(histogram, alpha).items():
             accepted = accepted | ((F.col("enc") == enc) & (F.col("class") == cls) & (F.col("p") >= cut))
+        strong = (F.col("p") >= alpha) & (F.col("bits") >= CLEAR_BITS)
+        n_tokens, n_clear = tested.agg(F.count("*"), F.count(F.when(strong, True))).first()
+        accepted = accepted | ((F.col("p") >= alpha) & (F.col("bits") >= clear_bits(n_tokens, n_clear, alpha)))
         added = tested.where(accepted & ~F.col("known")).groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("added"))
         none = F.array().cast(rows.schema["base"].dataType)
         return rows.join(added, "row", "left").select("doc_id", "base", F.coalesce("added", none).alias("added"))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -114,6 +115,18 @@ def test_random_tokens_are_found_and_prose_is_not(spark):
     assert sum(w in got[i] for i, w in enumerate(words[:120])) == 0
 
 
+def test_single_clear_keys_are_found(spark):
+    rng = random.Random(12)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for n in (1, 12):
+        keys = {500 + i: "".join(rng.choice(symbols) for _ in range(64)) for i in range(n)}
+        rows = [*[r for r in documents() if r[0] is not None and r[0] < 80], *[(i, f"so it was {t} here", None, None) for i, t in keys.items()]]
+        rows += [(900, "we have been-there-when-people-were-more-than-first and then/when/there/would/people/water", None, None)]
+        got = {r.doc_id: [x.match for x in r.added] for r in scan_secrets(frame(spark, rows)).collect() if r.added}
+        assert set(got) <= set(keys) and all(got[i] == [keys[i]] for i in got)
+        assert len(got) >= 0.8 * n
+
+
 def test_cuts_bound_the_false_share():
     uniform = [10] * secrets.BINS
     assert noise_cuts({("hex", 0): uniform}, 0.05)[("hex", 0)] == 1 / secrets.BINS
