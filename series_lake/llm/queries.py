@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from series_lake.llm import pii_crf, secrets
@@ -94,20 +94,27 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def kind_counts(spans: str | Column, kinds: tuple[str, ...]) -> list[Column]:
+    """The number of spans of each kind, as ``n_<kind>``."""
+
+    def of_kind(k: int) -> Callable[[Column], Column]:
+        return lambda s: s["kind"] == k  # one argument: a second one would get the place in the array
+
+    return [F.size(F.filter(spans, of_kind(k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(kinds)]
+
+
 @query("op4_pii_crf")
 def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii_crf.KINDS)]
-    return found.select("doc_id", *counts, F.sha2(pii_crf.span_text(base), 256).alias("base_sha256"), pii_crf.span_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *kind_counts(base, pii_crf.KINDS), F.sha2(pii_crf.span_text(base), 256).alias("base_sha256"), pii_crf.span_text(F.col("spans")).alias("spans"))
 
 
 @query("op5_secret_scan")
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])]
     everything = F.array_sort(F.concat("base", "added"))
-    return found.select("doc_id", *counts, F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"), secrets.span_text(everything).alias("spans"))
+    return found.select("doc_id", *kind_counts("base", secrets.KINDS[:3]), F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"), secrets.span_text(everything).alias("spans"))
 
 
 #: The rules of ``quality.RULES`` once more, as SQL.
