@@ -1,4 +1,3 @@
-import json
 import pathlib
 import sys
 
@@ -16,12 +15,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def document(coin="a", prices=(), caps=(), volumes=(), **other):
-    data = {"prices": list(prices), "market_caps": list(caps), "total_volumes": list(volumes)}
-    fields = {"coin_id": coin, "coin_name": coin.upper(), "coin_symbol": coin, "coin_image": "i", "market_cap_rank": 1}
-    return json.dumps({**fields, "data": data, **other})
-
-
 @pytest.fixture
 def landed(tmp_path):
     """Writes lines as one raw file and returns its folder."""
@@ -33,7 +26,3 @@ def landed(tmp_path):
         return str(folder)
 
     return write
-
-
-def bag(frame):
-    return sorted(map(repr, (tuple(r) for r in frame.collect())))

@@ -1,4 +1,4 @@
-from conftest import bag, document
+from series_cases import bag, document
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,5 +1,5 @@
 import pytest
-from conftest import bag
+from series_cases import bag
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import bag
+from series_cases import bag
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import datetime
 import pathlib
 
 import pytest
-from conftest import bag, document
+from series_cases import bag, document
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from test_merge import flat, prices

@@ -1,4 +1,4 @@
-from conftest import document
+from series_cases import document
 from pyspark.sql import functions as F
 
 from series_lake.operators import quality as q

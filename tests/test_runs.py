@@ -2,7 +2,7 @@ import json
 import pathlib
 
 import pytest
-from conftest import document
+from series_cases import document
 
 from series_lake.__main__ import main
 from series_lake.functions.timeconv import DAY_MS

@@ -1,5 +1,5 @@
 import pytest
-from conftest import bag, document
+from series_cases import bag, document
 from test_merge import flat, prices
 
 from series_lake.functions.timeconv import DAY_MS, HOUR_MS
