@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, and SQL for those it can express."""
+"""The operators as queries over the given tables, and SQL for those it can express."""
 
 from __future__ import annotations
 
@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from series_lake.llm import pii_crf, secrets
+from series_lake.llm.decontamination import find_passages
 from series_lake.llm.html_templates import main_text
 from series_lake.llm.language import held_out, identify, learn
 from series_lake.llm.line_dedup import EVERY_LINE, dedup_lines
 from series_lake.llm.mixing import mix_counts
 from series_lake.llm.ngram_join import Join, near_duplicates
 from series_lake.llm.packing import pack
+from series_lake.llm.periodic_runs import periodic_runs, run_text, strongest
 from series_lake.llm.pii_crf import find_personal
 from series_lake.llm.quality import STOP_WORDS, quality_rules
 from series_lake.llm.secrets import scan_secrets
 from series_lake.llm.topk import search
+from series_lake.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +185,71 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bin_slack_packing")
 def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+def repeating(text: Column, doc_id: Column) -> Column:
+    """The text whose words from a place on repeat a block, both given by a checksum of the id; only
+    every tenth id, and a text without words or id, is changed at all."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size(words)
+    first = F.pmod(g, n).cast("int")
+    period = (F.lit(1) + F.floor((n - first) / (F.lit(3) + g % 8))).cast("int")
+    block = F.slice(words, first + 1, period)
+    # one block more than the tail needs, cut to the tail's length
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil((n - first) / period).cast("int"))), F.lit(1), n - first)
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), first), tail), " ")
+    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs, ["doc_id"], repeating(F.col("text"), F.col("doc_id")))
+    best = found.withColumn("best", strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(run_text(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+#: Windows are compared as texts of words joined by a space; a text never holds an item's words
+#: across others, so equal texts are equal windows.
+OP13_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), starts AS (
+    SELECT item, words, least(10, len(words)) AS size, unnest(range(1, greatest(2, len(words) - 8))) AS i FROM b WHERE len(words) > 0
+), w AS (
+    SELECT DISTINCT item, size, array_to_string(words[i:i + size - 1], ' ') AS gram FROM starts
+), places AS (
+    SELECT row, size, i, array_to_string(words[i:i + size - 1], ' ') AS gram
+    FROM (SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM w))
+), hits AS (SELECT row, item, w.size, i FROM places JOIN w ON places.size = w.size AND places.gram = w.gram),
+covered AS (SELECT row, count(DISTINCT k) AS n FROM (SELECT row, unnest(range(i, i + size)) AS k FROM hits) GROUP BY row),
+items AS (SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS told FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+    sha256(coalesce(told, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (row) LEFT JOIN items USING (row)
+"""
+
+
+@query("op13_decontamination", OP13_SQL)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
