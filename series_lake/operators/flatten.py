@@ -9,10 +9,10 @@ Three strategies, by what may be assumed and what they cost:
 ``keyed``     One row per key: exactly what de-duplicating the ``join`` result under the
               merge's winner rule leaves. One scan and one exchange, and the three legs of
               a document are combined before the exchange, so repeated keys cost nothing.
-``document``  Legs are matched inside each document, without an exchange of points; documents
-              that repeat an instant go through the join. Equals ``join`` when no asset occurs
-              in two documents, which the landing step guarantees and this strategy checks:
-              an asset in two documents is an error, not a silent loss.
+``document``  Legs are matched inside each document, in one pass without an exchange of points.
+              Equals ``join`` when no asset, or segment of an asset, occurs in two documents,
+              which the landing step guarantees and this strategy checks: such an asset is
+              an error, not a silent loss.
 """
 
 from __future__ import annotations
@@ -102,51 +102,67 @@ def _points(leg: str, dtype: T.DataType, mode: str) -> Column:
     return F.filter(typed, lambda p: p["t"].isNotNull())
 
 
-def repeats_an_instant(raw: DataFrame, mode: str = "coalesced") -> Column:
-    """Whether any leg of a document lists an instant twice."""
-    dtype = element_type(raw)
-    repeated = F.lit(False)
-    for leg in LEGS:
-        points = _points(leg, dtype, mode)
-        repeated = repeated | F.coalesce(F.size(F.array_distinct(F.transform(points, lambda p: p["t"]))) < F.size(points), F.lit(False))
-    return repeated
-
+def document_rows(raw: DataFrame, mode: str = "coalesced", carried: tuple[str, ...] = (), keep_empty: bool = False) -> DataFrame:
+    """Legs matched inside each document: one pass, no exchange, no join.
 
-def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
-    """Legs matched inside each document.
-
-    Every leg is cut to the instants that all legs have, sorted and zipped, which takes n log n
-    steps however much the legs differ. Documents with repeated instants are joined instead,
-    where repeats multiply. An asset in two documents raises an error.
+    Instants that no leg repeats are cut to those all legs have, sorted and zipped, which takes
+    n log n steps however much the legs differ. Instants that a leg repeats multiply, each with its
+    own points only. ``carried`` columns are kept; with ``keep_empty`` a document without rows
+    gives one row without time.
     """
     dtype = element_type(raw)
-    most = raw.where(F.col("coin_id").isNotNull()).groupBy("coin_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"))
-    checked = F.when(F.coalesce(most.scalar(), F.lit(0)) > 1, F.raise_error(F.lit("an asset occurs in several documents: use strategy join or keyed")).cast("boolean")).otherwise(F.lit(True))
 
     def cut(leg: str) -> Column:
-        """The points at common instants: a mark per common instant sorts right before its point."""
-        marks = F.transform("common", lambda t: F.struct(t.alias("t"), F.lit(0).alias("point"), F.lit(None).cast("double").alias("v")))
+        """The points at single common instants: a mark per instant sorts right before its point."""
+        marks = F.transform("single", lambda t: F.struct(t.alias("t"), F.lit(0).alias("point"), F.lit(None).cast("double").alias("v")))
         points = F.transform(F.col(leg), lambda p: F.struct(p["t"].alias("t"), F.lit(1).alias("point"), p["v"].alias("v")))
         return F.array_sort(F.concat(marks, points)).alias(f"{leg}_marked")
 
     def kept(leg: str) -> Column:
         marked = F.col(f"{leg}_marked")
-        after_mark = lambda p, i: (p["point"] == 1) & (i > 0) & (F.get(marked, F.greatest(i - 1, F.lit(0)))["t"] == p["t"])
-        return F.filter(marked, after_mark).alias(leg)
-
-    repeats = repeats_an_instant(raw, mode)
-    single = raw.where(F.col("coin_id").isNotNull() & ~repeats & checked)
-    typed = single.select("coin_id", *DESCRIPTIVE, *[_points(leg, dtype, mode).alias(leg) for leg in LEGS])
+        before = lambda i: F.get(marked, F.greatest(i - 1, F.lit(0)))
+        after_mark = lambda p, i: (p["point"] == 1) & (before(i)["point"] == 0) & (before(i)["t"] == p["t"])
+        return F.filter(marked, after_mark).alias(f"{leg}_kept")
+
+    none = F.array().cast("array<bigint>")
+    described = ["coin_id", *DESCRIPTIVE, *carried]
+    typed = raw.where(F.col("coin_id").isNotNull()).select(*described, *[_points(leg, dtype, mode).alias(leg) for leg in LEGS])
+    # A leg whose instants differ, nearly every one, is not sorted to look for repeats.
+    differs = lambda leg: F.size(F.array_distinct(F.col(f"{leg}.t"))) < F.size(leg)
+    ordered = typed.select("*", *[F.when(differs(leg), F.array_sort(F.col(f"{leg}.t"))).alias(f"{leg}_times") for leg in LEGS])
+    again = lambda leg: F.filter(F.col(f"{leg}_times"), lambda t, i: (i > 0) & (F.get(F.col(f"{leg}_times"), F.greatest(i - 1, F.lit(0))) == t))
+    repeated = F.array_distinct(F.concat(*[F.coalesce(again(leg), none) for leg in LEGS]))
     common = F.array_intersect(F.array_intersect("price.t", "market_cap.t"), "volume.t")
-    marked = typed.withColumn("common", common).select("coin_id", *DESCRIPTIVE, *[cut(leg) for leg in LEGS])
-    aligned = marked.select("coin_id", *DESCRIPTIVE, *[kept(leg) for leg in LEGS])
+    told = ordered.select(*described, *LEGS, common.alias("common"), repeated.alias("repeated"))
+    several = F.size("repeated") > 0
+    told = told.select(*described, *LEGS, F.when(several, F.array_except("common", "repeated")).otherwise(F.col("common")).alias("single"), F.when(several, F.array_intersect("common", "repeated")).otherwise(none).alias("multiple"))
+    marked = told.select(*described, *LEGS, "multiple", *[cut(leg) for leg in LEGS])
+    of_multiple = lambda leg: F.when(F.size("multiple") > 0, F.filter(leg, lambda p: F.array_contains(F.col("multiple"), p["t"]))).alias(f"{leg}_some")
+    aligned = marked.select(*described, *[kept(leg) for leg in LEGS], *[of_multiple(leg) for leg in LEGS])
     zipped = F.transform(
-        F.arrays_zip(*LEGS),
-        lambda z: F.struct(z["price"]["t"].alias("timestamp"), *[z[leg]["v"].alias(leg) for leg in LEGS]),
+        F.arrays_zip(*[f"{leg}_kept" for leg in LEGS]),
+        lambda z: F.struct(z["price_kept"]["t"].alias("timestamp"), *[z[f"{leg}_kept"]["v"].alias(leg) for leg in LEGS]),
     )
-    rows = aligned.select("coin_id", *DESCRIPTIVE, F.inline(zipped)).select(*KEY, *DESCRIPTIVE, *LEGS)
-    joined = join_legs(raw.where(repeats & checked), mode=mode)
-    return rows.unionByName(joined.select(*KEY, *DESCRIPTIVE, *LEGS))
+
+    def at(leg: str, point: Column) -> Column:
+        return F.filter(f"{leg}_some", lambda other: other["t"] == point["t"])
+
+    row = lambda p, c, v: F.struct(p["t"].alias("timestamp"), p["v"].alias("price"), c["v"].alias("market_cap"), v["v"].alias("volume"))
+    of_price = lambda p: F.flatten(F.transform(at("market_cap", p), lambda c: F.transform(at("volume", p), lambda v: row(p, c, v))))
+    crossed = F.flatten(F.transform("price_some", of_price))
+    both = F.when(F.col("price_some").isNull(), zipped).otherwise(F.concat(zipped, crossed))
+    explode = F.inline_outer if keep_empty else F.inline
+    return aligned.select(*described, explode(both)).select(*KEY, *DESCRIPTIVE, *carried, *LEGS)
+
+
+def document_legs(raw: DataFrame, mode: str = "coalesced") -> DataFrame:
+    """``document_rows`` of documents that hold whole assets, or whole segments of assets (column
+    ``segment``). An asset or segment in two documents raises an error."""
+    unit = ["coin_id", *(["segment"] if "segment" in raw.columns else [])]
+    most = raw.where(F.col("coin_id").isNotNull()).groupBy(*unit).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"))
+    twice = F.raise_error(F.lit("an asset occurs in several documents: use strategy join or keyed")).cast("boolean")
+    checked = F.when(F.coalesce(most.scalar(), F.lit(0)) > 1, twice).otherwise(F.lit(True))
+    return document_rows(raw.where(checked), mode)
 
 
 def flatten_series(raw: DataFrame, mode: str = "coalesced", strategy: str = "join") -> DataFrame:
