@@ -8,21 +8,35 @@ from series_lake.queries.registry import DAY_SQL, FLAT_SQL, MERGED_SQL, query, s
 from series_lake.schemas import FLAT
 from series_lake.sinks.publish import land_bulk, publish_history
 from series_lake.sources.files import scan_published
-from series_lake.sources.tables import documents, existing_history, incoming_history
-from series_lake.streaming import increments
+from series_lake.sources.tables import documents, existing_history, incoming_history, series
+from series_lake.streaming import increments, stateful
 from series_lake.workspace import scratch
 
+HALF_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
+
+
+def _landings(spark: SparkSession, sf_dir: str, raw: str, times: int):
+    """Lands every document ``times`` times, in new files; yields after each."""
+    for _ in range(times):
+        land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
+        yield f"{raw}/prefix=historical_data"
+
 
 @query("stream_flatten", f"WITH {FLAT_SQL} SELECT * FROM flat")
 def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of the same documents; legs matched inside the documents."""
     raw, target, checkpoint = (scratch(spark, label) for label in ("raw", "flat", "progress"))
-    land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
-    for _ in range(2):  # the second landing delivers every document again, in new files
-        docs = increments.stream_raw(spark, f"{raw}/prefix=historical_data")
-        increments.stream_flatten(docs, target, checkpoint).awaitTermination()
-        land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
-    docs = increments.stream_raw(spark, f"{raw}/prefix=historical_data")
-    increments.stream_flatten(docs, target, checkpoint).awaitTermination()
+    for folder in _landings(spark, sf_dir, raw, 2):
+        increments.stream_flatten_documents(increments.stream_delivered(spark, folder), target, checkpoint).awaitTermination()
+    return increments.read_newest(spark, target)
+
+
+@query("stream_flatten_join", f"WITH {FLAT_SQL} SELECT * FROM flat")
+def stream_flatten_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the legs joined, as assets split over several documents need."""
+    raw, target, checkpoint = (scratch(spark, label) for label in ("raw", "flat", "progress"))
+    for folder in _landings(spark, sf_dir, raw, 3):
+        increments.stream_flatten(increments.stream_raw(spark, folder), target, checkpoint).awaitTermination()
     return increments.read_flat(spark, target)
 
 
@@ -50,3 +64,17 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         flat = spark.readStream.schema(FLAT).option("maxFilesPerTrigger", 4).parquet(arriving)
         increments.stream_dedupe(flat, target, checkpoint).awaitTermination()
     return increments.read_flat(spark, target)
+
+
+@query("stream_dedupe_stateful", f"WITH {series_sql('once')} SELECT * FROM once")
+def stream_dedupe_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the days first, then all days, then the earlier half again: with a week of
+    state per asset most of the last delivery is late and all of it a repeat."""
+    arriving, target, checkpoint = (scratch(spark, label) for label in ("arriving", "once", "progress"))
+    whole = series(spark, sf_dir)
+    newer, older = whole.where(f"timestamp >= {HALF_MS}"), whole.where(f"timestamp < {HALF_MS}")
+    for delivery in (newer, whole, older):
+        delivery.write.mode("append").parquet(arriving)
+        flat = spark.readStream.schema(FLAT).parquet(arriving)
+        stateful.stream_dedupe_stateful(flat, target, checkpoint, slots=7).awaitTermination()
+    return stateful.read_once(spark, target)

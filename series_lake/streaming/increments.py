@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from series_lake.functions.timeconv import utc_date
-from series_lake.operators.flatten import flatten_series
+from series_lake.functions.timeconv import local_clock, utc_date
+from series_lake.operators.flatten import document_rows, flatten_series
 from series_lake.operators.merge import merge_history
 from series_lake.schemas import FLAT, FLAT_DATED, KEY, RAW
 from series_lake.sinks.publish import BUCKETS, asset_bucket, publish_history, published_days, touched_days
@@ -23,6 +23,40 @@ def stream_raw(spark: SparkSession, path: str, schema: T.StructType = RAW, max_f
     return reader.json(path).select(*schema.names)
 
 
+#: Flat rows with the delivery that brought them; a document without rows leaves one without time.
+FLAT_DELIVERED = T.StructType([*FLAT.fields, T.StructField("delivered", T.TimestampType())])
+
+
+def stream_delivered(spark: SparkSession, path: str, schema: T.StructType = RAW, max_files: int | None = None) -> DataFrame:
+    """Arriving documents with ``delivered``, the time their file was landed."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path).select(*schema.names, F.col("_metadata.file_modification_time").alias("delivered"))
+
+
+def stream_flatten_documents(docs: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """New documents to flat rows without state, join or exchange.
+
+    ``docs`` come from ``stream_delivered``. Legs are matched inside each document, and the rows go to
+    a plain file sink, which commits each batch once, together with the time of their delivery. An
+    asset that is delivered again is told apart when reading: ``read_newest`` takes the rows of its
+    newest delivery, in whatever order the files were read. A landing must hold an asset in one
+    document, as the landing step does; documents that share an asset need ``stream_flatten``.
+    """
+    rows = document_rows(docs, carried=("delivered",), keep_empty=True)
+    rows = rows.withColumn("date_time", local_clock(F.col("timestamp"))).select(*FLAT_DELIVERED.names)
+    return rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_newest(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that ``stream_flatten_documents`` has written of each asset's newest delivery."""
+    rows = scan_if_exists(spark, target, FLAT_DELIVERED)
+    newest = rows.groupBy(F.col("coin_id").alias("_asset")).agg(F.max("delivered").alias("_newest"))
+    current = rows.join(newest, (F.col("coin_id") == F.col("_asset")) & (F.col("delivered") == F.col("_newest")))
+    return current.where(F.col("timestamp").isNotNull()).select(*FLAT.names)
+
+
 def read_flat(spark: SparkSession, target: str) -> DataFrame:
     """The rows that ``stream_flatten`` or ``stream_dedupe`` have written."""
     return scan_if_exists(spark, target, FLAT).select(*FLAT.names)
