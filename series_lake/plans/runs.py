@@ -9,27 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from series_lake.functions.casts import at_precision
-from series_lake.functions.documents import build_envelope
+from series_lake.functions.documents import SEGMENT_POINTS, build_envelope, with_segments
 from series_lake.operators.filters import lookback, quoted_in
 from series_lake.operators.flatten import flatten_series
 from series_lake.operators.metrics import circulating_supply, price_metrics, rolling_24h
 from series_lake.operators.quality import reject_documents, reject_points
 from series_lake.operators.ranking import PAGE_SIZE, page
-from series_lake.schemas import DESCRIPTIVE, LEGS, RAW, WH_HIST, WH_INTRA
+from series_lake.schemas import LEGS, RAW, RAW_LANDED, WH_HIST, WH_INTRA
 from series_lake.sinks.publish import land_bulk, land_per_asset, merge_days, publish_intra_day, published_days
 from series_lake.sinks.warehouse import full_reload, load_days, map_hist, map_intra
-from series_lake.sources.files import CORRUPT, scan_corrupt_capture, scan_raw_table, typed_copy
+from series_lake.sources.files import CORRUPT, PARQUET_FORMAT, scan_corrupt_capture, scan_raw_table, typed_copy
 from series_lake.workspace import staged
 
 #: Longest list that is sent to every task, and that is landed in a folder per asset.
 SHORT_LIST = 10_000
-#: Most points of an asset that are put into one document.
-MOST_POINTS = 100_000
 
 
 def prepare_raw(
     markets: DataFrame, points: DataFrame, path: str, run_type: str, as_of_ms: int, n: int = PAGE_SIZE,
-    number: int = 1, currency: str | None = None, currency_col: str = "quote_currency", most_points: int = MOST_POINTS,
+    number: int = 1, currency: str | None = None, currency_col: str = "quote_currency", segment_points: int = SEGMENT_POINTS,
 ) -> None:
     """Land one document for each asset of a page of ``n`` assets, by market cap.
 
@@ -37,11 +35,11 @@ def prepare_raw(
     quoted in several. An asset without points in the lookback gets a document with empty series,
     so that nothing older stays in its place. The list is staged and used twice: as a semi join,
     which the planner moves below an aggregate that makes the series, so that only the chosen
-    assets are aggregated, and to describe the result. A document is one row: a series with more
-    than ``most_points`` points of an asset is refused.
+    assets are aggregated, and to describe the result. Where an asset has more than
+    ``segment_points`` points, assets are landed as several documents, each a segment of the series.
     """
     spark = markets.sparkSession
-    with staged(spark, "top") as top_at:
+    with staged(spark, "top") as top_at, staged(spark, "points") as points_at:
         page(markets, number, n).select(
             F.col("id").alias("coin_id"),
             F.col("name").alias("coin_name"),
@@ -53,12 +51,15 @@ def prepare_raw(
         listed = F.broadcast(chosen) if n <= SHORT_LIST else chosen
         quoted = points if currency is None else quoted_in(points, currency_col, currency)
         wanted = lookback(quoted, as_of_ms, run_type).join(listed, "coin_id", "left_semi")
-        longest = wanted.groupBy("coin_id").count().agg(F.max("count")).first()[0] or 0
-        if longest > most_points:
-            raise ValueError(f"an asset has {longest} points: aggregate the series to a coarser grain first")
         rounded = wanted.select("coin_id", "timestamp", *[at_precision(F.col(leg)).alias(leg) for leg in LEGS])
-        described = chosen.join(rounded, "coin_id", "left").select("coin_id", *DESCRIPTIVE, "timestamp", *LEGS)
-        documents = build_envelope(described, "variant")
+        rounded.write.options(**PARQUET_FORMAT).parquet(points_at)
+        rounded = spark.read.schema(rounded.schema).parquet(points_at)
+        longest = rounded.groupBy("coin_id").count().agg(F.max("count")).first()[0] or 0
+        segmented = longest > segment_points
+        if segmented:
+            rounded = with_segments(rounded, segment_points)
+        described = chosen.join(rounded, "coin_id", "left")
+        documents = build_envelope(described, "variant", segmented)
         if n <= SHORT_LIST:
             land_per_asset(documents, path, run_type)
         else:
@@ -75,9 +76,9 @@ def read_documents(spark: SparkSession, raw: str, rejects: str | None = None, fa
     if "/" not in raw and spark.catalog.tableExists(raw):
         documents, unreadable = scan_raw_table(spark, raw), None
     elif fail_fast:
-        documents, unreadable = scan_corrupt_capture(spark, raw, fail_fast=True), None
+        documents, unreadable = scan_corrupt_capture(spark, raw, RAW_LANDED, fail_fast=True), None
     else:
-        captured = scan_corrupt_capture(spark, raw)
+        captured = scan_corrupt_capture(spark, raw, RAW_LANDED)
         documents = captured.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         unreadable = captured.where(F.col(CORRUPT).isNotNull()).select("coin_id", F.col(CORRUPT).alias("detail"))
     if rejects is not None:

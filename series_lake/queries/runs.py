@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from series_lake.functions import timeconv as tc
-from series_lake.functions.documents import build_envelope
+from series_lake.functions.documents import build_envelope, with_segments
 from series_lake.operators.filters import lookback
-from series_lake.operators.flatten import tagged_points
+from series_lake.operators.flatten import flatten_series, tagged_points
 from series_lake.operators.ranking import with_rank
 from series_lake.plans import runs
 from series_lake.queries.projections import AS_OF_MS, new_table
 from series_lake.queries.registry import DAILY_SQL, FLAT_SQL, LOCAL_SQL, MARKETS_SQL, WH_HIST_SELECT, WH_INTRA_SELECT, query
 from series_lake.queries.scans import intra_day_documents
+from series_lake.schemas import RAW_LANDED
 from series_lake.sinks.publish import land_bulk
 from series_lake.sources.files import scan_raw
 from series_lake.sources.tables import daily_points, markets, table
@@ -95,3 +96,31 @@ def prepare_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     runs.prepare_raw(with_rank(markets(spark, sf_dir)), points, path, "normal", _ORDERS_AS_OF_MS)
     return tagged_points(scan_raw(spark, f"{path}/prefix=historical_data"))
+
+
+_HOT_SQL = """hot AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE 'u' || user_id END AS coin_id, epoch_us(ts) // 1000 AS "timestamp",
+         max(value) AS price, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS market_cap, CAST(count(*) AS DOUBLE) AS volume
+  FROM events GROUP BY 1, 2)"""
+
+
+@query(
+    "segmented_landing",
+    f"""WITH {_HOT_SQL}
+SELECT coin_id, "timestamp", coin_id AS coin_name, coin_id AS coin_symbol, coin_id AS coin_image, CAST(1 AS BIGINT) AS market_cap_rank,
+       price, market_cap, volume, {LOCAL_SQL} AS date_time FROM hot""",
+)
+def segmented_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of at most a few hundred points, of an asset that holds a third of all events and of the
+    others, landed and flattened inside the documents."""
+    raw, points_at = scratch(spark, "raw"), scratch(spark, "points")
+    value = F.col("value")
+    user = F.col("user_id")
+    table(spark, sf_dir, "events").groupBy(
+        F.when(user % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), user.cast("string"))).alias("coin_id"), tc.ntz_to_ms("ts").alias("timestamp")
+    ).agg(F.max(value).alias("price"), F.sum(value.cast("decimal(18,2)")).cast("double").alias("market_cap"), F.count("*").cast("double").alias("volume")).write.parquet(points_at)
+    points = with_segments(spark.read.parquet(points_at), 200)
+    name = F.col("coin_id")
+    described = points.withColumns({"coin_name": name, "coin_symbol": name, "coin_image": name, "market_cap_rank": F.lit(1).cast("bigint")})
+    land_bulk(spark, build_envelope(described, "variant", segmented=True), raw, "normal")
+    return flatten_series(scan_raw(spark, f"{raw}/prefix=historical_data", RAW_LANDED), strategy="document")

@@ -1,4 +1,4 @@
-"""Explicit schemas of every layer. Nothing in the package infers a schema."""
+"""Explicit schemas of every layer. Only ``scan_stage`` takes the schema of its files."""
 
 from __future__ import annotations
 
@@ -35,6 +35,10 @@ RAW_STRICT = raw_schema(T.VariantType())
 # Already typed pairs, as held in columnar copies of the raw layer.
 RAW_TYPED = raw_schema(T.DoubleType())
 
+# What a landing adds to a document: the part of its asset's series, and the landing's number.
+LANDED = [T.StructField("segment", T.LongType()), T.StructField("landed", T.LongType())]
+RAW_LANDED = T.StructType([*RAW.fields, *LANDED])
+
 FLAT = T.StructType(
     [
         T.StructField("coin_id", T.StringType()),

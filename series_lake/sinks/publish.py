@@ -141,15 +141,23 @@ def qualified(table: str) -> str:
     return table
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Documents with their segment, null where an asset is one document, and the landing's number,
+    which grows from one landing to the next."""
+    given = docs if "segment" in docs.columns else docs.withColumn("segment", F.lit(None).cast("bigint"))
+    return given.withColumn("landed", F.lit(time.time_ns() // 1_000_000))
+
+
 def land_per_asset(docs: DataFrame, path: str, run_type: str) -> None:
-    """One JSON document per asset and run prefix, replacing that asset's previous one.
+    """One folder of JSON documents per asset and run prefix, replacing that asset's previous one.
 
-    One directory per asset: for runs over a top list, whose length bounds the directories.
+    For runs over a top list, whose length bounds the folders. An asset is one document, or one
+    per segment, which are written by several tasks.
     """
     (
-        docs.withColumn("prefix", target_prefix(F.lit(run_type)))
+        _numbered(docs).withColumn("prefix", target_prefix(F.lit(run_type)))
         .withColumn("asset", F.col("coin_id"))
-        .repartition("prefix", "asset")
+        .repartition("prefix", "asset", "segment")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("prefix", "asset")
@@ -173,6 +181,7 @@ def land_bulk(spark: SparkSession, docs: DataFrame, path: str, run_type: str, bu
     hold none of its assets. Documents without an asset are replaced by those of the run.
     """
     prefix = target_prefix(F.lit(run_type))
+    docs = _numbered(docs)
     landed = T.StructType([*docs.schema.fields, T.StructField("prefix", T.StringType()), T.StructField("bucket", T.IntegerType())])
     with staged(spark, "landing") as staged_at:
         docs.withColumn("prefix", prefix).withColumn("bucket", asset_bucket(F.col("coin_id"), buckets)).write.parquet(staged_at)

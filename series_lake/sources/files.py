@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from series_lake.functions.choice import choice_double, element_type
-from series_lake.schemas import DESCRIPTIVE, FLAT_DATED, LEG_ARRAYS, MARKETS, RAW, RAW_TYPED
+from series_lake.schemas import DESCRIPTIVE, FLAT_DATED, LANDED, LEG_ARRAYS, MARKETS, RAW, RAW_TYPED
 
 CORRUPT = "_corrupt_record"
 # The named file format. Binary columns stay binary, which is what
@@ -41,8 +41,9 @@ def typed_copy(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
         ).alias(array)
 
     data = F.when(F.col("data").isNotNull(), F.struct(*[pairs(a) for a in LEG_ARRAYS.values()])).alias("data")
-    raw.select("coin_id", *DESCRIPTIVE, data).write.options(**PARQUET_FORMAT).parquet(path)
-    return spark.read.schema(RAW_TYPED).parquet(path)
+    segment = [f for f in LANDED if f.name == "segment" and f.name in raw.columns]
+    raw.select("coin_id", *DESCRIPTIVE, data, *[f.name for f in segment]).write.options(**PARQUET_FORMAT).parquet(path)
+    return spark.read.schema(T.StructType([*RAW_TYPED.fields, *segment])).parquet(path)
 
 
 def scan_corrupt_capture(spark: SparkSession, path: str, schema: T.StructType = RAW, fail_fast: bool = False) -> DataFrame:

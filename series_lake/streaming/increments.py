@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from series_lake.functions.timeconv import local_clock, utc_date
 from series_lake.operators.flatten import document_rows, flatten_series
 from series_lake.operators.merge import merge_history
-from series_lake.schemas import FLAT, FLAT_DATED, KEY, RAW
+from series_lake.schemas import FLAT, FLAT_DATED, KEY, RAW, RAW_LANDED
 from series_lake.sinks.publish import BUCKETS, asset_bucket, publish_history, published_days, touched_days
 from series_lake.sources.files import scan_if_exists, typed_copy
 from series_lake.workspace import remove, staged
@@ -24,15 +24,16 @@ def stream_raw(spark: SparkSession, path: str, schema: T.StructType = RAW, max_f
 
 
 #: Flat rows with the delivery that brought them; a document without rows leaves one without time.
-FLAT_DELIVERED = T.StructType([*FLAT.fields, T.StructField("delivered", T.TimestampType())])
+FLAT_DELIVERED = T.StructType([*FLAT.fields, T.StructField("delivered", T.LongType())])
 
 
-def stream_delivered(spark: SparkSession, path: str, schema: T.StructType = RAW, max_files: int | None = None) -> DataFrame:
-    """Arriving documents with ``delivered``, the time their file was landed."""
+def stream_delivered(spark: SparkSession, path: str, schema: T.StructType = RAW_LANDED, max_files: int | None = None) -> DataFrame:
+    """Arriving documents with ``delivered``: the number of their landing, or the time of their file
+    where another hand put it there. Both are milliseconds."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path).select(*schema.names, F.col("_metadata.file_modification_time").alias("delivered"))
+    return reader.json(path).select(*schema.names, F.coalesce("landed", F.unix_millis(F.col("_metadata.file_modification_time"))).alias("delivered"))
 
 
 def stream_flatten_documents(docs: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -41,8 +42,8 @@ def stream_flatten_documents(docs: DataFrame, target: str, checkpoint: str) -> S
     ``docs`` come from ``stream_delivered``. Legs are matched inside each document, and the rows go to
     a plain file sink, which commits each batch once, together with the time of their delivery. An
     asset that is delivered again is told apart when reading: ``read_newest`` takes the rows of its
-    newest delivery, in whatever order the files were read. A landing must hold an asset in one
-    document, as the landing step does; documents that share an asset need ``stream_flatten``.
+    newest delivery, in whatever order the files were read. An instant of an asset must be in one
+    document of a landing, as the landing step sees to; others need ``stream_flatten``.
     """
     rows = document_rows(docs, carried=("delivered",), keep_empty=True)
     rows = rows.withColumn("date_time", local_clock(F.col("timestamp"))).select(*FLAT_DELIVERED.names)

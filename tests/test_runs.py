@@ -6,10 +6,10 @@ from series_cases import document
 
 from series_lake.__main__ import main
 from series_lake.functions.timeconv import DAY_MS
-from series_lake.operators.flatten import tagged_points
+from series_lake.operators.flatten import flatten_series, tagged_points
 from series_lake.plans import runs
 from series_lake.queries.projections import new_table
-from series_lake.schemas import FLAT_DATED, MARKETS
+from series_lake.schemas import FLAT_DATED, MARKETS, RAW_LANDED
 from series_lake.sources.files import scan_raw
 
 T0 = 1711065600000
@@ -65,8 +65,16 @@ def test_silent_asset_gets_an_empty_document(spark, tmp_path):
     prepare(T0 + 8 * DAY_MS, ("a", T0 + 8 * DAY_MS, "usd"), ("b", T0, "usd"))
     docs = scan_raw(spark, f"{landing}/prefix=intra_day_data")
     assert {(r.coin_id, len(r.data.prices)) for r in docs.collect()} == {("a", 1), ("b", 0)}
-    with pytest.raises(ValueError, match="coarser"):
-        runs.prepare_raw(listing, points(("a", T0, "usd"), ("a", T0 - 1, "usd")), landing, "normal", T0, most_points=1)
+    # an asset of more points than a document holds is landed in segments
+    many = [("a", T0 - i, "usd") for i in range(9)] + [("b", T0, "usd")]
+    runs.prepare_raw(listing, points(*many), landing, "normal", T0, segment_points=2)
+    raw = scan_raw(spark, f"{landing}/prefix=historical_data", RAW_LANDED)
+    sizes = [len(r.data.prices) for r in raw.where("coin_id = 'a'").collect()]
+    assert sum(sizes) == 9 and max(sizes) <= 4
+    for strategy in ("document", "join", "keyed"):
+        assert sorted((r.coin_id, r.timestamp) for r in flatten_series(raw, strategy=strategy).collect()) == sorted((c, t) for c, t, _ in many)
+    runs.prepare_raw(listing, points(("a", T0, "usd")), landing, "normal", T0, segment_points=2)
+    assert [len(r.data.prices) for r in scan_raw(spark, f"{landing}/prefix=historical_data").where("coin_id = 'a'").collect()] == [1]
 
 
 def test_rejects_and_fail_fast(spark, landed, tmp_path):
