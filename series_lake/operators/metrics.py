@@ -29,7 +29,7 @@ FRAME_MS = DAY_MS
 ROLLING = ["high_24h", "low_24h", "price_change_24h", "price_change_percentage_24h"]
 
 
-def _block_table(flat: DataFrame, width: int) -> DataFrame:
+def block_table(flat: DataFrame, width: int) -> DataFrame:
     """One row per asset and block, combined before its exchange."""
     return flat.groupBy("coin_id", floor_div(F.col("timestamp"), width).alias("block")).agg(
         F.max("price").alias("b_high"),
@@ -58,8 +58,12 @@ def rolling_24h(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     return price_metrics(flat, block_ms).select(*flat.columns, *ROLLING)
 
 
-def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
-    """The rolling and the all-time metrics together, over one exchange of the rows."""
+def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS, blocks: DataFrame | None = None) -> DataFrame:
+    """The rolling and the all-time metrics together, over one exchange of the rows.
+
+    ``blocks``: the block table to use instead of that of ``flat``, where ``flat`` is only the last
+    part of its series (see ``sinks.summaries``); it holds at least the blocks of ``flat``.
+    """
     if FRAME_MS % block_ms:
         raise ValueError("a block must divide 24 hours")
     span = FRAME_MS // block_ms
@@ -67,7 +71,8 @@ def price_metrics(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
 
     by_block = Window.partitionBy("coin_id").orderBy("block")
     between, before = by_block.rangeBetween(-(span - 1), -1), by_block.rangeBetween(Window.unboundedPreceding, -1)
-    blocks = _block_table(flat, block_ms).select(
+    table = block_table(flat, block_ms) if blocks is None else blocks
+    blocks = table.select(
         "coin_id",
         "block",
         F.max("b_high").over(before).alias("p_high"),
@@ -125,7 +130,7 @@ def all_time(flat: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
     """Adds the running all-time high and low of each asset up to the row; no echo rows."""
     everything, flat = flat, _keyed(flat)
     before = Window.partitionBy("coin_id").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
-    blocks = _block_table(flat, block_ms).select(
+    blocks = block_table(flat, block_ms).select(
         "coin_id", "block", F.max("b_high").over(before).alias("m_high"), F.min("b_low").over(before).alias("m_low")
     )
     up_to = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from series_lake.functions.casts import at_precision
+from series_lake.functions.timeconv import utc_date
 from series_lake.functions.documents import SEGMENT_POINTS, build_envelope, with_segments
 from series_lake.operators.filters import lookback, quoted_in
 from series_lake.operators.flatten import flatten_series
@@ -16,7 +17,8 @@ from series_lake.operators.metrics import circulating_supply, price_metrics, rol
 from series_lake.operators.quality import reject_documents, reject_points
 from series_lake.operators.ranking import PAGE_SIZE, page
 from series_lake.schemas import LEGS, RAW, RAW_LANDED, WH_HIST, WH_INTRA
-from series_lake.sinks.publish import land_bulk, land_per_asset, merge_days, publish_intra_day, published_days
+from series_lake.sinks.publish import land_bulk, land_per_asset, merge_days, publish_intra_day, published_days, touched_days
+from series_lake.sinks.summaries import metrics_with_history, update_summaries
 from series_lake.sinks.warehouse import full_reload, load_days, map_hist, map_intra
 from series_lake.sources.files import CORRUPT, PARQUET_FORMAT, scan_corrupt_capture, scan_raw_table, typed_copy
 from series_lake.workspace import staged
@@ -95,24 +97,33 @@ def read_documents(spark: SparkSession, raw: str, rejects: str | None = None, fa
 def run_intra_day(
     spark: SparkSession, raw: str, table: str, table_root: str, wh_table: str, wh_root: str, strategy: str = "join",
     rejects: str | None = None, fail_fast: bool = False, metrics: bool = False, keep: int | None = None,
+    history: str | None = None, summaries: str | None = None,
 ) -> DataFrame:
     """Raw documents to the intra-day output and its warehouse table, both replaced.
 
     The join reads the documents once per leg, so they are parsed once into a columnar
     copy. ``strategy="document"`` needs no exchange of points; it is exact when the documents
     come from the landing step, which keeps one per asset, and refuses others. ``metrics`` fills
-    the declared metric columns; ``keep`` is the number of table versions that stay.
+    the declared metric columns, over the run's own rows or, with a ``history`` and its ``summaries``,
+    over all that came before; ``keep`` is the number of table versions that stay.
     """
+    if (history is None) != (summaries is None):
+        raise ValueError("history and summaries go together")
     with staged(spark, "typed") as copy_at:
         documents = typed_copy(spark, read_documents(spark, raw, rejects, fail_fast), copy_at)
         flat = publish_intra_day(spark, flatten_series(documents, strategy=strategy), table, table_root, keep)
-    measured = circulating_supply(price_metrics(flat)) if metrics else flat
+    measured = flat
+    if metrics and history is None:
+        measured = circulating_supply(price_metrics(flat))
+    elif metrics:
+        days = touched_days(flat.select(utc_date(F.col("timestamp")).alias("date")))
+        measured = circulating_supply(metrics_with_history(spark, flat, days, history, summaries))
     return full_reload(spark, map_intra(measured), wh_table, wh_root, WH_INTRA, keep)
 
 
 def run_historical(
     spark: SparkSession, raw: str, history: str, wh_table: str, wh_root: str, full: bool = False,
-    rejects: str | None = None, fail_fast: bool = False, metrics: bool = False,
+    rejects: str | None = None, fail_fast: bool = False, metrics: bool = False, summaries: str | None = None,
 ) -> DataFrame:
     """Raw documents merged into the history, then the touched days of the warehouse table.
 
@@ -120,8 +131,11 @@ def run_historical(
     the documents, and repeated keys never multiply. Days that the run does not touch are
     neither read nor written, in the history or in the table, which is partitioned by day.
     ``metrics`` fills the rolling columns; those of the day after a touched one change too.
+    ``summaries`` names the block summaries to keep with the history.
     """
     days = merge_days(spark, flatten_series(read_documents(spark, raw, rejects, fail_fast), strategy="keyed"), history)
+    if summaries is not None:
+        update_summaries(spark, history, days, summaries)
     if not metrics:
         return load_days(spark, history, days, lambda flat: map_hist(flat, full), wh_table, wh_root, WH_HIST)
     # Before the first load every day is new; later the days that changed, read with the day before.

@@ -60,6 +60,47 @@ def run_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded
 
 
+_INTRA_WITH_METRICS = WH_INTRA_SELECT
+for _name, _sql in {
+    "price_change_percentage_24h": """CASE WHEN first_value(price) OVER day <> 0
+    THEN (price - first_value(price) OVER day) * 100 / first_value(price) OVER day END""",
+    "circulating_supply": "CASE WHEN price <> 0 THEN market_cap / price END",
+    "ath": "max(price) OVER so_far",
+    "atl": "min(price) OVER so_far",
+}.items():
+    _INTRA_WITH_METRICS = _INTRA_WITH_METRICS.replace(f"CAST(NULL AS DOUBLE) AS {_name}", f"{_sql} AS {_name}")
+
+
+@query(
+    "run_intra_day_all_time",
+    f"""WITH {DAILY_SQL}, flat AS (
+  SELECT coin_id, "timestamp", coin_name, coin_symbol, coin_image, market_cap_rank, market_cap, volume,
+         CASE WHEN "timestamp" < {_LATE_START_MS} THEN price + 1 ELSE price END AS price, {LOCAL_SQL} AS date_time
+  FROM daily WHERE price IS NOT NULL AND market_cap IS NOT NULL AND volume IS NOT NULL),
+measured AS (
+  SELECT "timestamp", {_INTRA_WITH_METRICS} FROM flat
+  WINDOW day AS (PARTITION BY coin_id ORDER BY "timestamp" RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW),
+    so_far AS (PARTITION BY coin_id ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT * EXCLUDE ("timestamp") FROM measured WHERE "timestamp" BETWEEN {AS_OF_MS} - 86400000 AND {AS_OF_MS}""",
+)
+def run_intra_day_all_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two historical runs that overlap, then an intra-day run of the last day: its metrics are over all
+    history, of which it reads three days and the block summaries."""
+    history, summaries = scratch(spark, "history"), scratch(spark, "summaries")
+    points = daily_points(spark, sf_dir)
+    early = points.where(F.col("timestamp") < _EARLY_END_MS).withColumn("price", F.col("price") + 1)
+    late = points.where(F.col("timestamp") >= _LATE_START_MS)
+    for delivered in (early, late):
+        raw = scratch(spark, "raw")
+        land_bulk(spark, build_envelope(delivered, "variant"), raw, "normal")
+        runs.run_historical(spark, f"{raw}/prefix=historical_data", history, *new_table(spark, "hist"), summaries=summaries)
+    raw = scratch(spark, "raw")
+    land_bulk(spark, intra_day_documents(spark, sf_dir), raw, "intra_day")
+    return runs.run_intra_day(
+        spark, f"{raw}/prefix=intra_day_data", *new_table(spark, "flat"), *new_table(spark, "intra"), metrics=True, history=history, summaries=summaries
+    )
+
+
 _ORDER_LEGS = "\nUNION ALL ".join(
     f"""SELECT id AS coin_id, name AS coin_name, symbol AS coin_symbol, image AS coin_image, market_cap_rank,
   '{leg}' AS leg, "timestamp", {leg} AS value FROM top JOIN points USING (id)"""
