@@ -111,46 +111,35 @@ def document_rows(raw: DataFrame, mode: str = "coalesced", carried: tuple[str, .
     gives one row without time.
     """
     dtype = element_type(raw)
-
-    def cut(leg: str) -> Column:
-        """The points at single common instants: a mark per instant sorts right before its point."""
-        marks = F.transform("single", lambda t: F.struct(t.alias("t"), F.lit(0).alias("point"), F.lit(None).cast("double").alias("v")))
-        points = F.transform(F.col(leg), lambda p: F.struct(p["t"].alias("t"), F.lit(1).alias("point"), p["v"].alias("v")))
-        return F.array_sort(F.concat(marks, points)).alias(f"{leg}_marked")
-
-    def kept(leg: str) -> Column:
-        marked = F.col(f"{leg}_marked")
-        before = lambda i: F.get(marked, F.greatest(i - 1, F.lit(0)))
-        after_mark = lambda p, i: (p["point"] == 1) & (before(i)["point"] == 0) & (before(i)["t"] == p["t"])
-        return F.filter(marked, after_mark).alias(f"{leg}_kept")
-
-    none = F.array().cast("array<bigint>")
     described = ["coin_id", *DESCRIPTIVE, *carried]
     typed = raw.where(F.col("coin_id").isNotNull()).select(*described, *[_points(leg, dtype, mode).alias(leg) for leg in LEGS])
+    each = lambda form: [form.format(leg=leg) for leg in LEGS]
     # A leg whose instants differ, nearly every one, is not sorted to look for repeats.
-    differs = lambda leg: F.size(F.array_distinct(F.col(f"{leg}.t"))) < F.size(leg)
-    ordered = typed.select("*", *[F.when(differs(leg), F.array_sort(F.col(f"{leg}.t"))).alias(f"{leg}_times") for leg in LEGS])
-    again = lambda leg: F.filter(F.col(f"{leg}_times"), lambda t, i: (i > 0) & (F.get(F.col(f"{leg}_times"), F.greatest(i - 1, F.lit(0))) == t))
-    repeated = F.array_distinct(F.concat(*[F.coalesce(again(leg), none) for leg in LEGS]))
-    common = F.array_intersect(F.array_intersect("price.t", "market_cap.t"), "volume.t")
-    told = ordered.select(*described, *LEGS, common.alias("common"), repeated.alias("repeated"))
-    several = F.size("repeated") > 0
-    told = told.select(*described, *LEGS, F.when(several, F.array_except("common", "repeated")).otherwise(F.col("common")).alias("single"), F.when(several, F.array_intersect("common", "repeated")).otherwise(none).alias("multiple"))
-    marked = told.select(*described, *LEGS, "multiple", *[cut(leg) for leg in LEGS])
-    of_multiple = lambda leg: F.when(F.size("multiple") > 0, F.filter(leg, lambda p: F.array_contains(F.col("multiple"), p["t"]))).alias(f"{leg}_some")
-    aligned = marked.select(*described, *[kept(leg) for leg in LEGS], *[of_multiple(leg) for leg in LEGS])
-    zipped = F.transform(
-        F.arrays_zip(*[f"{leg}_kept" for leg in LEGS]),
-        lambda z: F.struct(z["price_kept"]["t"].alias("timestamp"), *[z[f"{leg}_kept"]["v"].alias(leg) for leg in LEGS]),
+    times = typed.selectExpr("*", *each("CASE WHEN size(array_distinct({leg}.t)) < size({leg}) THEN array_sort({leg}.t) END AS {leg}_times"))
+    again = each("coalesce(filter({leg}_times, (t, i) -> i > 0 AND get({leg}_times, greatest(i - 1, 0)) = t), CAST(array() AS array<bigint>))")
+    common = "array_intersect(array_intersect(price.t, market_cap.t), volume.t)"
+    told = times.selectExpr(*described, *LEGS, f"{common} AS common", f"array_distinct(concat({', '.join(again)})) AS repeated")
+    told = told.selectExpr(
+        *described, *LEGS,
+        "CASE WHEN size(repeated) > 0 THEN array_except(common, repeated) ELSE common END AS single",
+        "CASE WHEN size(repeated) > 0 THEN array_intersect(common, repeated) END AS multiple",
+    )
+    # A mark per single common instant sorts right before its point.
+    mark = "transform(single, t -> struct(t AS t, 0 AS point, CAST(NULL AS DOUBLE) AS v))"
+    marked = told.selectExpr(
+        *described,
+        *each(f"array_sort(concat({mark}, transform({{leg}}, p -> struct(p.t AS t, 1 AS point, p.v AS v)))) AS {{leg}}_marked"),
+        *each("CASE WHEN size(multiple) > 0 THEN filter({leg}, p -> array_contains(multiple, p.t)) END AS {leg}_some"),
+    )
+    after_mark = "p.point = 1 AND get({leg}_marked, greatest(i - 1, 0)).point = 0 AND get({leg}_marked, greatest(i - 1, 0)).t = p.t"
+    aligned = marked.selectExpr(*described, *each("{leg}_some"), *each(f"filter({{leg}}_marked, (p, i) -> {after_mark}) AS {{leg}}_kept"))
+    row = "struct({t} AS timestamp, {p} AS price, {c} AS market_cap, {v} AS volume)"
+    zipped = "transform(arrays_zip(price_kept, market_cap_kept, volume_kept), z -> " + row.format(t="z.price_kept.t", p="z.price_kept.v", c="z.market_cap_kept.v", v="z.volume_kept.v") + ")"
+    crossed = (
+        "flatten(transform(price_some, p -> flatten(transform(filter(market_cap_some, o -> o.t = p.t), c -> "
+        "transform(filter(volume_some, o -> o.t = p.t), v -> " + row.format(t="p.t", p="p.v", c="c.v", v="v.v") + ")))))"
     )
-
-    def at(leg: str, point: Column) -> Column:
-        return F.filter(f"{leg}_some", lambda other: other["t"] == point["t"])
-
-    row = lambda p, c, v: F.struct(p["t"].alias("timestamp"), p["v"].alias("price"), c["v"].alias("market_cap"), v["v"].alias("volume"))
-    of_price = lambda p: F.flatten(F.transform(at("market_cap", p), lambda c: F.transform(at("volume", p), lambda v: row(p, c, v))))
-    crossed = F.flatten(F.transform("price_some", of_price))
-    both = F.when(F.col("price_some").isNull(), zipped).otherwise(F.concat(zipped, crossed))
+    both = F.expr(f"CASE WHEN price_some IS NULL THEN {zipped} ELSE concat({zipped}, {crossed}) END")
     explode = F.inline_outer if keep_empty else F.inline
     return aligned.select(*described, explode(both)).select(*KEY, *DESCRIPTIVE, *carried, *LEGS)
 

@@ -14,6 +14,7 @@ from series_lake.queries.registry import (
     DAILY_SQL,
     DAY_SQL,
     FLAT_SQL,
+    HISTORY_SQL,
     MERGED_SQL,
     SERIES_SQL,
     WH_HIST_SELECT,
@@ -21,8 +22,8 @@ from series_lake.queries.registry import (
     query,
 )
 from series_lake.queries.scans import leg_rows_sql
-from series_lake.schemas import FLAT_DATED, WH_HIST, WH_INTRA
-from series_lake.sinks import publish, warehouse
+from series_lake.schemas import FLAT, FLAT_DATED, KEY, WH_HIST, WH_INTRA
+from series_lake.sinks import ledger, located, publish, warehouse
 from series_lake.sources.files import scan_raw
 from series_lake.sources.tables import (
     daily_points,
@@ -171,3 +172,28 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish.publish_history(spark, incoming_history(spark, sf_dir), published)
     load()
     return load()
+
+
+@query("publish_located", f"WITH {MERGED_SQL} SELECT *, {DAY_SQL} FROM merged")
+def publish_located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that overlap by five days, merged into a table whose days are swapped in the catalog."""
+    name, root = new_table(spark, "located")
+    for run in (existing_history(spark, sf_dir), incoming_history(spark, sf_dir)):
+        located.publish_located(spark, run, name, root)
+    return spark.table(name)
+
+
+@query(
+    "load_with_ledger",
+    f"""WITH {HISTORY_SQL}
+SELECT * FROM existing UNION ALL SELECT * FROM incoming""",
+)
+def load_with_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of files, each loaded twice, then everything loaded again by force."""
+    arriving, root = scratch(spark, "arriving"), scratch(spark, "loaded")
+    for run in (existing_history(spark, sf_dir), incoming_history(spark, sf_dir)):
+        run.write.mode("append").parquet(arriving)
+        for _ in range(2):
+            ledger.load_new_files(spark, arriving, FLAT, root, form="parquet", required=tuple(KEY))
+    ledger.load_new_files(spark, arriving, FLAT, root, form="parquet", required=tuple(KEY), force=True)
+    return ledger.loaded_rows(spark, root, FLAT)

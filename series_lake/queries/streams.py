@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from series_lake.queries.registry import DAY_SQL, FLAT_SQL, MERGED_SQL, query, series_sql
 from series_lake.schemas import FLAT
@@ -15,28 +16,23 @@ from series_lake.workspace import scratch
 HALF_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
 
 
-def _landings(spark: SparkSession, sf_dir: str, raw: str, times: int):
-    """Lands every document ``times`` times, in new files; yields after each."""
-    for _ in range(times):
-        land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
-        yield f"{raw}/prefix=historical_data"
-
-
 @query("stream_flatten", f"WITH {FLAT_SQL} SELECT * FROM flat")
 def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two landings of the same documents; legs matched inside the documents."""
+    """Every document is delivered twice, in new files; legs are matched inside the documents."""
     raw, target, checkpoint = (scratch(spark, label) for label in ("raw", "flat", "progress"))
-    for folder in _landings(spark, sf_dir, raw, 2):
-        increments.stream_flatten_documents(increments.stream_delivered(spark, folder), target, checkpoint).awaitTermination()
+    for landing in range(2):
+        documents(spark, sf_dir, "variant").withColumn("landed", F.lit(landing).cast("bigint")).write.mode("append").json(raw)
+        increments.stream_flatten_documents(increments.stream_delivered(spark, raw), target, checkpoint).awaitTermination()
     return increments.read_newest(spark, target)
 
 
 @query("stream_flatten_join", f"WITH {FLAT_SQL} SELECT * FROM flat")
 def stream_flatten_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the legs joined, as assets split over several documents need."""
+    """The same with the legs joined, as assets split over several documents need; three landings."""
     raw, target, checkpoint = (scratch(spark, label) for label in ("raw", "flat", "progress"))
-    for folder in _landings(spark, sf_dir, raw, 3):
-        increments.stream_flatten(increments.stream_raw(spark, folder), target, checkpoint).awaitTermination()
+    for _ in range(3):
+        land_bulk(spark, documents(spark, sf_dir, "variant"), raw, "normal")
+        increments.stream_flatten(increments.stream_raw(spark, f"{raw}/prefix=historical_data"), target, checkpoint).awaitTermination()
     return increments.read_flat(spark, target)
 
 

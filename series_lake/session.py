@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.binaryAsString": "false",
     "spark.ui.enabled": "false",
+    # no look at the Python stack for every expression that is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
