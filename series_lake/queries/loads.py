@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from series_lake.functions.documents import build_envelope
 from series_lake.operators import metrics
-from series_lake.operators.flatten import flatten_series, tagged_points
+from series_lake.operators.flatten import flatten_series, leg_points, tagged_points
 from series_lake.operators.merge import merge_history
 from series_lake.queries.projections import new_table
 from series_lake.queries.registry import (
@@ -15,6 +16,7 @@ from series_lake.queries.registry import (
     DAY_SQL,
     FLAT_SQL,
     HISTORY_SQL,
+    MARKETS_SQL,
     MERGED_SQL,
     SERIES_SQL,
     WH_HIST_SELECT,
@@ -22,8 +24,8 @@ from series_lake.queries.registry import (
     query,
 )
 from series_lake.queries.scans import leg_rows_sql
-from series_lake.schemas import FLAT, FLAT_DATED, KEY, WH_HIST, WH_INTRA
-from series_lake.sinks import ledger, located, publish, warehouse
+from series_lake.schemas import FLAT, FLAT_DATED, KEY, LEGS, WH_HIST, WH_INTRA
+from series_lake.sinks import bucketed, current, ledger, located, publish, ranked, warehouse
 from series_lake.sources.files import scan_raw
 from series_lake.sources.tables import (
     daily_points,
@@ -31,6 +33,7 @@ from series_lake.sources.tables import (
     existing_history,
     incoming_history,
     landed_documents,
+    markets,
     series,
 )
 from series_lake.workspace import scratch
@@ -197,3 +200,52 @@ def load_with_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             ledger.load_new_files(spark, arriving, FLAT, root, form="parquet", required=tuple(KEY))
     ledger.load_new_files(spark, arriving, FLAT, root, form="parquet", required=tuple(KEY), force=True)
     return ledger.loaded_rows(spark, root, FLAT)
+
+
+@query("merge_bucketed", f"WITH {MERGED_SQL} SELECT *, {DAY_SQL} FROM merged")
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that overlap by five days, merged bucket by bucket."""
+    name, root = new_table(spark, "bucketed")
+    for run in (existing_history(spark, sf_dir), incoming_history(spark, sf_dir)):
+        bucketed.merge_bucketed(spark, run, name, root, buckets=8)
+    return spark.table(name)
+
+
+@query("join_bucketed", f"WITH {FLAT_SQL} SELECT * EXCLUDE (date_time) FROM flat")
+def join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three legs, each written as a bucketed table, joined without an exchange."""
+    tables = {}
+    for leg in LEGS:
+        name, root = new_table(spark, leg)
+        points = leg_points(landed_documents(spark, sf_dir), leg)
+        fields = [f for f in FLAT.fields if f.name in points.columns]
+        bucketed.create_bucketed(spark, name, root, StructType(fields), buckets=8)
+        bucketed.write_bucketed(spark, points, name, buckets=8)
+        tables[leg] = name
+    return bucketed.join_bucketed(spark, tables).select(*[c for c in FLAT.names if c != "date_time"])
+
+
+@query(
+    "latest_snapshot_upsert",
+    f"""WITH {MERGED_SQL}
+SELECT * FROM merged QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY "timestamp" DESC) = 1""",
+)
+def latest_snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of each asset after three runs, kept without reading a history."""
+    path = scratch(spark, "current")
+    for run in (existing_history(spark, sf_dir), incoming_history(spark, sf_dir), existing_history(spark, sf_dir).limit(0)):
+        current.upsert_current(spark, run, path)
+    return current.read_current(spark, path)
+
+
+@query(
+    "page_from_snapshot",
+    f"""WITH {MARKETS_SQL}
+SELECT id, name, symbol, image, market_cap, row_number() OVER (ORDER BY market_cap DESC NULLS LAST, id) AS position
+FROM markets ORDER BY position LIMIT 25 OFFSET 25""",
+)
+def page_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of a listing that is laid out by rank."""
+    listing = markets(spark, sf_dir)
+    version = ranked.publish_ranked(listing, scratch(spark, "ranked"))
+    return ranked.read_page(spark, version, listing.schema, 2)
