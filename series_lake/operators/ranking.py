@@ -73,14 +73,21 @@ def _cut_points(counted: DataFrame, value: str, ranges: int | None, range_values
     only balance the work, any of them give exact ranks.
     """
     spark = counted.sparkSession
-    if ranges is None:
-        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counted.count() // range_values))
-    if ranges < 2:
+    few = int(spark.conf.get("spark.sql.shuffle.partitions")) if ranges is None else ranges
+    numeric = isinstance(counted.schema[value].dataType, T.NumericType)
+
+    def quantiles(parts: int) -> Column:
+        return F.percentile_approx(value, [i / parts for i in range(1, parts)] or [0.5], max(10_000, 10 * parts)).alias("cuts")
+
+    # one look at the values gives their number and, unless there are very many, the cut points
+    told = counted.agg(F.count("*").alias("n"), *([quantiles(few)] if numeric else [])).first() if numeric or ranges is None else None
+    needed = few if ranges is not None else max(few, -(-told["n"] // range_values))
+    if needed < 2:
         return []
-    if isinstance(counted.schema[value].dataType, T.NumericType):
-        steps = [i / ranges for i in range(1, ranges)]
-        cuts = counted.agg(F.percentile_approx(value, steps, max(10_000, 10 * ranges))).first()[0] or []
-        return sorted(set(cuts))
+    if numeric:
+        cuts = told["cuts"] if needed == few else counted.agg(quantiles(needed)).first()["cuts"]
+        return sorted(set(cuts or []))
+    ranges = needed
     # A uniform sample by hash: the smallest hashes, a bounded number of them.
     sample = sorted(r[0] for r in counted.select(value).orderBy(F.xxhash64(value), value).limit(32 * ranges).collect())
     return sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
