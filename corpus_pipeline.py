@@ -18,13 +18,14 @@ from series_lake.llm.ngram_join import Join, one_of_each
 from series_lake.llm.packing import pack
 from series_lake.llm.staging import KEPT, release, staging
 
-#: A document stays if its language is known and holds at least this share of it.
-LEAST_SHARE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = identify(docs, learn(docs), docs.columns)
-    return named.where((F.col("__lang_pred") != UNDETERMINED) & (F.col("__lang_score") >= LEAST_SHARE)).select(*docs.columns)
+    """Documents whose text has a language: a letter, that is. A clean text in several languages stays;
+    where no label teaches a language, all documents do."""
+    model = learn(docs)
+    if not model.languages:
+        return docs
+    return identify(docs, model, docs.columns).where(F.col("__lang_pred") != UNDETERMINED).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
