@@ -17,6 +17,7 @@ result. Other columns are not read. Spans are in code points, end exclusive.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,7 +164,8 @@ class Field:
             back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
             table = np.concatenate([self.potentials[kinds], self.potentials[kinds].transpose(0, 2, 1)])
             messages = np.zeros((2 * m, LABELS))
-            for _ in range(ROUNDS):
+            # a message passes a link per round: rounds for any chain, or until none changes
+            for _ in range(ROUNDS + 2 * m):
                 sent = (unary + incoming)[source] - messages[back]
                 scores = table + sent[:, :, None]
                 top = scores.max(axis=1)
@@ -208,58 +210,67 @@ def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> li
     return out
 
 
+def _packed(token: str) -> int:
+    """The features, all of which are yes or no, as the bits of a number."""
+    return sum(1 << i for i, v in enumerate(features(token)) if v)
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: the features and labels of its tokens and the labels of its links."""
+    """(what, a, b, n): how often features a have label b (what -1), and how often a link of kind
+    ``what`` joins labels a and b, over a task."""
+    seen: Counter[tuple[int, int, int]] = Counter()
     for batch in batches:
-        rows = {"x": [], "y": [], "kind": [], "a": [], "b": []}
-        for text in batch.column(0):
-            text = text.as_py()
+        for cell in batch.column(0):
+            text = cell.as_py()
             tokens, adjacent = tokens_of(text)
-            y = labels_of(tokens, base_spans(text)) if tokens else np.zeros(0, np.int64)
+            if not tokens:
+                continue
+            y = labels_of(tokens, base_spans(text))
+            seen.update(zip([-1] * len(tokens), [_packed(t) for _, _, t in tokens], y.tolist(), strict=True))
             pairs, kinds = links(tokens, adjacent)
-            rows["x"].append([float(v) for _, _, t in tokens for v in features(t)])
-            rows["y"].append(y.tolist())
-            rows["kind"].append(kinds.tolist())
-            rows["a"].append(y[pairs[:, 0]].tolist())
-            rows["b"].append(y[pairs[:, 1]].tolist())
-        kinds_ = {"x": pa.float64(), "y": pa.int64(), "kind": pa.int64(), "a": pa.int64(), "b": pa.int64()}
-        yield pa.RecordBatch.from_arrays([pa.array(rows[c], pa.list_(t)) for c, t in kinds_.items()], names=list(kinds_))
+            seen.update(zip(kinds.tolist(), y[pairs[:, 0]].tolist(), y[pairs[:, 1]].tolist(), strict=True))
+    what, first, second = zip(*seen, strict=True) if seen else ((), (), ())
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (what, first, second, list(seen.values()))], names=["what", "a", "b", "n"])
 
 
-def fit(x: np.ndarray, y: np.ndarray, steps: int = 300) -> np.ndarray:
-    """Softmax regression by accelerated gradient steps, lightly damped."""
+def fit(x: np.ndarray, y: np.ndarray, times: np.ndarray, steps: int = 300) -> np.ndarray:
+    """Softmax regression by accelerated gradient steps, lightly damped; row i counts ``times[i]``."""
     weights = np.zeros((x.shape[1], LABELS))
     if not len(x):
         return weights
-    goal, momentum = np.eye(LABELS)[y], np.zeros_like(weights)
+    goal, momentum, share = np.eye(LABELS)[y], np.zeros_like(weights), (times / times.sum())[:, None]
     for _ in range(steps):
         z = x @ weights
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        momentum = 0.9 * momentum - 0.3 * (x.T @ (p - goal) / len(x) + 1e-4 * weights)
+        momentum = 0.9 * momentum - 0.3 * (x.T @ (share * (p - goal)) + 1e-4 * weights)
         weights += momentum
     return weights
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _agreement(a: np.ndarray, b: np.ndarray, times: np.ndarray) -> np.ndarray:
     """Log odds of label pairs over their chance, smoothed, symmetric, bounded."""
     table = np.full((LABELS, LABELS), 0.5)
-    np.add.at(table, (a, b), 1.0)
+    np.add.at(table, (a, b), times)
     table += table.T
     joint = table / table.sum()
     return np.clip(np.log(joint / (joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True))), -MOST, MOST)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field:
-    """From at most ``sample`` documents."""
+    """From at most ``sample`` documents. Tokens with equal features and label are counted on Spark, so
+    the driver gets a row per kind of token, however long the documents are."""
     key = F.xxhash64(F.col(id_col).cast("string"))
     share = min(1.0, 2 * sample / max(1, docs.count()))
     chosen = docs.where(F.col(text_col).isNotNull() & (F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
     texts = chosen.select(F.col(text_col).cast("string").alias("text"), key.alias("key")).orderBy("key", F.xxhash64("text")).limit(sample).select("text")
-    rows = texts.mapInArrow(_examples, "x array<double>, y array<long>, kind array<long>, a array<long>, b array<long>").collect()
-    x = np.array([v for r in rows for v in r["x"]]).reshape(-1, N_FEATURES)
-    y, kind, a, b = (np.array([v for r in rows for v in r[c]], dtype=np.int64) for c in ("y", "kind", "a", "b"))
-    return Field(fit(x, y), np.stack([_agreement(a[kind == k], b[kind == k]) if (kind == k).any() else np.zeros((LABELS, LABELS)) for k in (0, 1)]))
+    counted = texts.mapInArrow(_examples, "what long, a long, b long, n long").groupBy("what", "a", "b").agg(F.sum("n").alias("n")).orderBy("what", "a", "b")
+    rows = np.array([tuple(r) for r in counted.collect()], dtype=np.int64).reshape(-1, 4)
+    tokens = rows[rows[:, 0] == -1]
+    x = ((tokens[:, 1:2] >> np.arange(N_FEATURES)) & 1).astype(np.float64)
+    none = np.zeros((LABELS, LABELS))
+    potentials = [_agreement(own[:, 1], own[:, 2], own[:, 3].astype(np.float64)) if len(own := rows[rows[:, 0] == k]) else none for k in (0, 1)]
+    return Field(fit(x, tokens[:, 2], tokens[:, 3].astype(np.float64)), np.stack(potentials))
 
 
 def _found(field: Field):
