@@ -41,9 +41,9 @@ def _letters() -> np.ndarray:
 
 
 def trigrams(text: str) -> np.ndarray:
-    """Buckets of the byte trigrams of a text, those around a gap's middle left out."""
+    """Buckets of the byte trigrams of a text between two gaps, those around a gap's middle left out."""
     found = []
-    data, table = text.encode("utf-8", "replace"), _letters()
+    data, table = b" " + text.encode("utf-8", "replace") + b" ", _letters()  # so that one letter is a trigram
     for at in range(0, len(data), PART):
         b = table[np.frombuffer(data[at : at + PART + 2], dtype=np.uint8)]
         if len(b) < 3:

@@ -1,6 +1,7 @@
 """Quality rules: a table of thresholds compiled into one projection, without user functions.
 
-Words are ``[^\\x20\\x09-\\x0D]+``; comparisons of words and lines are exact. Null text counts
+Words are ``[^\\x20\\x09-\\x0D]+``; lines are compared exactly, windows of
+three words by 64-bit hashes. Null text counts
 as empty. A rule whose metric is undefined (no words, no lines, no letters) passes; the word
 count itself rejects such texts. Rows are independent: repeated rows repeat their result, an
 empty table gives an empty result, and columns beside id and text are not read.
