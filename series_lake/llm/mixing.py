@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from series_lake.llm.staging import Staging, staging
+from series_lake.llm.staging import BROADCAST_KEYS, Staging, staging
 
 SPACE = r"[\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -206,8 +206,10 @@ def _dealt(numbered: DataFrame, plan: list[dict], seed: int, shard_words: int, b
     block = F.least(block, F.col("__mix_blocks") - 1)
     placed = F.pmod(F.get("__mix_a", F.col("__mix_pass")) * block + F.get("__mix_c", F.col("__mix_pass")), F.col("__mix_blocks"))
     rows = rows.withColumn("__mix_draw", F.col("__mix_pass") * F.col("__mix_blocks") + placed)
-    rows = rows.join(deal, (rows["__mix_source"] == deal["__mix_at"]) & (rows["__mix_draw"] == deal["__mix_draw"]), "left")
-    return rows.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed + 2), "__mix_pass", "__mix_key", "__mix_row"))
+    # Some tens of draws per shard: few enough, as counted above, to go to the texts, or else the texts move.
+    side = F.broadcast(deal) if sum(draws) <= BROADCAST_KEYS else deal
+    rows = rows.join(side, (rows["__mix_source"] == deal["__mix_at"]) & (rows["__mix_draw"] == deal["__mix_draw"]), "left")
+    return rows.repartitionById(shards, F.col("mix_shard")).sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed + 2), "__mix_pass", "__mix_key", "__mix_row"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 11, shard_words: int = 4_000_000, blocks_per_shard: int = 64, max_sources: int = 100_000) -> DataFrame:
