@@ -106,7 +106,7 @@ def pairs_within(starts: np.ndarray, chunk: int = 1 << 19) -> Iterator[tuple[np.
         low = high
 
 
-def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], across: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], across: Callable[[DataFrame], DataFrame], cheap: bool = False) -> DataFrame:
     """(node, label) of the graph whose links join nodes that share a signature and verify.
 
     ``index``: (sig, node, e), where e tokens of the node are known to be missing in every
@@ -119,9 +119,10 @@ def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Cal
     one hub, the member with the smallest e, which merges groups of copies at linear cost. Only
     signatures that still hold several components are compared across these. Nothing is
     capped: in the end each pair that shares a signature is in one component, ruled out by a
-    bound, or checked. Nodes without link are left out.
+    bound, or checked. Nodes without link are left out. A ``cheap`` index is read off staged rows
+    and made twice rather than copied.
     """
-    index = area.write(index)
+    index = index if cheap else area.write(index)
     spans = index.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low < top").select("sig")
     shared = area.write(index.join(spans, "sig").distinct())
     area.drop(index)

@@ -18,6 +18,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order. Sorting beats the hash table of ``np.unique`` by far where most
+    values differ."""
+    x = np.sort(x)
+    keep = np.ones(len(x), dtype=bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
 def _series(seed: int, n: int) -> np.ndarray:
     return mixed(np.uint64(seed) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -108,7 +117,7 @@ def shingle_sets(column: pa.Array, words: Words, width: int) -> Iterator[tuple[i
         for k in range(len(run)):
             low, high = bounds[k], bounds[k + 1]
             if high - low >= width:
-                yield first + k, np.unique(rolled[low : high - width + 1])
+                yield first + k, distinct(rolled[low : high - width + 1])
             elif high > low:
                 one = np.zeros(1, dtype=np.uint64)
                 for h in hashes[low:high]:

@@ -7,11 +7,10 @@ into components. Of each component, equal lines included, only the first line st
 with the smallest document id, then the first in the document.
 
 With ``bands`` bands of ``rows`` values, lines of similarity s meet with probability
-1 - (1 - s^rows)^bands: 0.997 at 0.8, 0.9995 at 0.85 and above 0.99999 at 0.9, for ``Lines()`` and
-``EVERY_LINE`` alike.
+1 - (1 - s^rows)^bands: 0.997 at 0.8, 0.9995 at 0.85 and above 0.99999 at 0.9, for ``Lines()``.
 
 Lines end at line feeds. Lines of white space, and lines shorter than ``least`` characters, are
-not compared and always stay; with ``EVERY_LINE`` only the former. A line shorter than a shingle
+not compared and always stay; by default only the former. A line shorter than a shingle
 is one whole shingle: only its equals are like it. Null text stays null and has no lines. Rows that repeat
 id and text count as one document; rows with the same id and other texts as several. A row
 without id comes last. An empty table gives an empty result.
@@ -30,12 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from series_lake.llm.components import in_tiles, resolve, whole_groups
-from series_lake.llm.hashing import mixed
+from series_lake.llm.hashing import distinct, mixed
 from series_lake.llm.staging import Staging, semi_by_key, staging
 
 PART = 1 << 17
 TILE_COLUMNS = 4096
 SMALL_GROUP = 12
+HEAVY = 4096
 NONE = np.uint64(2**64 - 1)
 
 
@@ -43,17 +43,17 @@ NONE = np.uint64(2**64 - 1)
 class Lines:
     """Similar: Jaccard >= num / den over shingles of ``width`` characters."""
 
-    width: int = 12
+    width: int = 5
     num: int = 80
     den: int = 100
-    bands: int = 8
-    rows: int = 3
-    least: int = 40
+    bands: int = 11
+    rows: int = 4
+    least: int = 1
 
 
 #: Every line with a character that is not white space takes part, and one changed character in a
-#: line of 50 or more leaves it similar. Short shingles are less rare, so bands hold more values.
-EVERY_LINE = Lines(width=5, bands=11, rows=4, least=1)
+#: line of 50 or more leaves it similar.
+EVERY_LINE = Lines()
 
 
 def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
@@ -86,7 +86,7 @@ def _sets(lines_: list[str], width: int) -> list[np.ndarray]:
         starts = np.cumsum(sizes + 1) - sizes - 1
         with np.errstate(over="ignore"):
             one = _rolled(_codes("\n".join(lines_[at:end])), width)
-        out += [np.unique(one[s : s + n - width + 1]) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        out += [distinct(one[s : s + n - width + 1]) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
         at = end
     return out
 
@@ -187,7 +187,7 @@ def _named(lines: Lines):
                     if long_[number] and names[number] not in seen:
                         seen.add(names[number])
                         fresh.append(at)
-                        sigs += keys[row[number]].tolist()
+                        sigs.append(keys[row[number]].tolist())
                     number += 1
                 first += n
                 yield own, fresh, sigs
@@ -205,7 +205,7 @@ def _named(lines: Lines):
             names, fresh, sigs = zip(*rows, strict=True) if rows else ((), (), ())
             kept = [c for c in batch.schema.names if c != "text"]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.list_(pa.int64())), pa.array(fresh, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.int64()))], names=[*kept, "names", "fresh", "sigs"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.list_(pa.int64())), pa.array(fresh, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.list_(pa.int64())))], names=[*kept, "names", "fresh", "sigs"])
 
     return run
 
@@ -234,15 +234,44 @@ def _near(a: np.ndarray, b: np.ndarray, lines: Lines) -> bool:
     return lines.den * common >= lines.num * (len(a) + len(b) - common)
 
 
+def _sorted_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of at most 4,096 lines as one ascending array of (line, upper 52 bits of the shingle's
+    hash), and where each line's begin and the last ends."""
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    n = sizes - width + 1
+    first = np.cumsum(n) - n
+    with np.errstate(over="ignore"):
+        one = _rolled(_codes("\n".join(texts)), width)
+    line = np.repeat(np.arange(len(texts)), n)
+    place = np.arange(int(n.sum())) - np.repeat(first, n) + np.repeat(starts, n)
+    keys = distinct((line.astype(np.uint64) << np.uint64(52)) | (one[place] >> np.uint64(12)))
+    return keys, np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(52))
+
+
 def _linked(lines: Lines):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = [c for k in (0, 1) for c in batch.column(k).to_pylist()]
-            held = dict(zip(ends, [t for k in (2, 3) for t in batch.column(k).to_pylist()], strict=True))
-            sets = dict(zip(held, _sets(list(held.values()), lines.width), strict=True))
-            half = len(ends) // 2
-            keep = [_near(sets[a], sets[b], lines) for a, b in zip(ends[:half], ends[half:], strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for low in range(0, batch.num_rows, 2047):
+                yield part(batch.slice(low, 2047))
+
+    def part(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ends = [c for k in (0, 1) for c in batch.column(k).to_pylist()]
+        held = dict(zip(ends, [t for k in (2, 3) for t in batch.column(k).to_pylist()], strict=True))
+        number = {node: i for i, node in enumerate(held)}
+        keys, bounds = _sorted_sets(list(held.values()), lines.width)
+        half = len(ends) // 2
+        a, b = np.array([number[x] for x in ends[:half]]), np.array([number[x] for x in ends[half:]])
+        sizes = np.diff(bounds)
+        # What two sets share is at most what they share of each of 128 bins of the hashes.
+        line = (keys >> np.uint64(52)).astype(np.int64)
+        bins = np.bincount(line * 128 + (keys & np.uint64(127)).astype(np.int64), minlength=128 * len(held)).reshape(len(held), 128)
+        most = np.minimum(bins[a], bins[b]).sum(axis=1)
+        keep = lines.den * most >= lines.num * (sizes[a] + sizes[b] - most)
+        hashes = keys & np.uint64(2**52 - 1)
+        for k in np.flatnonzero(keep).tolist():
+            keep[k] = _near(hashes[bounds[a[k]] : bounds[a[k] + 1]], hashes[bounds[b[k]] : bounds[b[k] + 1]], lines)
+        return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -299,7 +328,7 @@ def _joining(lines: Lines):
         for table, starts in whole_groups(batches):
             node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
             # A line is in several groups; its set is made once.
-            distinct, at, back = np.unique(node, return_index=True, return_inverse=True)
+            nodes, at, back = np.unique(node, return_index=True, return_inverse=True)
             sets, out = _sets(table.column("line").take(pa.array(at)).to_pylist(), lines.width), []
             for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 out += _joined(lines, node[low:high], label[low:high], [sets[k] for k in back[low:high]])
@@ -321,18 +350,22 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
     """Per document that loses a line: its key and a flag per line, true for those that go."""
     text = F.col(text_col).cast("string")
     read = docs.where(F.col(text_col).isNotNull()).select(*_keys(id_col, text), F.col(id_col).alias("id"), text.alias("text"))
-    schema = read.drop("text").schema.add("names", ArrayType(LongType())).add("fresh", ArrayType(IntegerType())).add("sigs", ArrayType(LongType()))
+    schema = read.drop("text").schema.add("names", ArrayType(LongType())).add("fresh", ArrayType(IntegerType())).add("sigs", ArrayType(ArrayType(LongType())))
     rows = area.write(read.mapInArrow(_named(lines), schema))
-    keyed = rows.select("names", "fresh", F.posexplode("sigs").alias("at", "sig"))
-    index = keyed.select("sig", F.expr(f"names[fresh[cast(at div {lines.bands} as int)]]").alias("node"), F.lit(0).alias("e"))
+    # Exploded line by line, then key by key: no row carries the lines of its document along.
+    told_lines = F.arrays_zip(F.transform("fresh", lambda i: F.get("names", i)).alias("node"), F.col("sigs"))
+    keyed = rows.select(F.explode(told_lines).alias("z")).select(F.col("z.node").alias("node"), F.col("z.sigs").alias("sigs"))
+    index = keyed.select(F.explode("sigs").alias("sig"), "node", F.lit(0).alias("e"))
     placed = rows.select(*KEY, F.struct(F.col("id").isNull().alias("none"), "id", *KEY).alias("doc"), F.posexplode("names").alias("at", "node"))
+    placed = placed.where("node is not null")
+    # Equal lines first: from here on a line is one row, however many documents have it.
+    places = area.write(placed.groupBy("node").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")))
 
     staged = {}
 
     def verifier(nodes: DataFrame):
         wanted = area.write(nodes)
-        first = placed.where("node is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"))
-        holders = area.write(first.select(F.col("doc.__line_k1").alias("k")).distinct())
+        holders = area.write(places.join(wanted, "node", "left_semi").select(F.col("first.doc.__line_k1").alias("k")).distinct())
         holding = semi_by_key(docs.where(F.col(text_col).isNotNull()).select(_keys(id_col, text)[0].alias("k"), text.alias("text")), holders, ["k"])
         told = holding.select("text").mapInArrow(_told(lines), "node long, line string")
         told = area.write(semi_by_key(told, wanted, ["node"]).dropDuplicates(["node"]))
@@ -345,11 +378,21 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
 
         return verify
 
-    labels = resolve(area, index, verifier, lambda rest: in_tiles(rest, staged["told"]).mapInArrow(_joining(lines), "a long, b long").distinct())
-    long_ = placed.where("node is not null").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    repeated = long_.groupBy("label").agg(F.min(F.struct("doc", "at")).alias("first"), F.max(F.struct("doc", "at")).alias("last"))
-    repeated = repeated.where("first <> last").select("label", "first")
-    going = long_.join(repeated, "label").where(F.struct("doc", "at") != F.col("first")).select(*KEY, "at").distinct()
+    labels = resolve(area, index, verifier, lambda rest: in_tiles(rest, staged["told"]).mapInArrow(_joining(lines), "a long, b long").distinct(), cheap=True)
+    area.drop(staged["told"])
+    # The first place of each component that has more than one, for each of its lines.
+    named = places.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    repeated = named.groupBy("label").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
+    doomed = area.write(named.join(repeated, "label").select("node", "keep", "n"))
+    area.drop(places, labels)
+    # Lines that very many places hold are few, at most ``HEAVY``, and go to the places.
+    total = doomed.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") > F.lit(total / HEAVY)
+    known = doomed.where(often).select(F.col("node").alias("of"), "keep")
+    marked = placed.join(F.broadcast(known), F.col("node") == F.col("of"), "left")
+    common = marked.where(F.col("of").isNotNull()).drop("of")
+    rare = marked.where(F.col("of").isNull()).drop("of", "keep").join(doomed.where(~often).select("node", "keep"), "node")
+    going = common.unionByName(rare).where(F.struct("doc", "at") != F.col("keep")).select(*KEY, "at").distinct()
     losing = going.groupBy(*KEY).agg(F.collect_set("at").alias("gone"))
     return area.write(losing, keep=True)
 

@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from series_lake.llm.components import in_tiles, pairs_within, resolve, whole_groups
-from series_lake.llm.hashing import Words, mixed, shingle_sets
-from series_lake.llm.staging import Staging, semi_by_key, small_batches, staging
+from series_lake.llm.hashing import Words, distinct, mixed, shingle_sets
+from series_lake.llm.staging import Staging, semi_by_key, writing, staging
 
 RARE, FREQUENT = 32, 1024
 HEAVY = 1 << 17
@@ -325,7 +325,7 @@ def _linked(join: Join):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                common = len(a) + len(b) - len(np.union1d(a, b))
+                common = len(a) + len(b) - len(distinct(np.concatenate([a, b])))
                 keep.append(join.den * common >= join.num * (len(a) + len(b) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -335,7 +335,7 @@ def _linked(join: Join):
 def _frequent(texts: DataFrame, join: Join, rare: int, frequent: int, heavy: int) -> Classes:
     def top(known: Classes | None) -> tuple[np.ndarray, np.ndarray]:
         counts = texts.mapInArrow(_tallied(join, known), "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > rare)
-        with small_batches(texts.sparkSession):
+        with writing(texts.sparkSession):
             rows = counts.orderBy(F.desc("n"), "slot").limit(heavy).toArrow()  # at most ``heavy`` rows
         return rows.column("slot").to_numpy(), np.where(rows.column("n").to_numpy() > frequent, 3, 2)
 

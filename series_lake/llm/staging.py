@@ -15,17 +15,28 @@ from series_lake.workspace import discard, scratch
 BATCH_ROWS = 1000
 
 
+#: While a copy is written, batches between Spark and Python are small, and so is the memory that both
+#: sides hold them in; and its shuffle files go as soon as it is complete, not when the driver's memory
+#: is next collected.
+WRITING = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """While jobs run in this block, batches between Spark and Python are small, and so is the memory
-    that both sides hold them in."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(BATCH_ROWS))
+def writing(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 #: Copies that lazy results of this process still read, in the order they were written.
@@ -51,7 +62,7 @@ class Staging:
     def write(self, frame: DataFrame, keep: bool = False) -> DataFrame:
         path = scratch(self.spark, self.label)
         try:
-            with small_batches(self.spark):
+            with writing(self.spark):
                 frame.write.option("compression", "zstd").parquet(path)
         except BaseException:
             discard(self.spark, path)

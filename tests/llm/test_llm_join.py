@@ -175,7 +175,7 @@ def test_lines_near_copies_and_short_lines(spark):
     line = " ".join(rng.choice(words, 60))
     rows = [(1, f"{line}\nshort line", None, None), (2, f"short line\n{line.replace(line.split()[30], 'other', 1)}\nshort line", None, None), (3, " ".join(rng.choice(words, 60)), None, None)]
     rows += [(10 + i, f"{line} tail{i}", None, None) for i in range(40)]
-    got = {r.doc_id: r.text for r in dedup_lines(frame(spark, rows)).collect()}
+    got = {r.doc_id: r.text for r in dedup_lines(frame(spark, rows), Lines(least=40)).collect()}
     assert got[1] == rows[0][1] and got[2] == "short line\nshort line" and got[3] == rows[2][1]
     assert all(got[10 + i] == "" for i in range(40))
     assert dedup_lines(frame(spark, [])).count() == 0
