@@ -170,7 +170,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
         starts = area.write(per_task.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"), keep=True)
         counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
         plan, _ = plan_bins(counts, capacity)
-        numbered = pieces.join(starts, ["task", "length"]).withColumn("number", F.col("first") + F.col("nth")).drop("first")
+        numbered = pieces.join(starts.hint("merge"), ["task", "length"])  # grows with the tasks: not for every task
+        numbered = numbered.withColumn("number", F.col("first") + F.col("nth")).drop("first")
         order = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["ids"] if with_ids else [])
         placed = f"{schema.replace(', task int, nth bigint', '')}, sequence_id bigint, offset bigint"
         return numbered.select(*order, "number").mapInArrow(_place(plan), placed)
