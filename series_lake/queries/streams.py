@@ -72,5 +72,5 @@ def stream_dedupe_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in (newer, whole, older):
         delivery.write.mode("append").parquet(arriving)
         flat = spark.readStream.schema(FLAT).parquet(arriving)
-        stateful.stream_dedupe_stateful(flat, target, checkpoint, slots=7).awaitTermination()
+        stateful.stream_dedupe_stateful(flat, target, checkpoint, slots=7, partitions=8).awaitTermination()
     return stateful.read_once(spark, target)

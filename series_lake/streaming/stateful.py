@@ -102,10 +102,11 @@ class OncePerInstant(StatefulProcessor):
         pass
 
 
-def stream_dedupe_stateful(flat: DataFrame, target: str, checkpoint: str, slots: int = SLOTS, idle_ms: int = IDLE_MS) -> StreamingQuery:
+def stream_dedupe_stateful(flat: DataFrame, target: str, checkpoint: str, slots: int = SLOTS, idle_ms: int = IDLE_MS, partitions: int | None = None) -> StreamingQuery:
     """New points to the files in ``target``, once per key, state bounded by ``slots`` days per asset.
 
-    Read the result with ``read_once``.
+    Read the result with ``read_once``. ``partitions`` of the state stay what they are at the first start
+    with a checkpoint; by default as many as a shuffle has.
     """
     spark = flat.sparkSession
     payload = F.to_json(F.struct(*_PAYLOAD.names)).alias("payload")
@@ -117,15 +118,18 @@ def stream_dedupe_stateful(flat: DataFrame, target: str, checkpoint: str, slots:
     once = keyed.transformWithStateInPandas(OncePerInstant(idle_ms), outputStructType=_OUT, outputMode="Append", timeMode="EventTime")
     told = once.select("*", F.from_json("payload", _PAYLOAD).alias("v"))
     rows = told.select(*KEY, *[F.col(f"v.{c}").alias(c) for c in _PAYLOAD.names], local_clock(F.col("timestamp")).alias("date_time"), "late", utc_date(F.col("timestamp")).alias("date"))
-    before = spark.conf.get(SETTING)
-    spark.conf.set(SETTING, PROVIDER)  # of this query alone: it keeps the settings it starts with
+    own = {SETTING: PROVIDER} | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    before = {key: spark.conf.get(key) for key in own}
+    for key, value in own.items():  # of this query alone: it keeps the settings it starts with
+        spark.conf.set(key, value)
     try:
         return (
             rows.select(*_LAID.names).writeStream.format("parquet").partitionBy("late", "date")
             .option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
     finally:
-        spark.conf.set(SETTING, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def late_points(spark: SparkSession, target: str) -> DataFrame:
