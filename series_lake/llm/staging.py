@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,19 @@ def release(spark: SparkSession, paths: list[str]) -> None:
             discard(spark, path)
 
 
+@atexit.register
+def _release_at_exit() -> None:
+    """What no caller released goes with the program, while its session still runs."""
+    session = SparkSession.getActiveSession()
+    if session is None or session.sparkContext._jsc is None:
+        return
+    for path in list(KEPT):
+        try:
+            release(session, [path])
+        except (Py4JError, OSError, ValueError, RuntimeError):  # the session is already going, or was another one
+            return
+
+
 class Staging:
     """Copies written by one operator call. ``keep`` marks those its lazy result still reads."""
 
