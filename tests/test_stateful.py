@@ -138,3 +138,55 @@ def test_stateless_flatten_plan_has_no_exchange(spark, landed, tmp_path):
     query.awaitTermination()
     plan = query._jsq.explainInternal(True)
     assert "Exchange" not in plan and "Join" not in plan and "foreachBatch" not in plan.lower()
+
+
+def test_many_assets_share_rows_of_state_and_give_what_rows_of_their_own_give(spark, tmp_path):
+    days = lambda low, high: [(f"a{c}", d * DAY_MS + m, float(c + d + m)) for c in range(60) for d in range(low, high) for m in (1, 2)]
+    parts = [days(3, 6) + [(None, 7, 1.0)], days(0, 6) + [("a1", 4 * DAY_MS + 3, 9.0)] * 2, days(0, 3) + [("a1", 4 * DAY_MS + 1, 9.0)]]
+    got = {}
+    for buckets in (None, 8):
+        folder, target, checkpoint = (str(tmp_path / f"{n}{buckets}") for n in ("in", "out", "cp"))
+        for part in parts:
+            deliver(spark, folder, part)
+            progress = run(spark, folder, target, checkpoint, slots=4, partitions=4, buckets=buckets)
+        late = sorted((r.coin_id or "", r.timestamp, r.price) for r in stateful.late_points(spark, target).collect())
+        got[buckets] = late, sorted((r.coin_id or "", r.timestamp, r.price) for r in stateful.read_once(spark, target).collect())
+        held = progress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert got[8] == got[None] and got[8][1] == sorted([("", 7, 1.0), ("a1", 4 * DAY_MS + 3, 9.0), *days(0, 6)])
+    assert held <= 2 * 8  # a row and a timer per bucket, not per asset and day
+
+
+class Clock:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+
+def test_slots_of_a_bucket_are_closed_one_by_one():
+    handle, processor = Handle(), stateful.OncePerInstantOfMany(idle_ms=100)
+    processor.init(handle)
+
+    def arrive(clock, *points):
+        rows = pd.DataFrame([{"coin_id": c, "slot": d % 64, "timestamp": d * DAY_MS + w, "payload": p, "day": d, "within": w, "clock": clock} for c, d, w, p in points])
+        return sorted((r.coin_id, r.timestamp, r.payload, r.late) for f in processor.handleInputRows((3,), iter([rows[:1], rows[1:]]), None) for r in f.itertuples())
+
+    def expire(at, watermark):
+        list(processor.handleExpiredTimer((3,), Clock(watermark), Expired(at)))
+        handle.timers.discard(at)  # as Spark does
+
+    assert arrive(1000, ("a", 3, 1, "x"), ("a", 3, 1, "y"), ("b", 3, 1, "x")) == [("a", 3 * DAY_MS + 1, "y", False), ("b", 3 * DAY_MS + 1, "x", False)]
+    assert arrive(1050, ("b", 3, 1, "z"), ("b", 3, 2, "x")) == [("b", 3 * DAY_MS + 2, "x", False)]
+    assert handle.timers == {1100}
+    expire(1100, 1120)
+    assert handle.timers == {1150}  # a is closed, b still open
+    assert arrive(1120, ("a", 3, 5, "x"), ("b", 3, 3, "x"), ("b", 67, 3, "x"), ("c", 3, 3, "x")) == sorted(
+        [("a", 3 * DAY_MS + 5, "x", True), ("b", 3 * DAY_MS + 3, "x", True), ("b", 67 * DAY_MS + 3, "x", False), ("c", 3 * DAY_MS + 3, "x", False)]
+    )
+    assert arrive(990, ("d", 3, 1, "x")) == [("d", 3 * DAY_MS + 1, "x", False)]  # a clock behind the others
+    assert handle.timers == {1090}
+    expire(1090, 5000)
+    assert handle.timers == set()
+    assert all(late for *_, late in arrive(5000, ("b", 67, 3, "x"), ("c", 3, 4, "x"), ("d", 3, 2, "x")))
+    assert arrive(5000, ("a", 67, 1, "x")) == [("a", 67 * DAY_MS + 1, "x", False)]
