@@ -123,9 +123,10 @@ def resolve(area: Staging, index: DataFrame, verifier: Callable[[DataFrame], Cal
     and made twice rather than copied.
     """
     index = index if cheap else area.write(index)
-    spans = index.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low < top").select("sig")
+    # Two jobs: the shuffle files that tell the shared signatures go before the rows are dealt out.
+    spans = area.write(index.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low < top").select("sig"))
     shared = area.write(index.join(spans, "sig").distinct())
-    area.drop(index)
+    area.drop(index, spans)
     verify = verifier(shared.select("node").distinct())
     hubs = shared.groupBy("sig").agg(F.min(F.struct("e", "node"))["node"].alias("hub"))
     members = area.write(shared.join(hubs, "sig").where("node <> hub"))

@@ -1,8 +1,9 @@
 """Fuzzy line de-duplication by MinHash.
 
 A line is the set of its character shingles. One-permutation MinHash gives each distinct line
-a signature; its bands are the keys under which lines meet. Pairs that meet are compared
-exactly, shingle set against shingle set, and a distributed union-find joins similar lines
+a signature; its bands are the keys under which lines meet. Of pairs that meet, bitmaps of the
+shingles rule out most that are not similar; the others are compared exactly, shingle set
+against shingle set, so only their texts are sent. A distributed union-find joins similar lines
 into components. Of each component, equal lines included, only the first line stays: the one
 with the smallest document id, then the first in the document.
 
@@ -26,16 +27,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType
 
-from series_lake.llm.components import in_tiles, resolve, whole_groups
+from series_lake.llm.components import TILE_KEY, in_tiles, pairs_within, resolve, whole_groups
 from series_lake.llm.hashing import distinct, mixed
-from series_lake.llm.staging import Staging, semi_by_key, staging
+from series_lake.llm.staging import BROADCAST_KEYS, Staging, semi_by_key, staging
 
 PART = 1 << 17
 TILE_COLUMNS = 4096
 SMALL_GROUP = 12
 HEAVY = 4096
+LEAST_BITS, MOST_BITS = 64, 1 << 16
 NONE = np.uint64(2**64 - 1)
 
 
@@ -118,8 +120,19 @@ def short_names(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return mixed(mixed(total) ^ n.astype(np.uint64))
 
 
-def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """Of lines [start, end) in a run of characters: a 64-bit name each, and [line, band] keys."""
+def _bitmaps(h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Of lines with ``n`` shingle hashes each, repeats included: a bit for each hash modulo the number of bits,
+    which is a power of two from 1.5 n on. Halves of a bitmap, united, are one of half the bits."""
+    bits = 1 << np.ceil(np.log2(np.clip(1.5 * n, LEAST_BITS, MOST_BITS))).astype(np.int64)
+    ends = np.cumsum(bits)
+    held = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=bool)
+    held[np.repeat(ends - bits, n) + (h & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)] = True
+    packed = np.packbits(held, bitorder="little").tobytes()
+    return [packed[low:high] for low, high in zip(((ends - bits) // 8).tolist(), (ends // 8).tolist(), strict=True)]
+
+
+def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Of lines [start, end) in a run of characters: a 64-bit name each, [line, band] keys, and a bitmap each."""
     bins = lines.bands * lines.rows
     with np.errstate(over="ignore"):
         one = _rolled(codes, lines.width)
@@ -153,16 +166,16 @@ def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: L
         # Order-dependent sum of all shingles: names equal lines alike, others apart.
         total = np.add.reduceat(h * _weights(n)[place], first) if len(n) else np.zeros(0, np.uint64)
         names = mixed(total + sizes.astype(np.uint64))
-    return names, keys
+    return names, keys, _bitmaps(h, n)
 
 
 def _named(lines: Lines):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
 
-        def described(texts: list[str]) -> Iterator[tuple[list[int | None], list[int], list[int]]]:
-            """Per text: its lines' names (null: not compared), the numbers of those new to the task and
-            their band keys."""
+        def described(texts: list[str]) -> Iterator[tuple[list[int | None], list[int], list[list[int]], list[bytes], list[int]]]:
+            """Per text: its lines' names (null: not compared), the numbers of those new to the task, their
+            band keys, their bitmaps and how many shingles they have, repeats included."""
             codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
             breaks = np.flatnonzero(codes == 0x0A)
             starts, ends = np.append(0, breaks + 1), np.append(breaks, len(codes))
@@ -171,15 +184,16 @@ def _named(lines: Lines):
             long_ = ends[told] - starts[told] >= lines.width
             names = np.zeros(len(told), dtype=np.uint64)
             if long_.any():
-                names[long_], keys = signatures(codes, starts[told[long_]], ends[told[long_]], lines)
+                names[long_], keys, bitmaps = signatures(codes, starts[told[long_]], ends[told[long_]], lines)
                 keys = keys.view(np.int64)
             names[~long_] = short_names(codes, starts[told[~long_]], ends[told[~long_]])
             names, row, long_ = names.view(np.int64).tolist(), (np.cumsum(long_) - 1).tolist(), long_.tolist()
+            sizes = (ends[told] - starts[told] - lines.width + 1).tolist()
             number, first = 0, 0
             for text in texts:
                 n = text.count("\n") + 1
                 own: list[int | None] = [None] * n
-                fresh, sigs = [], []
+                fresh, sigs, bits, most = [], [], [], []
                 while number < len(told) and told[number] < first + n:
                     at = int(told[number] - first)
                     own[at] = names[number]
@@ -188,9 +202,11 @@ def _named(lines: Lines):
                         seen.add(names[number])
                         fresh.append(at)
                         sigs.append(keys[row[number]].tolist())
+                        bits.append(bitmaps[row[number]])
+                        most.append(sizes[number])
                     number += 1
                 first += n
-                yield own, fresh, sigs
+                yield own, fresh, sigs, bits, most
 
         for batch in batches:
             run_, size, rows = [], 0, []
@@ -202,27 +218,88 @@ def _named(lines: Lines):
                     run_, size = [], 0
             if run_:
                 rows += described(run_)
-            names, fresh, sigs = zip(*rows, strict=True) if rows else ((), (), ())
+            names, fresh, sigs, bits, most = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             kept = [c for c in batch.schema.names if c != "text"]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.list_(pa.int64())), pa.array(fresh, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.list_(pa.int64())))], names=[*kept, "names", "fresh", "sigs"])
+            told = pa.array(names, pa.list_(pa.int64())), pa.array(fresh, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.list_(pa.int64()))), pa.array(bits, pa.list_(pa.binary())), pa.array(most, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*columns, *told], names=[*kept, "names", "fresh", "sigs", "bits", "most"])
 
     return run
 
 
-def _told(lines: Lines):
-    """(node, line) of the lines of whole texts, each once per task."""
-    named = _named(lines)
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, line) of the wanted places of whole texts."""
+    for batch in batches:
+        nodes, told = [], []
+        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+            own = text.split("\n")
+            nodes += [place["node"] for place in wanted]
+            told += [own[place["at"]] for place in wanted]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(told, pa.string())], names=["node", "line"])
+
+
+def _folded(bitmaps: list[bytes], lengths: np.ndarray, length: int) -> np.ndarray:
+    """[line, word]: the bitmaps of at least ``length`` bytes, brought to that length; others are empty."""
+    out = np.zeros((len(bitmaps), length // 8), dtype=np.uint64)
+    for own in np.unique(lengths[lengths >= length]).tolist():
+        at = np.flatnonzero(lengths == own)
+        words = np.frombuffer(b"".join([bitmaps[k] for k in at.tolist()]), dtype=np.uint64)
+        out[at] = np.bitwise_or.reduce(words.reshape(len(at), own // length, length // 8), axis=1)
+    return out
+
+
+class Bitmaps:
+    """Lines by their bitmaps. Bits that differ come from different shingles that only one line has,
+    so there are never more than such shingles."""
+
+    def __init__(self, bitmaps: list[bytes], most: np.ndarray, lines: Lines):
+        self.bitmaps, self.most, self.lines = bitmaps, most.astype(np.int64), lines
+        self.lengths = np.array([len(x) for x in bitmaps], dtype=np.int64)
+        self.folded: dict[int, np.ndarray] = {}
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether lines i and j can be similar."""
+        keep, both = np.zeros(len(i), dtype=bool), np.minimum(self.lengths[i], self.lengths[j])
+        for length in np.unique(both).tolist():
+            if length not in self.folded:
+                self.folded[length] = _folded(self.bitmaps, self.lengths, length)
+            words, at = self.folded[length], np.flatnonzero(both == length)
+            step = max(1, PART * 16 // length)
+            for low in range(0, len(at), step):
+                k = at[low : low + step]
+                apart = np.bitwise_count(words[i[k]] ^ words[j[k]]).sum(axis=1, dtype=np.int64)
+                keep[k] = apart * (self.lines.den + self.lines.num) <= (self.most[i[k]] + self.most[j[k]]) * (self.lines.den - self.lines.num)
+        return keep
+
+
+def _close(lines: Lines):
+    """Pairs (a, b, most_a, most_b, bits_a, bits_b) whose bitmaps do not rule the link out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for described in named(iter([batch])):
-                nodes, told = [], []
-                for text, names, fresh in zip(batch.column("text").to_pylist(), described.column("names").to_pylist(), described.column("fresh").to_pylist(), strict=True):
-                    own = text.split("\n") if fresh else []
-                    nodes += [names[i] for i in fresh]
-                    told += [own[i] for i in fresh]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(told, pa.string())], names=["node", "line"])
+            n = batch.num_rows
+            most = np.concatenate([batch.column(k).to_numpy() for k in (2, 3)])
+            held = Bitmaps(batch.column(4).to_pylist() + batch.column(5).to_pylist(), most, lines)
+            yield batch.select([0, 1]).filter(pa.array(held.near(np.arange(n), n + np.arange(n)), pa.bool_()))
+
+    return run
+
+
+def _close_within(lines: Lines):
+    """The rows of groups (see ``in_tiles``) that can be similar to one of another component there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            label, own, low, high = (table.column(c).to_numpy() for c in ("label", "own", "low", "high"))
+            held = Bitmaps(table.column("bits").to_pylist(), table.column("most").to_numpy(), lines)
+            some = np.zeros(len(table), dtype=bool)
+            for i, j in pairs_within(starts):
+                apart = (label[i] != label[j]) & ((low[i] == high[i]) | (own[i] != own[j])) & ~(some[i] & some[j])
+                i, j = i[apart], j[apart]
+                near = held.near(i, j)
+                some[i[near]] = some[j[near]] = True
+            kept = table.select([*TILE_KEY, "node", "label"]).filter(pa.array(some, pa.bool_()))
+            yield from kept.combine_chunks().to_batches()
 
     return run
 
@@ -351,35 +428,61 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
     text = F.col(text_col).cast("string")
     read = docs.where(F.col(text_col).isNotNull()).select(*_keys(id_col, text), F.col(id_col).alias("id"), text.alias("text"))
     schema = read.drop("text").schema.add("names", ArrayType(LongType())).add("fresh", ArrayType(IntegerType())).add("sigs", ArrayType(ArrayType(LongType())))
+    schema = schema.add("bits", ArrayType(BinaryType())).add("most", ArrayType(IntegerType()))
     rows = area.write(read.mapInArrow(_named(lines), schema))
     # Exploded line by line, then key by key: no row carries the lines of its document along.
-    told_lines = F.arrays_zip(F.transform("fresh", lambda i: F.get("names", i)).alias("node"), F.col("sigs"))
-    keyed = rows.select(F.explode(told_lines).alias("z")).select(F.col("z.node").alias("node"), F.col("z.sigs").alias("sigs"))
+    fresh = F.transform("fresh", lambda i: F.get("names", i)).alias("node")
+    keyed = rows.select(F.explode(F.arrays_zip(fresh, F.col("sigs"))).alias("z")).select("z.node", "z.sigs")
+    mapped = rows.select(F.explode(F.arrays_zip(fresh, F.col("bits"), F.col("most"))).alias("z")).select("z.node", "z.bits", "z.most")
     index = keyed.select(F.explode("sigs").alias("sig"), "node", F.lit(0).alias("e"))
-    placed = rows.select(*KEY, F.struct(F.col("id").isNull().alias("none"), "id", *KEY).alias("doc"), F.posexplode("names").alias("at", "node"))
+    # A copy of the names alone, so what is large in the rows need not stay to the end.
+    names = area.write(rows.select(*KEY, "id", "names"))
+    placed = names.select(*KEY, F.struct(F.col("id").isNull().alias("none"), "id", *KEY).alias("doc"), F.posexplode("names").alias("at", "node"))
     placed = placed.where("node is not null")
     # Equal lines first: from here on a line is one row, however many documents have it.
     places = area.write(placed.groupBy("node").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")))
 
     staged = {}
 
+    def texts(nodes: DataFrame) -> DataFrame:
+        """(node, line) of some nodes, read from the first document that holds each."""
+        held = places.join(nodes.distinct(), "node").select(*[F.col(f"first.doc.{k}").alias(f"of{k}") for k in KEY], F.struct("node", F.col("first.at").alias("at")).alias("place"))
+        holders = area.write(held)
+        wanted = holders.groupBy(*[f"of{k}" for k in KEY]).agg(F.collect_list("place").alias("wanted"))
+        wanted = F.broadcast(wanted) if holders.count() <= BROADCAST_KEYS else wanted
+        holding = docs.where(F.col(text_col).isNotNull()).select(*_keys(id_col, text), text.alias("text"))
+        holding = holding.join(wanted, [F.col(k) == F.col(f"of{k}") for k in KEY]).select("text", "wanted")
+        told = area.write(holding.mapInArrow(_told, "node long, line string").dropDuplicates(["node"]))
+        area.drop(holders)
+        return told
+
     def verifier(nodes: DataFrame):
         wanted = area.write(nodes)
-        holders = area.write(places.join(wanted, "node", "left_semi").select(F.col("first.doc.__line_k1").alias("k")).distinct())
-        holding = semi_by_key(docs.where(F.col(text_col).isNotNull()).select(_keys(id_col, text)[0].alias("k"), text.alias("text")), holders, ["k"])
-        told = holding.select("text").mapInArrow(_told(lines), "node long, line string")
-        told = area.write(semi_by_key(told, wanted, ["node"]).dropDuplicates(["node"]))
-        area.drop(holders, wanted)
-        staged["told"] = told
+        staged["bits"] = bits = area.write(semi_by_key(mapped, wanted, ["node"]).dropDuplicates(["node"]))
+        area.drop(wanted, rows)
 
         def verify(pairs: DataFrame) -> DataFrame:
+            a, b = (bits.select(F.col("node").alias(end), F.col("most").alias(f"most_{end}"), F.col("bits").alias(f"bits_{end}")) for end in "ab")
+            sized = pairs.join(a, "a").join(b, "b").select("a", "b", "most_a", "most_b", "bits_a", "bits_b")
+            close = area.write(sized.mapInArrow(_close(lines), "a long, b long"))
+            told = texts(close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))))
             x, y = told.select(F.col("node").alias("a"), F.col("line").alias("x")), told.select(F.col("node").alias("b"), F.col("line").alias("y"))
-            return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_linked(lines), "a long, b long")
+            links = area.write(close.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_linked(lines), "a long, b long"))
+            area.drop(close, told)
+            return links
 
         return verify
 
-    labels = resolve(area, index, verifier, lambda rest: in_tiles(rest, staged["told"]).mapInArrow(_joining(lines), "a long, b long").distinct(), cheap=True)
-    area.drop(staged["told"])
+    def across(rest: DataFrame) -> DataFrame:
+        close = area.write(in_tiles(rest, staged["bits"]).mapInArrow(_close_within(lines), "sig long, low long, high long, node long, label long"))
+        area.drop(staged["bits"])
+        told = texts(close.select("node"))
+        dealt = close.join(told, "node").repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "node")
+        links = area.write(dealt.mapInArrow(_joining(lines), "a long, b long").distinct())
+        area.drop(close, told)
+        return links
+
+    labels = resolve(area, index, verifier, across, cheap=True)
     # The first place of each component that has more than one, for each of its lines.
     named = places.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     repeated = named.groupBy("label").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)

@@ -8,12 +8,13 @@ import pytest
 from llm_cases import documents, frame
 from pyspark.sql import functions as F
 
+from series_lake.llm import line_dedup
 from series_lake.llm.components import connected, pairs_within
 from series_lake.llm.hashing import Words
 from series_lake.llm.line_dedup import EVERY_LINE, Lines, dedup_lines
 from series_lake.llm.ngram_join import Join, near_duplicates, one_of_each
 from series_lake.llm.queries import QUERIES
-from series_lake.llm.staging import KEPT, release, staging
+from series_lake.llm.staging import KEPT, Staging, release, staging
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -229,3 +230,49 @@ def test_edits_in_ordinary_lines_are_found(spark, tmp_path):
     assert all(got[i] == text for i, text, _, _ in rows if i % 2 == 0)
     lost = [i for i, *_ in rows if i % 2 and got[i]]
     assert len(lost) <= 2  # of 102, by the recall of the bands
+
+
+def test_bitmaps_rule_out_no_similar_lines():
+    """Lines of many lengths, some with repeated shingles, whose bitmaps have different lengths."""
+    rng, lines = random.Random(11), Lines()
+    texts = []
+    for size in (5, 6, 30, 60, 90, 200, 400, 900):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(size))
+        for _ in range(12):
+            own = list(base)
+            for k in rng.sample(range(size), min(size, rng.randrange(0, max(2, size // 25)))):
+                own[k] = rng.choice("XYZ")
+            texts += ["".join(own), "".join(own) + "".join(own[: size // 10])]
+    texts += ["ab" * 5, "ab" * 400, "ab" * 90_000, "aaaaa", "a" * 3000]
+    codes = line_dedup._codes("\n".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    _, _, bits = line_dedup.signatures(codes, ends - [len(t) for t in texts], ends, lines)
+    i, j = np.triu_indices(len(texts), 1)
+    near = line_dedup.Bitmaps(bits, np.array([len(t) - 4 for t in texts]), lines).near(i, j)
+    sets = line_dedup._sets(texts, lines.width)
+    alike = np.array([line_dedup._near(sets[a], sets[b], lines) for a, b in zip(i.tolist(), j.tolist(), strict=True)])
+    ordinary = (np.array([len(t) for t in texts])[i] >= 60) & (j < len(texts) - 5)
+    assert alike.sum() > 300 and near[alike].all() and near[~alike & ordinary].mean() < 0.1
+
+
+def test_texts_of_lines_that_cannot_be_alike_are_not_sent(spark, monkeypatch):
+    """Lines that share half of their shingles meet in a band, all with all, and are not alike."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = []
+    for i in range(40):
+        common = word(120)
+        rows += [(10 * i + k, common + word(80), None, None) for k in range(6)]
+    rows += [(1000, rows[0][1] + "x", None, None)]
+    sent, write = [], Staging.write
+
+    def counted(area, table, keep=False):
+        back = write(area, table, keep)
+        if "line" in back.columns:
+            sent.append(back.count())
+        return back
+
+    monkeypatch.setattr(Staging, "write", counted)
+    got = dedup_lines(frame(spark, rows), EVERY_LINE).where("n_removed > 0").select("doc_id").collect()
+    assert [r.doc_id for r in got] == [1000]
+    assert sum(sent) <= 20  # of 241 lines
