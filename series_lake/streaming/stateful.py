@@ -189,9 +189,11 @@ def stream_dedupe_stateful(flat: DataFrame, target: str, checkpoint: str, slots:
     spark = flat.sparkSession
     payload = F.to_json(F.struct(*_PAYLOAD.names)).alias("payload")
     day = floor_div(valid_ms(F.col("timestamp")), DAY_MS)
-    dayless = F.col("coin_id").isNull() | F.col("day").isNull()
+    dayless = F.col("coin_id").isNull() | day.isNull()
     slot = F.when(dayless, -1 - F.pmod(F.xxhash64("timestamp", "payload"), F.lit(slots))).otherwise(F.pmod("day", F.lit(slots)))
-    read = flat.select(*KEY, payload, day.alias("day"), F.pmod("timestamp", F.lit(DAY_MS)).cast("int").alias("within"), F.current_timestamp().alias("arrived"))
+    # Never null: one null would make floats of all the numbers in its batch, which the state does not take.
+    within = F.coalesce(F.pmod("timestamp", F.lit(DAY_MS)).cast("int"), F.lit(0)).alias("within")
+    read = flat.select(*KEY, payload, F.coalesce(day, F.lit(0)).alias("day"), within, F.current_timestamp().alias("arrived"))
     clocked = read.withColumns({"slot": slot, "clock": F.unix_millis("arrived")}).withWatermark("arrived", "1 minute")
     if buckets:
         bucket = F.when(dayless, -1 - F.pmod(F.xxhash64("timestamp", "payload"), F.lit(buckets))).otherwise(F.pmod(F.xxhash64("coin_id", "slot"), F.lit(buckets)))

@@ -190,3 +190,15 @@ def test_slots_of_a_bucket_are_closed_one_by_one():
     assert handle.timers == set()
     assert all(late for *_, late in arrive(5000, ("b", 67, 3, "x"), ("c", 3, 4, "x"), ("d", 3, 2, "x")))
     assert arrive(5000, ("a", 67, 1, "x")) == [("a", 67 * DAY_MS + 1, "x", False)]
+
+
+@pytest.mark.parametrize("buckets", [4, None])
+def test_points_without_time_leave_the_others_of_their_batch_as_they_are(spark, tmp_path, buckets):
+    folder, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    points = [("a", 5 * DAY_MS + m, 1.0) for m in (1, 2)] + [("b", 5 * DAY_MS + 3, 1.0)]
+    for _ in range(3):
+        deliver(spark, folder, [("a", None, 1), (None, 4, 1), *points])
+        run(spark, folder, target, checkpoint, slots=4, buckets=buckets)
+    got = sorted((r.coin_id or "", r.timestamp or 0, r.price) for r in stateful.read_once(spark, target).collect())
+    assert got == sorted([("a", 0, 1.0), ("", 4, 1.0), *points])
+    assert stateful.late_points(spark, target).count() == 6
