@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType
 
-from series_lake.llm.components import TILE_KEY, in_tiles, pairs_within, resolve, whole_groups
+from series_lake.llm.components import TILE_KEY, buckets_of, dealt, in_tiles, pairs_within, resolve, shared, whole_groups
 from series_lake.llm.hashing import distinct, mixed
 from series_lake.llm.staging import BROADCAST_KEYS, Staging, semi_by_key, staging
 
@@ -39,6 +39,7 @@ SMALL_GROUP = 12
 HEAVY = 4096
 LEAST_BITS, MOST_BITS = 64, 1 << 16
 NONE = np.uint64(2**64 - 1)
+ENTRY = np.dtype([("sig", "<i8"), ("node", "<i8"), ("n", "<i4")])
 
 
 @dataclass(frozen=True)
@@ -131,8 +132,25 @@ def _bitmaps(h: np.ndarray, n: np.ndarray) -> list[bytes]:
     return [packed[low:high] for low, high in zip(((ends - bits) // 8).tolist(), (ends // 8).tolist(), strict=True)]
 
 
+def _counts(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many different shingles (by 52 bits) each of the lines with ``n`` shingle hashes has."""
+    out, ends = np.zeros(len(n), dtype=np.int64), np.cumsum(n)
+    for low in range(0, len(n), 4096):
+        own = n[low : low + 4096]
+        at = int(ends[low] - n[low])
+        line = np.repeat(np.arange(len(own), dtype=np.uint64), own)
+        keys = distinct((line << np.uint64(52)) | (h[at : at + len(line)] >> np.uint64(12)))
+        out[low : low + 4096] = np.bincount((keys >> np.uint64(52)).astype(np.int64), minlength=len(own))
+    return out
+
+
 def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Of lines [start, end) in a run of characters: a 64-bit name each, [line, band] keys, and a bitmap each."""
+    return described(codes, starts, ends, lines)[:3]
+
+
+def described(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """``signatures``, and how many different shingles each line has."""
     bins = lines.bands * lines.rows
     with np.errstate(over="ignore"):
         one = _rolled(codes, lines.width)
@@ -166,16 +184,16 @@ def signatures(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: L
         # Order-dependent sum of all shingles: names equal lines alike, others apart.
         total = np.add.reduceat(h * _weights(n)[place], first) if len(n) else np.zeros(0, np.uint64)
         names = mixed(total + sizes.astype(np.uint64))
-    return names, keys, _bitmaps(h, n)
+    return names, keys, _bitmaps(h, n), _counts(h, n)
 
 
 def _named(lines: Lines):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
 
-        def described(texts: list[str]) -> Iterator[tuple[list[int | None], list[int], list[list[int]], list[bytes], list[int]]]:
-            """Per text: its lines' names (null: not compared), the numbers of those new to the task, their
-            band keys, their bitmaps and how many shingles they have, repeats included."""
+        def found(texts: list[str]) -> Iterator[tuple[list[int | None], list[int], bytes, list[bytes], list[int]]]:
+            """Per text: its lines' names (null: not compared), the names of those new to the task, their
+            band keys, their bitmaps and how many different shingles they have."""
             codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
             breaks = np.flatnonzero(codes == 0x0A)
             starts, ends = np.append(0, breaks + 1), np.append(breaks, len(codes))
@@ -183,30 +201,26 @@ def _named(lines: Lines):
             told = np.flatnonzero((ends - starts >= lines.least) & (filled[ends] > filled[starts]))
             long_ = ends[told] - starts[told] >= lines.width
             names = np.zeros(len(told), dtype=np.uint64)
+            keys, bitmaps, sizes = np.zeros((0, lines.bands), dtype=np.uint64), [], np.zeros(0, dtype=np.int64)
             if long_.any():
-                names[long_], keys, bitmaps = signatures(codes, starts[told[long_]], ends[told[long_]], lines)
-                keys = keys.view(np.int64)
+                names[long_], keys, bitmaps, sizes = described(codes, starts[told[long_]], ends[told[long_]], lines)
             names[~long_] = short_names(codes, starts[told[~long_]], ends[told[~long_]])
-            names, row, long_ = names.view(np.int64).tolist(), (np.cumsum(long_) - 1).tolist(), long_.tolist()
-            sizes = (ends[told] - starts[told] - lines.width + 1).tolist()
+            names, row, long_, sizes = names.view(np.int64).tolist(), (np.cumsum(long_) - 1).tolist(), long_.tolist(), sizes.tolist()
             number, first = 0, 0
             for text in texts:
                 n = text.count("\n") + 1
                 own: list[int | None] = [None] * n
-                fresh, sigs, bits, most = [], [], [], []
+                fresh, new = [], []
                 while number < len(told) and told[number] < first + n:
-                    at = int(told[number] - first)
-                    own[at] = names[number]
+                    own[int(told[number] - first)] = names[number]
                     # What is shorter than a shingle is like equal lines only: these have its name.
                     if long_[number] and names[number] not in seen:
                         seen.add(names[number])
-                        fresh.append(at)
-                        sigs.append(keys[row[number]].tolist())
-                        bits.append(bitmaps[row[number]])
-                        most.append(sizes[number])
+                        fresh.append(names[number])
+                        new.append(row[number])
                     number += 1
                 first += n
-                yield own, fresh, sigs, bits, most
+                yield own, fresh, keys[new].tobytes(), [bitmaps[k] for k in new], [sizes[k] for k in new]
 
         for batch in batches:
             run_, size, rows = [], 0, []
@@ -214,19 +228,50 @@ def _named(lines: Lines):
                 run_.append(text.as_py())
                 size += len(run_[-1])
                 if size >= PART:
-                    rows += described(run_)
+                    rows += found(run_)
                     run_, size = [], 0
             if run_:
-                rows += described(run_)
-            names, fresh, sigs, bits, most = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+                rows += found(run_)
+            names, nodes, sigs, bits, most = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             kept = [c for c in batch.schema.names if c != "text"]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            told = pa.array(names, pa.list_(pa.int64())), pa.array(fresh, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.list_(pa.int64()))), pa.array(bits, pa.list_(pa.binary())), pa.array(most, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*columns, *told], names=[*kept, "names", "fresh", "sigs", "bits", "most"])
+            made = pa.array(names, pa.list_(pa.int64())), pa.array(nodes, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(bits, pa.list_(pa.binary())), pa.array(most, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, "names", "nodes", "sigs", "bits", "most"])
+
+    return run
+
+
+def _indexed(lines: Lines, buckets: int):
+    """The index of the lines new to each task, dealt by signature: it is very many short rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            nodes, most = batch.column("nodes").flatten().to_numpy(), batch.column("most").flatten().to_numpy()
+            rows = np.empty((len(nodes), lines.bands), dtype=ENTRY)
+            rows["sig"] = np.frombuffer(b"".join(batch.column("sigs").to_pylist()), dtype=np.int64).reshape(rows.shape)
+            rows["node"], rows["n"] = nodes[:, None], most[:, None]
+            held.append(rows.ravel())
+            size += rows.size
+            if size > 1 << 20:
+                yield dealt(np.concatenate(held), buckets)
+                held, size = [], 0
+        if size:
+            yield dealt(np.concatenate(held), buckets)
 
     return run
 
 
+def _alike_in_size(lines: Lines):
+    """Whether rows of the index have sets whose sizes let them be similar."""
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, y = a["n"].astype(np.int64), b["n"].astype(np.int64)
+        return np.minimum(x, y) * lines.den >= np.maximum(x, y) * lines.num
+
+    return near
+
+
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, line) of the wanted places of whole texts."""
     for batch in batches:
@@ -427,14 +472,13 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
     """Per document that loses a line: its key and a flag per line, true for those that go."""
     text = F.col(text_col).cast("string")
     read = docs.where(F.col(text_col).isNotNull()).select(*_keys(id_col, text), F.col(id_col).alias("id"), text.alias("text"))
-    schema = read.drop("text").schema.add("names", ArrayType(LongType())).add("fresh", ArrayType(IntegerType())).add("sigs", ArrayType(ArrayType(LongType())))
+    schema = read.drop("text").schema.add("names", ArrayType(LongType())).add("nodes", ArrayType(LongType())).add("sigs", BinaryType())
     schema = schema.add("bits", ArrayType(BinaryType())).add("most", ArrayType(IntegerType()))
     rows = area.write(read.mapInArrow(_named(lines), schema))
-    # Exploded line by line, then key by key: no row carries the lines of its document along.
-    fresh = F.transform("fresh", lambda i: F.get("names", i)).alias("node")
-    keyed = rows.select(F.explode(F.arrays_zip(fresh, F.col("sigs"))).alias("z")).select("z.node", "z.sigs")
-    mapped = rows.select(F.explode(F.arrays_zip(fresh, F.col("bits"), F.col("most"))).alias("z")).select("z.node", "z.bits", "z.most")
-    index = keyed.select(F.explode("sigs").alias("sig"), "node", F.lit(0).alias("e"))
+    mapped = rows.select(F.explode(F.arrays_zip(F.col("nodes").alias("node"), "bits", "most")).alias("z")).select("z.node", "z.bits", "z.most")
+    new = rows.agg(F.sum(F.size("nodes"))).first()[0]
+    entries = rows.select("nodes", "most", "sigs").mapInArrow(_indexed(lines, buckets_of((new or 0) * lines.bands)), "bucket int, held binary")
+    index = shared(entries, ENTRY, _alike_in_size(lines))
     # A copy of the names alone, so what is large in the rows need not stay to the end.
     names = area.write(rows.select(*KEY, "id", "names"))
     placed = names.select(*KEY, F.struct(F.col("id").isNull().alias("none"), "id", *KEY).alias("doc"), F.posexplode("names").alias("at", "node"))
@@ -482,7 +526,7 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
         area.drop(close, told)
         return links
 
-    labels = resolve(area, index, verifier, across, cheap=True)
+    labels = resolve(area, index, verifier, across)
     # The first place of each component that has more than one, for each of its lines.
     named = places.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     repeated = named.groupBy("label").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)

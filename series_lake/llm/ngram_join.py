@@ -39,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from series_lake.llm.components import in_tiles, pairs_within, resolve, whole_groups
+from series_lake.llm.components import buckets_of, dealt, in_tiles, pairs_within, resolve, shared, whole_groups
 from series_lake.llm.hashing import Words, distinct, mixed, shingle_sets
 from series_lake.llm.staging import Staging, semi_by_key, writing, staging
 
 RARE, FREQUENT = 32, 1024
 HEAVY = 1 << 17
 BUCKETS = 128
+ENTRY = np.dtype([("sig", "<i8"), ("node", "<i8"), ("e", "<i4")])
 SMALL_BAND = 6  # sets below 2**6 tokens: all their tokens are counted
 
 
@@ -224,25 +225,22 @@ def signatures(tokens: np.ndarray, join: Join, classes: Classes) -> tuple[np.nda
     return np.concatenate(out), np.concatenate(missing)
 
 
-def _indexed(join: Join, classes: Classes):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, missing, nodes, size = [], [], [], 0
-
-        def out() -> pa.RecordBatch:
-            columns = np.concatenate(sigs).view(np.int64), np.concatenate(nodes), np.concatenate(missing).astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sig", "node", "e"])
+def _indexed(join: Join, classes: Classes, buckets: int):
+    """The index, dealt by signature: it is many short rows, which are cheap in arrays only."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for node, tokens in _fresh(batches, join):
-            own, before = signatures(tokens, join, classes)
-            sigs.append(own)
-            missing.append(before)
-            nodes.append(np.full(len(own), node, dtype=np.int64))
-            size += len(own)
-            if size > 1 << 18:
-                yield out()
-                sigs, missing, nodes, size = [], [], [], 0
-        if sigs:
-            yield out()
+            sigs, missing = signatures(tokens, join, classes)
+            rows = np.empty(len(sigs), dtype=ENTRY)
+            rows["sig"], rows["node"], rows["e"] = sigs.view(np.int64), node, missing
+            held.append(rows)
+            size += len(rows)
+            if size > 1 << 20:
+                yield dealt(np.concatenate(held), buckets)
+                held, size = [], 0
+        if held:
+            yield dealt(np.concatenate(held), buckets)
 
     return run
 
@@ -358,7 +356,8 @@ def components(area: Staging, docs: DataFrame, join: Join, id_col: str, text_col
     schema = read.select("doc_id").schema.add("n", "long").add("node", "long").add("sketch", "binary").add("fine", "binary")
     rows = area.write(read.mapInArrow(_described(join), schema), keep=True)
     classes = _frequent(texts, join, rare, frequent, heavy)
-    index = texts.mapInArrow(_indexed(join, classes), "sig long, node long, e int")
+    expected = rows.agg(F.sum(F.col("n") * (1 - join.num / join.den) + 1)).first()[0]
+    index = shared(texts.mapInArrow(_indexed(join, classes, buckets_of(expected)), "bucket int, held binary"), ENTRY)
     nodes = area.write(rows.where("sketch is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine"), F.min("doc_id").alias("doc_id")))
 
     def exact(pairs: DataFrame) -> DataFrame:
