@@ -52,7 +52,7 @@ def dealt(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
     """(bucket, held): rows of an index, a structured array with ``sig`` and ``node``, by parts of the
     range of signatures."""
     bucket = (((rows["sig"].view(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")  # 16 bits: a radix sort
     bucket, rows = bucket[order], rows[order]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(rows)])
     sizes = np.diff(np.append(first, len(rows)))
@@ -72,8 +72,9 @@ def _met(rows: np.ndarray, hubs: np.ndarray, whole: bool, near: Callable[[np.nda
     """Members of the signatures that several nodes share: rows, hubs, whether they go with their hub,
     whether with another member. And a hub of every signature so far. Those given stay hubs."""
     rows = np.concatenate([hubs, rows])
-    order = np.argsort(rows["sig"], kind="stable")
-    sig = rows["sig"][order]
+    sig = np.ascontiguousarray(rows["sig"])
+    order = np.argsort(sig)
+    sig = sig[order]
     first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])[: len(sig)])
     sizes = np.diff(np.append(first, len(sig)))
     several = np.repeat(sizes > 1, sizes)

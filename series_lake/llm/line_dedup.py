@@ -134,13 +134,14 @@ def _bitmaps(h: np.ndarray, n: np.ndarray) -> list[bytes]:
 
 def _counts(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     """How many different shingles (by 52 bits) each of the lines with ``n`` shingle hashes has."""
-    out, ends = np.zeros(len(n), dtype=np.int64), np.cumsum(n)
+    out, first = np.zeros(len(n), dtype=np.int64), np.cumsum(n) - n
     for low in range(0, len(n), 4096):
-        own = n[low : low + 4096]
-        at = int(ends[low] - n[low])
-        line = np.repeat(np.arange(len(own), dtype=np.uint64), own)
-        keys = distinct((line << np.uint64(52)) | (h[at : at + len(line)] >> np.uint64(12)))
-        out[low : low + 4096] = np.bincount((keys >> np.uint64(52)).astype(np.int64), minlength=len(own))
+        own, at = n[low : low + 4096], int(first[low])
+        line = np.repeat(np.arange(len(own), dtype=np.uint64) << np.uint64(52), own)
+        keys = np.sort(line | (h[at : at + len(line)] >> np.uint64(12)))  # each line keeps its place
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        out[low : low + 4096] = np.add.reduceat(new, first[low : low + 4096] - at, dtype=np.int64)
     return out
 
 
@@ -528,7 +529,8 @@ def _flags(area: Staging, docs: DataFrame, lines: Lines, id_col: str, text_col:
 
     labels = resolve(area, index, verifier, across)
     # The first place of each component that has more than one, for each of its lines.
-    named = places.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # A line without link or copy stays, so it is left out here.
+    named = places.join(labels, "node", "left").where("label is not null or n > 1").withColumn("label", F.coalesce("label", "node"))
     repeated = named.groupBy("label").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
     doomed = area.write(named.join(repeated, "label").select("node", "keep", "n"))
     area.drop(places, labels)
