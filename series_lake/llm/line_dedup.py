@@ -1,8 +1,8 @@
 """Fuzzy line de-duplication by MinHash.
 
 A line is the set of its character shingles. One-permutation MinHash gives each distinct line
-a signature; its bands are the keys under which lines meet. Of pairs that meet, bitmaps of the
-shingles rule out most that are not similar; the others are compared exactly, shingle set
+a signature; its bands are the keys under which lines meet. Of pairs that meet, numbers and bitmaps
+of the shingles rule out most that are not similar; the others are compared exactly, shingle set
 against shingle set, so only their texts are sent. A distributed union-find joins similar lines
 into components. Of each component, equal lines included, only the first line stays: the one
 with the smallest document id, then the first in the document.
